@@ -234,7 +234,7 @@ def profile_sql() -> str:
         group = "CASE WHEN f.unique_count <= 300 THEN 'low' ELSE 'high' END AS column_group"
         if kind in ("BIGINT", "DOUBLE"):
             extra = f"LEFT JOIN ({summary_sql('orders', column)}) s ON f.unique_count > 300"
-            numbers = """s.min_value, s.negative_count, s.zero_count, s.chart_max_value, s.above_chart_max_value_count,
+            numbers = """s.min_value, s.negative_count, s.zero_count, ROUND(s.chart_max_value, 6) AS chart_max_value, s.above_chart_max_value_count,
                 s.max_value, s.range_count"""
         else:
             extra = ""
@@ -288,15 +288,15 @@ def trim_ctes(sources: list[tuple[str, str]]) -> str:
                 SELECT column_name, step, pass, m, p1, nz, t, COALESCE(MAX(share) FILTER (b = bins), 0e0) AS last_share,
                     COALESCE(MAX(b) FILTER (share >= t), 1) * (m / bins) AS edge
                 FROM (
-                    SELECT s.column_name, s.step, s.pass, s.m, s.p1, s.nz,
-                        CASE WHEN s.pass = 1 THEN 100 ELSE 10 END AS bins,
-                        CASE WHEN s.pass = 1 THEN 0.05::DOUBLE ELSE 0.5::DOUBLE END AS t,
-                        LEAST(CASE WHEN s.pass = 1 THEN 100 ELSE 10 END, GREATEST(1, CAST(CEIL(f.v / s.m *
-                            CASE WHEN s.pass = 1 THEN 100 ELSE 10 END) AS INTEGER))) AS b,
-                        CAST(SUM(f.w) AS DOUBLE) / s.nz * 100 AS share
-                    FROM steps s LEFT JOIN freq f ON f.column_name = s.column_name AND f.v <= s.m
-                    WHERE s.pass <= 2 GROUP BY ALL
-                ) GROUP BY ALL
+                    SELECT column_name, step, pass, m, p1, nz, bins, t, b, CAST(SUM(w) AS DOUBLE) / nz * 100 AS share
+                    FROM (
+                        SELECT s.*, k.bins, k.t, f.w,
+                            LEAST(k.bins, GREATEST(1, CAST(CEIL(f.v / s.m * k.bins) AS INTEGER))) AS b
+                        FROM steps s JOIN (VALUES (1, 100, 0.05::DOUBLE), (2, 10, 0.5::DOUBLE)) k(no, bins, t)
+                            ON k.no = s.pass
+                        LEFT JOIN freq f ON f.column_name = s.column_name AND f.v <= s.m
+                    ) GROUP BY column_name, step, pass, m, p1, nz, bins, t, b
+                ) GROUP BY column_name, step, pass, m, p1, nz, bins, t
             )
         )
     ),
@@ -563,7 +563,8 @@ ORACLE_SQL: dict[str, str] = {
         )
     ),
     "numeric_profile": " UNION ALL ".join(
-        f"SELECT * EXCLUDE (total_rows) FROM ({summary_sql(name, column)})" for name, column in PROFILED
+        f"SELECT * EXCLUDE (total_rows) REPLACE (ROUND(chart_max_value, 6) AS chart_max_value) FROM ({summary_sql(name, column)})"
+        for name, column in PROFILED
     ),
     "datetime_profile": """SELECT 'o_orderdate' AS column_name, MIN(o_orderdate) AS min_value,
             COUNT(*) FILTER (o_orderdate < TIMESTAMP '1998-01-01') AS before_year_count,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import pct
@@ -78,7 +78,7 @@ def column_bin_counts(df: DataFrame, columns: Sequence[Column], bins: Sequence[B
     return stacked.unionByName(_zero_rows(df, bins)).groupBy("c", "bucket").agg(F.sum("w").alias("n"))
 
 
-def label_bins(counts: DataFrame, names: Sequence[str], bins: Sequence[Bins], total_rows: int) -> DataFrame:
+def label_bins(counts: DataFrame, names: Sequence[str], bins: Sequence[Bins], total_rows: Column) -> DataFrame:
     """Name and edge the rows of ``bin_counts``, without the bin above the range."""
     upper = lookup([spec.upper for spec in bins], F.col("c"), "double")
     count = lookup([spec.count for spec in bins], F.col("c"), "int")
@@ -87,15 +87,20 @@ def label_bins(counts: DataFrame, names: Sequence[str], bins: Sequence[Bins], to
         "bucket",
         bin_edge(F.col("bucket"), upper, count).alias("bin_edge"),
         F.col("n").alias("bin_count"),
-        pct(F.col("n"), F.lit(total_rows)).alias("bin_percentage"),
+        pct(F.col("n"), total_rows).alias("bin_percentage"),
     )
 
 
-def histogram(df: DataFrame, column: str, spec: Bins, total_rows: int) -> DataFrame:
-    """Histogram of one column with empty bins; percentages are of all rows."""
+def histogram(df: DataFrame, column: str, spec: Bins) -> DataFrame:
+    """Histogram of one column with empty bins; percentages are of all rows.
+
+    Rows outside the bins are counted in the same scan (bin 0), which gives the total without a second one. A range
+    that is empty (``upper <= 0``) has only empty bins.
+    """
     value = F.col(column).cast("double")
-    if spec.upper <= 0:
-        counts = df.limit(0).select(F.lit(0).alias("c"), F.lit(0.0).alias("v"), F.lit(0).cast("bigint").alias("w"))
-        return label_bins(bin_counts(counts, [spec]), [column], [spec], total_rows)
-    value = F.when(~F.isnan(value), value)
-    return label_bins(column_bin_counts(df, [value], [spec]), [column], [spec], total_rows)
+    inside = ~F.isnan(value) & (value > 0) & (value <= F.lit(spec.upper))
+    index = F.when(inside, bin_index(value, F.lit(spec.upper), F.lit(spec.count))).otherwise(0)
+    rows = df.select(F.lit(0).alias("c"), index.alias("bucket"), F.lit(1).cast("bigint").alias("w"))
+    counts = rows.unionByName(_zero_rows(df, [spec])).groupBy("c", "bucket").agg(F.sum("w").alias("n"))
+    totals = counts.withColumn("total_rows", F.sum("n").over(Window.partitionBy("c")))
+    return label_bins(totals.where(F.col("bucket") > 0), [column], [spec], F.col("total_rows"))

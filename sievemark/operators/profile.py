@@ -331,7 +331,7 @@ def numeric_profile(
         known("max", "double").alias("max_value"),
         (spec_count + 2).cast("bigint").alias("range_count"),
     )
-    return NumericProfile(summary, label_bins(counts, found.names, specs, found.row_count), found.row_count)
+    return NumericProfile(summary, label_bins(counts, found.names, specs, F.lit(found.row_count)), found.row_count)
 
 
 # --- calendar profile ----------------------------------------------------------------------------------------------

@@ -75,10 +75,17 @@ def exact_quantiles(
             continue
         position = (size - 1) * p
         low, high = found[name, math.floor(position)], found[name, math.ceil(position)]
-        result[name] = low + (high - low) * (position - math.floor(position))
+        result[name] = _interpolate(low, high, position - math.floor(position))
     return result
 
 
+def _interpolate(low: float, high: float, fraction: float) -> float:
+    """Weighted mean of two neighbours; equal neighbours give exactly their value."""
+    if low == high:
+        return low
+    return low * (1 - fraction) + high * fraction
+
+
 def _rank_directly(df, values, searches) -> dict[tuple[str, int], float]:
     columns = [search.inside(values[search.name]) for search in searches]
     frequencies = stack_columns(df, columns).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))

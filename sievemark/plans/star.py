@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import minute_boundaries, same_day
-from ..functions.numbers import exact_sum, narrow_unsigned
+from ..functions.numbers import exact_sum, narrow_unsigned, round_scaled
 from ..operators import bounds, charts, checks, daily, profile, rules
 from ..operators.daily import Metric
 from ..operators.histogram import Bins, histogram
@@ -42,6 +42,7 @@ KEPT_DISCOUNTS = (0.0, 0.02, 0.04, 0.05, 0.06, 0.08, 0.1)
 LOW_PRIORITIES = ("4-NOT SPECIFIED", "5-LOW")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 PROFILE_YEAR = 1998
+DIGITS = 6  # of interpolated and averaged values, whose last bits depend on the order of operations
 ORDER_YEARS = tuple(range(1995, 2002))
 URGENT_WEIGHT = 0.75
 RAIN_BANDS = (
@@ -324,7 +325,7 @@ def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, columns in PROFILED_NUMBERS:
         part = profile.numeric_profile(table(spark, sf_dir, name), columns).summary
         united = part if united is None else united.unionByName(part)
-    return united
+    return united.withColumn("chart_max_value", round_scaled(F.col("chart_max_value"), DIGITS))
 
 
 def datetime_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,7 +341,8 @@ def date_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_table(table(spark, sf_dir, "orders"), PROFILE_YEAR)
+    found = profile_table(table(spark, sf_dir, "orders"), PROFILE_YEAR)
+    return found.withColumn("chart_max_value", round_scaled(F.col("chart_max_value"), DIGITS))
 
 
 # --- histograms and bounds -----------------------------------------------------------------------------------------
@@ -419,8 +421,6 @@ def zero_rate_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- impact --------------------------------------------------------------------------------------------------------
 
-DIGITS = 6
-
 
 def _section(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     metrics = line_metrics()
