@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 # smallest signed type that holds the range.
 UNSIGNED_RANGES = {8: (255, "smallint"), 16: (65535, "int"), 32: (4294967295, "bigint")}
 
+# Any text that parses as a number starts like this (digits, a point, infinity or NaN, after blanks and a sign).
+NUMBER_START = r"^[\x00-\x20]*[+-]?[0-9.iInN]"
+
 
 def round_scaled(value: Column, digits: int = 2) -> Column:
     """Round a double half away from zero on the scaled value (1.005 -> 1.0 at 2 digits)."""
@@ -41,7 +44,12 @@ def narrow_unsigned(value: Column, bits: int, name: str) -> Column:
 
 
 def try_narrow(value: Column, source: T.DataType, target: str) -> Column:
-    """TRY_CAST that rounds fractional numbers half to even before an integer cast."""
+    """TRY_CAST that rounds fractional numbers half to even before an integer cast.
+
+    Text that cannot start a number is told apart before the cast, whose parser is slow on such text.
+    """
+    if isinstance(source, T.StringType) and target in ("float", "double"):
+        return F.when(value.rlike(NUMBER_START), value).try_cast(target)
     fractional = isinstance(source, (T.FloatType, T.DoubleType))
     if fractional and target in ("tinyint", "smallint", "int", "bigint"):
         value = F.rint(value)

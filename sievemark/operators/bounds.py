@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import clean_double, round_scaled
-from .histogram import Bins, bin_counts, column_bin_counts
-from .longform import lookup, value_frequencies, weighted_values
+from .histogram import Bins, bin_index
+from .longform import stack_columns, value_frequencies
 
 # Fixed values of the trim: (bins, smallest share in percent a last bin must hold) for pass 1 and pass 2.
 TRIM_PASSES = ((100, 0.05), (10, 0.5))
@@ -127,23 +127,30 @@ def iterative_trim(
 
 
 def _histograms(df, values, cached, running, column_count) -> dict[int, list[int]]:
+    """Bin counts of the running columns at their current bounds; bins without rows stay 0."""
     if cached is None:
         ids = [c for c, _ in running]
-        counts = column_bin_counts(df, [values[c] for c in ids], [state.bins for _, state in running])
+        buckets = [_bucket(values[c], state) for c, state in running]
+        counts = stack_columns(df, buckets, "bucket").groupBy("c", "bucket").agg(F.count(F.lit(1)).alias("n"))
     else:
         ids = list(range(column_count))
-        bins = [Bins(float("inf"), 0)] * column_count
+        bucket = F
         for c, state in running:
-            bins[c] = state.bins
-        counts = bin_counts(cached.where(F.col("c").isin([c for c, _ in running])), bins)
+            bucket = bucket.when(F.col("c") == c, _bucket(F.col("v"), state))
+        counted = cached.select("c", bucket.alias("bucket"), "w").where(F.col("bucket").isNotNull())
+        counts = counted.groupBy("c", "bucket").agg(F.sum("w").alias("n"))
     result = {c: [0] * state.bins.count for c, state in running}
     for row in counts.collect():
-        bins_of_column = result.get(ids[row.c])
-        if bins_of_column is not None and row.bucket <= len(bins_of_column):
-            bins_of_column[row.bucket - 1] = row.n
+        result[ids[row.c]][row.bucket - 1] = row.n
     return result
 
 
+def _bucket(value: Column, state: TrimState) -> Column:
+    """Bin of a value at the column's current bound, NULL outside of it."""
+    upper, count = F.lit(state.bins.upper), F.lit(state.bins.count)
+    return F.when((value > 0) & (value <= upper), bin_index(value, upper, count))
+
+
 def trim_table(spark, states: Sequence[TrimState]) -> DataFrame:
     """One row per column: maximum and the bounds after pass 1 and pass 2, unrounded."""
     rows = [(s.name, s.max_value, s.pass_values[0], s.pass_values[-1], s.zero_count) for s in states]

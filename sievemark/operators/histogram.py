@@ -45,24 +45,12 @@ def _zero_rows(df: DataFrame, bins: Sequence[Bins]) -> DataFrame:
     ).where(F.col("bucket") <= lookup([spec.count + 1 for spec in bins], F.col("c"), "int"))
 
 
-def bin_counts(values: DataFrame, bins: Sequence[Bins]) -> DataFrame:
-    """(c, bucket, n) over weighted values (c, v, w); bucket ``count + 1`` holds the values above the range.
+def column_bin_counts(df: DataFrame, columns: Sequence[Column], bins: Sequence[Bins]) -> DataFrame:
+    """(c, bucket, n) of each column; bucket ``count + 1`` holds the values above the range.
 
-    Only (column, bin) pairs cross the shuffle: at most ``bins + 1`` rows per column and input partition.
+    Each value becomes its bin number before rows are stacked, so only (column, bin) pairs cross the shuffle: at most
+    ``count + 1`` rows per column and input partition.
     """
-    upper = lookup([spec.upper for spec in bins], F.col("c"), "double")
-    count = lookup([spec.count for spec in bins], F.col("c"), "int")
-    inside = (F.col("v") <= upper) & (count > 0)
-    bucketed = values.where(F.col("v") > 0).select(
-        "c", F.when(inside, bin_index(F.col("v"), upper, count)).otherwise(count + 1).alias("bucket"), "w"
-    )
-    return (
-        bucketed.unionByName(_zero_rows(values, bins)).groupBy("c", "bucket").agg(F.sum("w").alias("n"))
-    )
-
-
-def column_bin_counts(df: DataFrame, columns: Sequence[Column], bins: Sequence[Bins]) -> DataFrame:
-    """``bin_counts`` straight from columns: each value becomes its bin number before rows are stacked."""
     buckets = [
         F.when(
             value > 0,
@@ -79,7 +67,7 @@ def column_bin_counts(df: DataFrame, columns: Sequence[Column], bins: Sequence[B
 
 
 def label_bins(counts: DataFrame, names: Sequence[str], bins: Sequence[Bins], total_rows: Column) -> DataFrame:
-    """Name and edge the rows of ``bin_counts``, without the bin above the range."""
+    """Name and edge the rows of ``column_bin_counts``, without the bin above the range."""
     upper = lookup([spec.upper for spec in bins], F.col("c"), "double")
     count = lookup([spec.count for spec in bins], F.col("c"), "int")
     return counts.where(F.col("bucket") <= count).select(

@@ -1,4 +1,4 @@
-"""Turning numeric columns into (column id, value, weight) rows so that one scan serves all of them."""
+"""Turning same-typed columns into (column id, value) rows so that one scan serves all of them."""
 
 from __future__ import annotations
 
@@ -19,10 +19,6 @@ def stack_columns(df: DataFrame, columns: Sequence[Column], value_name: str = "v
     return df.select(F.stack(F.lit(len(columns)), *pairs).alias("c", value_name)).where(F.col(value_name).isNotNull())
 
 
-def weighted_values(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
-    return stack_columns(df, columns).withColumn("w", F.lit(1).cast("bigint"))
-
-
 def value_frequencies(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
     """Distinct (c, v) with their row counts; partial counts are combined before the shuffle."""
     return stack_columns(df, columns).groupBy("c", "v").agg(F.count(F.lit(1)).alias("w"))

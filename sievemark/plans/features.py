@@ -112,18 +112,20 @@ class ImpactTables:
         self.totals.unpersist()
 
 
-def sections_of(
-    totals: DataFrame, metrics: Sequence[Metric], levels: Mapping[str, tuple[str, Sequence[Band]]]
-) -> dict[str, DataFrame]:
-    """The two status sections and the level sections, all from the daily totals."""
-    wet_factor = levels["rain_level"][0]
-    return {
-        "rain_status": impact.status_impact(totals, metrics, wet_factor),
-        "rain_weekend": impact.day_type_impact(totals, metrics, wet_factor),
-        **{
-            name: impact.level_impact(totals, metrics, factor, bands, name) for name, (factor, bands) in levels.items()
-        },
-    }
+Levels = Mapping[str, tuple[str, Sequence[Band]]]
+
+
+def section(totals: DataFrame, metrics: Sequence[Metric], levels: Levels, name: str) -> DataFrame:
+    """One section from the daily totals: ``rain_status``, ``rain_weekend`` or a level of ``levels``."""
+    if name in levels:
+        factor, bands = levels[name]
+        return impact.level_impact(totals, metrics, factor, bands, name)
+    build = {"rain_status": impact.status_impact, "rain_weekend": impact.day_type_impact}[name]
+    return build(totals, metrics, levels["rain_level"][0])
+
+
+def sections_of(totals: DataFrame, metrics: Sequence[Metric], levels: Levels) -> dict[str, DataFrame]:
+    return {name: section(totals, metrics, levels, name) for name in ("rain_status", "rain_weekend", *levels)}
 
 
 def report_values(section: DataFrame, names: Sequence[str], digits: int = 2) -> DataFrame:
@@ -135,11 +137,12 @@ def metric_names(metrics: Sequence[Metric]) -> list[str]:
     return ["avg_trip_count", *[metric.name for metric in metrics]]
 
 
+SUMMARISED = ("rain_status", "rain_weekend", "rain_level")
+
+
 def summary_of(sections: Mapping[str, DataFrame], metrics: Sequence[Metric]) -> DataFrame:
     names = metric_names(metrics)
-    rounded = {
-        name: report_values(sections[name], names) for name in ("rain_status", "rain_weekend", "rain_level")
-    }
+    rounded = {name: report_values(sections[name], names) for name in SUMMARISED}
     return impact.impact_summary(rounded, RAIN_COMPARISONS, names)
 
 

@@ -424,7 +424,7 @@ def zero_rate_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _section(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     metrics = line_metrics()
-    section = features.sections_of(line_totals(spark, sf_dir), metrics, LEVELS)[name]
+    section = features.section(line_totals(spark, sf_dir), metrics, LEVELS, name)
     return features.report_values(section, features.metric_names(metrics), DIGITS)
 
 
@@ -455,7 +455,8 @@ def impact_by_range_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = line_metrics()
-    sections = features.sections_of(line_totals(spark, sf_dir), metrics, LEVELS)
+    totals = line_totals(spark, sf_dir)
+    sections = {name: features.section(totals, metrics, LEVELS, name) for name in features.SUMMARISED}
     return features.summary_of(sections, metrics)
 
 
