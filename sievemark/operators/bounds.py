@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import clean_double, round_scaled
+from ..sources.tables import materialise
 from .histogram import Bins, bin_index
 from .longform import stack_columns, value_frequencies
 
@@ -89,12 +90,15 @@ def _max_and_zero(columns: Sequence[str]) -> list[Column]:
 
 
 def iterative_trim(
-    df: DataFrame, columns: Sequence[str], frequency_rows: int = FREQUENCY_ROWS
+    df: DataFrame, columns: Sequence[str], frequency_rows: int = FREQUENCY_ROWS, derived: bool = False
 ) -> tuple[list[TrimState], int]:
     """Two-pass trim of all columns together; returns the states and the row count.
 
     Each step is one job: a histogram of every running column, at most 100 rows per column to the driver. The number
     of jobs is that of the slowest column. NULL and negative entries stay in the share's denominator.
+
+    Repeated values (money in cents) are reduced once to a cached table of values and counts. Otherwise every step
+    reads the columns again; for a ``derived`` input, which would be computed again, they are first stored.
     """
     names = list(columns)
     row = df.agg(
@@ -114,6 +118,9 @@ def iterative_trim(
     cached = None
     if distinct <= frequency_rows and distinct * 2 <= total_rows * len(names):
         cached = value_frequencies(df, values).persist(StorageLevel.MEMORY_AND_DISK)
+    elif derived:
+        df = materialise(df.select(*[value.alias(name) for name, value in zip(names, values)]))
+        values = [F.col(name) for name in names]
     try:
         while any(state.running for state in states):
             running = [(c, state) for c, state in enumerate(states) if state.running]

@@ -28,35 +28,16 @@ def other_bucket(counts: DataFrame, min_percent_above: float | None = None) -> D
     shown = F.col("percent") > F.lit(min_percent_above) if min_percent_above is not None else F.lit(True)
     shown = shown & ((F.col("value_count") <= MANY_VALUES) | (F.col("percent") > 0))
     flagged = rounded.join(F.broadcast(sizes), "column_name").withColumn("shown", shown)
-    visible = flagged.where("shown").select(
+    hundredths = F.rint(F.col("percent") * 100).cast("bigint")
+    folded = flagged.groupBy(
         "column_name",
-        F.coalesce("value", F.lit("null")).alias("label"),
-        "count",
-        "percent",
-        value_kind().alias("kind"),
-        "numeric_value",
-    )
-    hidden = (
-        flagged.where("not shown")
-        .groupBy("column_name")
-        .agg(
-            F.count(F.lit(1)).alias("hidden"),
-            F.sum("count").alias("count"),
-            round_scaled(F.sum(round_scaled(F.col("percent") * 100, 0)) / 100, 5).alias("percent"),
-        )
-        .select(
-            "column_name",
-            F.format_string("Other (%d values)", F.col("hidden")).alias("label"),
-            "count",
-            "percent",
-            F.lit(3).alias("kind"),
-            F.lit(None).cast("double").alias("numeric_value"),
-        )
-    )
-    return (
-        visible.unionByName(hidden)
-        .orderBy("column_name", "kind", "numeric_value", "label")
-        .select("column_name", "label", "count", "percent", F.col("kind").alias("row_kind"))
+        F.when(F.col("shown"), value_kind()).otherwise(3).alias("row_kind"),
+        F.when(F.col("shown"), F.col("numeric_value")).alias("numeric_value"),
+        F.when(F.col("shown"), F.coalesce("value", F.lit("null"))).alias("label"),
+    ).agg(F.count(F.lit(1)).alias("values"), F.sum("count").alias("count"), (F.sum(hundredths) / 100).alias("percent"))
+    other = F.format_string("Other (%d values)", F.col("values"))
+    return folded.orderBy("column_name", "row_kind", "numeric_value", "label").select(
+        "column_name", F.coalesce("label", other).alias("label"), "count", "percent", "row_kind"
     )
 
 

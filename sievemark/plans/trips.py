@@ -12,7 +12,6 @@ from ..operators import bounds, checks, rules
 from ..operators.rules import Rule, null_default_in, shifted_when
 from ..sources.files import monthly_names, require_files
 from ..sources.ingest import ingest_parquet
-from ..sources.tables import materialise
 
 # Fixed values of the trip model.
 YEAR = 2019
@@ -110,7 +109,7 @@ def apply_business_rules(raw: DataFrame, year: int = YEAR) -> DataFrame:
 
 def find_caps(ruled: DataFrame) -> dict[str, float]:
     """Caps of the long-tailed columns, from the rows that passed the rules."""
-    states, _ = bounds.iterative_trim(ruled, CAPPED_COLUMNS)
+    states, _ = bounds.iterative_trim(ruled, CAPPED_COLUMNS, derived=True)
     return bounds.upper_bounds(states)
 
 
@@ -135,15 +134,12 @@ def flag(value, true_text: str, false_text: str):
 
 
 def clean(raw: DataFrame, year: int = YEAR, caps: Mapping[str, float] | None = None) -> DataFrame:
-    """Raw trips to clean trips. Without given caps they are found from the rows that pass the rules.
+    """Raw trips to clean trips; without given caps they are found from the rows that pass the rules.
 
-    Finding caps reads the passing rows several times, so they are stored once; with given caps the whole flow is one
-    lazy scan whose filters reach the files.
+    The result is one lazy scan of the raw rows with the rules and caps as filters, which reach the files.
     """
     ruled = apply_business_rules(raw, year)
-    if caps is None:
-        ruled = materialise(ruled)
-        caps = find_caps(ruled)
+    caps = find_caps(ruled) if caps is None else caps
     return narrow(bounds.apply_upper_bounds(ruled, caps))
 
 

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import os
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
-    """A local session in UTC with few shuffle partitions and no user interface."""
-    partitions = cores if isinstance(cores, int) else os.cpu_count() or 8
-    return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("sievemark")
-        .config("spark.driver.memory", memory)
-        .config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .getOrCreate()
-    )
+def local_session(cores: int = 8, settings: Mapping[str, str] | None = None) -> SparkSession:
+    """A local session in UTC with one shuffle partition per core and no user interface."""
+    defaults = {
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": str(cores),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.ui.enabled": "false",
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("sievemark")
+    for key, value in {**defaults, **(settings or {})}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()

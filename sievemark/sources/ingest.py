@@ -33,16 +33,20 @@ def unite_pinned(parts: Sequence[DataFrame]) -> DataFrame:
 def ingest_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Parquet files in the columns and types of the first path.
 
-    Files are grouped by their footer schema, so there is one scan per distinct schema and not one per file: the
-    usual case is a single scan. The driver sees one row per distinct schema and its file paths.
+    Footers are compared in tasks. When all files store the pinned columns alike, which is the usual case, the paths
+    are read in one scan; otherwise there is one scan per kind of footer, not one per file.
     """
     schema = spark.read.parquet(paths[0]).schema
     wanted = set(schema.names)
-    kinds = read_footers(spark, list(paths), "*").select(
-        "path", F.array_sort(F.filter("fields", lambda item: item["column_name"].isin(*wanted))).alias("kept")
-    )
-    grouped = kinds.groupBy(F.to_json("kept").alias("kind")).agg(F.collect_list("path").alias("paths")).collect()
-    parts = [spark.read.parquet(*sorted(row.paths)) for row in grouped]
+    fields = F.array_sort(F.filter("fields", lambda item: item["column_name"].isin(*wanted)))
+    kinds = read_footers(spark, list(paths), "*").select("path", F.to_json(fields).alias("kind"))
+    found = sorted(row.kind for row in kinds.select("kind").distinct().collect())
+    if len(found) == 1:
+        return pin(spark.read.parquet(*paths), schema)
+    parts = []
+    for kind in found:
+        of_kind = [row.path for row in kinds.where(F.col("kind") == kind).select("path").collect()]
+        parts.append(spark.read.parquet(*sorted(of_kind)))
     return reduce(DataFrame.unionByName, [pin(part, schema) for part in parts])
 
 

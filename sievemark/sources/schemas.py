@@ -72,13 +72,16 @@ def drift(footers: DataFrame, reference_file: str, rename: Column | None = None)
             for item in reference
         ]
     )
-    others = footers.where(F.col("file") != reference_file)
 
-    def side(kind: str, fields: Column) -> DataFrame:
-        return others.select("file", F.lit(kind).alias("mismatch"), F.inline(fields), "row_count")
+    def marked(kind: str, fields: Column) -> Column:
+        return F.transform(
+            fields, lambda f: F.struct(F.lit(kind).alias("mismatch"), f["column_name"].alias("column_name"), f["parquet_type"].alias("parquet_type"))
+        )
 
-    missing = side("missing", F.array_except(expected, F.col("fields")))
-    return missing.unionByName(side("extra", F.array_except(F.col("fields"), expected)))
+    missing = marked("missing", F.array_except(expected, F.col("fields")))
+    extra = marked("extra", F.array_except(F.col("fields"), expected))
+    others = footers.where(F.col("file") != reference_file)
+    return others.select("file", F.inline(F.concat(missing, extra)), "row_count")
 
 
 def drift_summary(footers: DataFrame, mismatches: DataFrame, reference_file: str) -> dict:

@@ -7,10 +7,21 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from sievemark.session import local_session
 
-    session = local_session(8)
+    # Small inputs: few partitions, and a compiler tier that starts fast.
+    session = local_session(
+        4,
+        {
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+            "spark.ui.showConsoleProgress": "false",
+        },
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
