@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 # smallest signed type that holds the range.
 UNSIGNED_RANGES = {8: (255, "smallint"), 16: (65535, "int"), 32: (4294967295, "bigint")}
 
+INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
 # Any text that parses as a number starts like this (digits, a point, infinity or NaN, after blanks and a sign).
 NUMBER_START = r"^[\x00-\x20]*[+-]?[0-9.iInN]"
 
@@ -46,13 +48,16 @@ def narrow_unsigned(value: Column, bits: int, name: str) -> Column:
 def try_narrow(value: Column, source: T.DataType, target: str) -> Column:
     """TRY_CAST that rounds fractional numbers half to even before an integer cast.
 
-    Text that cannot start a number is told apart before the cast, whose parser is slow on such text.
+    Values that cannot pass are told apart by a plain test first: inside the cast each costs an exception.
     """
     if isinstance(source, T.StringType) and target in ("float", "double"):
         return F.when(value.rlike(NUMBER_START), value).try_cast(target)
-    fractional = isinstance(source, (T.FloatType, T.DoubleType))
-    if fractional and target in ("tinyint", "smallint", "int", "bigint"):
-        value = F.rint(value)
+    if isinstance(source, T.NumericType) and target in INTEGER_BITS:
+        if isinstance(source, (T.FloatType, T.DoubleType)):
+            value = F.rint(value)
+        edge = 2 ** (INTEGER_BITS[target] - 1)
+        if target != "bigint":
+            value = F.when(value.between(-edge, edge - 1), value)
     return value.try_cast(target)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from ..operators.rules import Rule, apply_rules, null_default_in, shifted_when
 from ..sources import schemas
 from ..sources.files import read_footers
 from ..sources.ingest import unite_pinned
+from ..sources.tables import materialise
 from . import features, trips, weather
+from .concurrent import side_by_side, union_of
 from .profiles import profile_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,11 +295,10 @@ def type_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _over_tables(spark: SparkSession, sf_dir: str, names, build) -> DataFrame:
-    united = None
-    for name in names:
-        part = build(table(spark, sf_dir, name)).withColumn("table_name", F.lit(name))
-        united = part if united is None else united.unionByName(part)
-    return united
+    def named(name: str) -> DataFrame:
+        return build(table(spark, sf_dir, name)).withColumn("table_name", F.lit(name))
+
+    return union_of(spark, [partial(named, name) for name in names])
 
 
 def capped_distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,10 +323,10 @@ PROFILED_NUMBERS = (("customer", ("c_acctbal",)), ("lineitem", ("l_discount", "l
 
 
 def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    united = None
-    for name, columns in PROFILED_NUMBERS:
-        part = profile.numeric_profile(table(spark, sf_dir, name), columns).summary
-        united = part if united is None else united.unionByName(part)
+    def summary(name: str, columns) -> DataFrame:
+        return profile.numeric_profile(table(spark, sf_dir, name), columns).summary
+
+    united = union_of(spark, [partial(summary, name, columns) for name, columns in PROFILED_NUMBERS])
     return united.withColumn("chart_max_value", round_scaled(F.col("chart_max_value"), DIGITS))
 
 
@@ -348,13 +350,14 @@ def profiled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- histograms and bounds -----------------------------------------------------------------------------------------
 
 
-def _with_stats(spark: SparkSession, sf_dir: str, build) -> DataFrame:
-    united = None
-    for name, column in (("customer", "c_acctbal"), ("events", "value")):
-        df = table(spark, sf_dir, name)
-        part = build(profile.numeric_profile(df, [column]))
-        united = part if united is None else united.unionByName(part)
-    return united
+CHARTED = (("customer", "c_acctbal"), ("events", "value"))
+
+
+def _charted(spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    def rows(name: str, column: str) -> DataFrame:
+        return build(profile.numeric_profile(table(spark, sf_dir, name), [column]))
+
+    return union_of(spark, [partial(rows, name, column) for name, column in CHARTED])
 
 
 def histogram_right_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,11 +368,11 @@ def histogram_right_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def histogram_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_stats(spark, sf_dir, charts.labeled_histogram)
+    return _charted(spark, sf_dir, charts.labeled_histogram)
 
 
 def histogram_chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_stats(spark, sf_dir, charts.chart_rows)
+    return _charted(spark, sf_dir, charts.chart_rows)
 
 
 def positive_max_zero_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -379,35 +382,30 @@ def positive_max_zero_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRIMMED = (("events", ("value",)), ("documents", ("n_chars",)), ("lineitem", ("l_extendedprice", "l_quantity")))
 
 
+def _trimmed(spark: SparkSession, sf_dir: str, sources=TRIMMED):
+    """(states, row count) per source."""
+    calls = [partial(bounds.iterative_trim, table(spark, sf_dir, name), columns) for name, columns in sources]
+    return side_by_side(spark, calls)
+
+
 def iterative_trim_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = []
-    for name, columns in TRIMMED:
-        found, _ = bounds.iterative_trim(table(spark, sf_dir, name), columns)
-        states += found
-    return bounds.trim_table(spark, states)
+    return bounds.trim_table(spark, [state for states, _ in _trimmed(spark, sf_dir) for state in states])
 
 
 def upper_bound_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    united = None
-    for name, columns in TRIMMED:
-        found, total_rows = bounds.iterative_trim(table(spark, sf_dir, name), columns)
-        part = bounds.upper_bound_bins(spark, found, total_rows)
-        united = part if united is None else united.unionByName(part)
-    return united
+    parts = [bounds.upper_bound_bins(spark, states, total_rows) for states, total_rows in _trimmed(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def apply_upper_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events and documents at or below their caps."""
-    united = None
-    for name, key, column in (("events", "event_id", "value"), ("documents", "doc_id", "n_chars")):
-        df = table(spark, sf_dir, name)
-        states, _ = bounds.iterative_trim(df, [column])
-        kept = bounds.apply_upper_bounds(df.select(key, column), bounds.upper_bounds(states))
-        part = kept.select(
-            F.lit(name).alias("source"), F.col(key).alias("id"), F.col(column).cast("double").alias("kept_value")
-        )
-        united = part if united is None else united.unionByName(part)
-    return united
+    parts = []
+    for (name, (column,)), key, (states, _) in zip(TRIMMED, ("event_id", "doc_id"), _trimmed(spark, sf_dir, TRIMMED[:2])):
+        rows = table(spark, sf_dir, name).select(key, column)
+        kept = bounds.apply_upper_bounds(rows, bounds.upper_bounds(states))
+        value = F.col(column).cast("double").alias("kept_value")
+        parts.append(kept.select(F.lit(name).alias("source"), F.col(key).alias("id"), value))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def zero_rate_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -455,7 +453,7 @@ def impact_by_range_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = line_metrics()
-    totals = line_totals(spark, sf_dir)
+    totals = materialise(line_totals(spark, sf_dir))
     sections = {name: features.section(totals, metrics, LEVELS, name) for name in features.SUMMARISED}
     return features.summary_of(sections, metrics)
 
@@ -464,7 +462,7 @@ def impact_diff_from_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differences of every level and status group from its baseline group, in one long table."""
     metrics = line_metrics()
     names = features.metric_names(metrics)
-    sections = features.sections_of(line_totals(spark, sf_dir), metrics, LEVELS)
+    sections = features.sections_of(materialise(line_totals(spark, sf_dir)), metrics, LEVELS)
     rounded = {name: features.report_values(section, names) for name, section in sections.items()}
     parts = []
     for name in LEVELS:
@@ -475,10 +473,7 @@ def impact_diff_from_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekend = features.status_differences(rounded["rain_weekend"], names, ["day_type"])
     group = F.concat_ws("/", "day_type", "rain_status").alias("group_name")
     parts.append(weekend.select(F.lit("rain_weekend").alias("section"), group, "metric", "value", "diff_from_baseline"))
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    return united
+    return reduce(DataFrame.unionByName, parts)
 
 
 QUERIES: dict[str, Query] = {
