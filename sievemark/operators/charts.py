@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +60,11 @@ def labeled_histogram(profile: NumericProfile) -> DataFrame:
     summary = profile.summary.withColumn("total", F.lit(profile.row_count))
     low, chart, high = (plain_number(round_scaled(F.col(n))) for n in ("min_value", "chart_max_value", "max_value"))
     entries = F.array(
-        F.struct(F.lit(-2).alias("row_order"), F.concat(F.lit("["), low, F.lit(", 0)")).alias("label"), F.col("negative_count").alias("count")),
+        F.struct(
+            F.lit(-2).alias("row_order"),
+            F.concat(F.lit("["), low, F.lit(", 0)")).alias("label"),
+            F.col("negative_count").alias("count"),
+        ),
         F.struct(F.lit(-1).alias("row_order"), F.lit("0").alias("label"), F.col("zero_count").alias("count")),
         F.struct(
             F.lit(0).alias("row_order"),

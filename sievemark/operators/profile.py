@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.calendar import days_in_year, month_label, year_start
 from ..functions.numbers import clean_double, pct, round_scaled, try_narrow
 from .histogram import Bins, column_bin_counts, label_bins
-from .longform import lookup, stack_columns
+from .longform import lookup
 from .quantile import DIRECT_ROWS, exact_quantiles
 
 # Fixed values of the profile reports.

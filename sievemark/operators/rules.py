@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import pct
 
-RULE_TEXT_FIELDS = ("rule_name", "column_name")
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -68,8 +66,21 @@ def removal_audit(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def rule_totals(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row: raw, clean and removed rows and the number of rules."""
+    return totals_of(failure_counts(df, rules), rules)
+
+
+def rule_impact(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule: rows failing it, failing only it, and failing it together with others.
+
+    Ordered by exclusive count descending, then by rule position.
+    """
+    return impact_of(failure_counts(df, rules), rules)
+
+
+def totals_of(counts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``rule_totals`` from the row of ``failure_counts``."""
     removed = F.col("raw_count") - F.col("clean_count")
-    return failure_counts(df, rules).select(
+    return counts.select(
         "raw_count",
         "clean_count",
         removed.alias("removed_count"),
@@ -78,12 +89,8 @@ def rule_totals(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def rule_impact(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: rows failing it, failing only it, and failing it together with others.
-
-    Ordered by exclusive count descending, then by rule position.
-    """
-    counts = failure_counts(df, rules)
+def impact_of(counts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``rule_impact`` from the row of ``failure_counts``."""
     entries = F.array(
         *[
             F.struct(
@@ -97,6 +104,11 @@ def rule_impact(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         ]
     )
     shared = F.col("invalid_count") - F.col("exclusive_removed_count")
+    shares = {
+        "invalid_percentage": "invalid_count",
+        "exclusive_removed_percentage": "exclusive_removed_count",
+        "shared_removed_percentage": "shared_removed_count",
+    }
     return (
         counts.select("raw_count", F.inline(entries))
         .withColumn("shared_removed_count", shared)
@@ -107,9 +119,7 @@ def rule_impact(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             "invalid_count",
             "exclusive_removed_count",
             "shared_removed_count",
-            pct(F.col("invalid_count"), F.col("raw_count")).alias("invalid_percentage"),
-            pct(F.col("exclusive_removed_count"), F.col("raw_count")).alias("exclusive_removed_percentage"),
-            pct(F.col("shared_removed_count"), F.col("raw_count")).alias("shared_removed_percentage"),
+            *[pct(F.col(part), F.col("raw_count")).alias(name) for name, part in shares.items()],
         )
         .orderBy(F.desc("exclusive_removed_count"), "rule_index")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import pct, round_scaled
 from ..operators import profile
 from ..operators.profile import TableScan, type_family
-from ..sources.reports import metadata_frame, write_report
+from ..sources.reports import metadata_frame, write_reports
 from ..sources.schemas import table_type
 
 
@@ -39,16 +39,20 @@ def _column_facts(df: DataFrame, scan: TableScan, names: Sequence[str], unique:
     return facts.select("column_index", "column_name", "data_type", "unique_count", percent)
 
 
-def profile_columns(df: DataFrame, year: int, columns: Sequence[str] | None = None) -> TableProfile:
-    """Split the columns by cardinality and profile each group by type.
+def profile_columns(
+    df: DataFrame, year: int, columns: Sequence[str] | None = None, split: tuple[list[str], list[str]] | None = None
+) -> TableProfile:
+    """Split the columns by cardinality and profile each group by type; a known ``split`` (low, high) is kept.
 
     Scans: one for counts and cardinality, one for the value counts of the low columns, and for the high columns one
     calendar scan, the numeric statistics and their histogram.
     """
     scan = profile.scan_table(df, columns)
     unique = profile.collect_unique_counts(df, scan)
-    low = [name for name in scan.names if unique[name] <= scan.limit]
-    high = [name for name in scan.names if unique[name] > scan.limit]
+    low, high = split or (
+        [name for name in scan.names if unique[name] <= scan.limit],
+        [name for name in scan.names if unique[name] > scan.limit],
+    )
     families = {name: type_family(df.schema[name].dataType) for name in high}
     numeric = [name for name in high if families[name] == "numeric"]
     datetime = [name for name in high if families[name] == "datetime"]
@@ -120,5 +124,4 @@ def write_profile(found: TableProfile, folder: str) -> list[str]:
             "high_unique_column_count": len(found.high),
         },
     )
-    tables = {"metadata": metadata, **found.reports}
-    return [name for name, table in tables.items() if write_report(table, f"{folder}/{name}")]
+    return write_reports({"metadata": metadata, **found.reports}, folder)

@@ -202,9 +202,12 @@ def unit_conversion_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balances read as degrees Fahrenheit and part sizes as inches, in metric units at 2 decimals."""
     warm = table(spark, sf_dir, "customer").where(F.col("c_acctbal") > weather.ABSOLUTE_ZERO_FAHRENHEIT)
     sized = table(spark, sf_dir, "part").where(F.col("p_size") >= 0)
-    customers = warm.select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), weather.celsius(F.col("c_acctbal")).alias("metric_value"))
-    parts = sized.select(F.lit("part").alias("source"), F.col("p_partkey").alias("id"), weather.centimetres(F.col("p_size")).alias("metric_value"))
-    return customers.unionByName(parts)
+
+    def shaped(df: DataFrame, source: str, key: str, value) -> DataFrame:
+        return df.select(F.lit(source).alias("source"), F.col(key).alias("id"), value.alias("metric_value"))
+
+    customers = shaped(warm, "customer", "c_custkey", weather.celsius(F.col("c_acctbal")))
+    return customers.unionByName(shaped(sized, "part", "p_partkey", weather.centimetres(F.col("p_size"))))
 
 
 def narrow_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,15 +467,16 @@ def impact_diff_from_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = features.metric_names(metrics)
     sections = features.sections_of(materialise(line_totals(spark, sf_dir)), metrics, LEVELS)
     rounded = {name: features.report_values(section, names) for name, section in sections.items()}
-    parts = []
-    for name in LEVELS:
-        part = features.level_differences(rounded[name], name, names)
-        parts.append(part.select(F.lit(name).alias("section"), F.col(name).alias("group_name"), "metric", "value", "diff_from_baseline"))
+
+    def shaped(differences: DataFrame, section: str, group) -> DataFrame:
+        keys = [F.lit(section).alias("section"), group.alias("group_name")]
+        return differences.select(*keys, "metric", "value", "diff_from_baseline")
+
+    parts = [shaped(features.level_differences(rounded[name], name, names), name, F.col(name)) for name in LEVELS]
     status = features.status_differences(rounded["rain_status"], names)
-    parts.append(status.select(F.lit("rain_status").alias("section"), F.col("rain_status").alias("group_name"), "metric", "value", "diff_from_baseline"))
     weekend = features.status_differences(rounded["rain_weekend"], names, ["day_type"])
-    group = F.concat_ws("/", "day_type", "rain_status").alias("group_name")
-    parts.append(weekend.select(F.lit("rain_weekend").alias("section"), group, "metric", "value", "diff_from_baseline"))
+    parts.append(shaped(status, "rain_status", F.col("rain_status")))
+    parts.append(shaped(weekend, "rain_weekend", F.concat_ws("/", "day_type", "rain_status")))
     return reduce(DataFrame.unionByName, parts)
 
 

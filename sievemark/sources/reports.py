@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numbers import round_scaled
+
 # Columns that come first in a report file, in this order.
 LEADING_COLUMNS = (
     "check",
@@ -38,16 +40,25 @@ def yes_no(value: Column) -> Column:
     return F.when(value, "yes").when(~value, "no")
 
 
-def write_report(df: DataFrame, path: str) -> bool:
+def report_form(df: DataFrame, digits: int = 2) -> DataFrame:
+    """The columns in report order, fractional numbers rounded and booleans as yes/no."""
+
+    def shaped(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if isinstance(kind, T.BooleanType):
+            return yes_no(F.col(name)).alias(name)
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            return round_scaled(F.col(name), digits).alias(name)
+        return F.col(name)
+
+    return df.select(*[shaped(name) for name in ordered_columns(df.columns)])
+
+
+def write_report(df: DataFrame, path: str, digits: int = 2) -> bool:
     """Write a report table; nothing is written for a table without rows. Returns whether a file was written."""
     if df.isEmpty():
         return False
-    shaped = df.select(
-        *[
-            yes_no(F.col(name)).alias(name) if isinstance(df.schema[name].dataType, T.BooleanType) else F.col(name)
-            for name in ordered_columns(df.columns)
-        ]
-    )
+    shaped = report_form(df, digits)
     shaped.write.mode("overwrite").option("header", True).option("nullValue", NULL_TEXT).csv(path)
     return True
 
@@ -68,6 +79,17 @@ def metadata_row(metadata: DataFrame, keys: Sequence[str]) -> DataFrame:
     return metadata.agg(*[F.max(F.when(F.col("key") == key, F.col("value"))).alias(key) for key in keys])
 
 
+def write_reports(reports: Mapping[str, DataFrame], folder: str) -> list[str]:
+    """Write each table to a folder of its name; returns the names that had rows."""
+    return [name for name, table in reports.items() if write_report(table, f"{folder}/{name}")]
+
+
+def columns_to_rows(columnar: DataFrame, arrays: Sequence[str]) -> DataFrame:
+    """Rows from array columns read in parallel; shorter arrays are filled with NULL."""
+    others = [name for name in columnar.columns if name not in arrays]
+    return columnar.select(*others, F.inline(F.arrays_zip(*arrays)))
+
+
 def normalise_name(name: str) -> str:
     return name.strip().lower().replace(" ", "_")
 

@@ -74,8 +74,9 @@ def drift(footers: DataFrame, reference_file: str, rename: Column | None = None)
     )
 
     def marked(kind: str, fields: Column) -> Column:
+        names = ("column_name", "parquet_type")
         return F.transform(
-            fields, lambda f: F.struct(F.lit(kind).alias("mismatch"), f["column_name"].alias("column_name"), f["parquet_type"].alias("parquet_type"))
+            fields, lambda f: F.struct(F.lit(kind).alias("mismatch"), *[f[name].alias(name) for name in names])
         )
 
     missing = marked("missing", F.array_except(expected, F.col("fields")))

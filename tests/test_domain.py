@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from sievemark.operators import daily, rules
-from sievemark.plans import features, profiles, trips, weather
+from sievemark.plans import features, profiles, steps, trips, weather
 from sievemark.sources import files, ingest, reports, schemas, tables
 
 TRIP_SCHEMA = (
@@ -317,6 +317,8 @@ def test_profile_reports_round_trip(spark, tmp_path):
     assert len(written) == 8
     assert reports.saved_split(spark, folder, df.columns) == (found.low, found.high)
     assert reports.saved_split(spark, folder, [*df.columns, "other"]) is None
+    again = profiles.profile_columns(df, 2019, split=reports.saved_split(spark, folder, df.columns))
+    assert (again.low, again.high) == (found.low, found.high)
     numbers = reports.read_report(spark, f"{folder}/high_unique_columns_numeric", profiles.NUMERIC_STATS)
     assert numbers.first().max_value == 199.5
     values = reports.read_report(spark, f"{folder}/low_unique_columns_array", "column_name string, value string, count bigint")
@@ -347,6 +349,37 @@ def test_report_texts(spark, tmp_path):
     assert reports.metadata_frame(spark, {"all_match": True, "n": 3, "x": None}).collect()[0].value == "yes"
 
 
+def test_step_reports(spark, raw, raw_weather, clean_pair, month_folder, tmp_path):
+    """Every step's tables can be written, and hold what the operators found."""
+    stored = spark.read.parquet(f"{month_folder}/trips_2019-01.parquet")
+    impact = features.impact_tables(features.trip_totals(*clean_pair))
+    steps_ = {
+        "schemas": steps.file_schemas(spark, month_folder, "trips_2019-01.parquet", stored),
+        "csv": steps.csv_schema(raw_weather, raw_weather),
+        "rules": steps.business_rules(raw, trips.trip_rules()),
+        "bounds": steps.upper_bounds(trips.apply_business_rules(raw), trips.CAPPED_COLUMNS),
+        "dates": steps.date_filter(raw_weather, "DATE", 2019),
+        "daily": steps.daily_metrics(impact),
+        "impact": steps.impact(impact),
+        "payments": trips.payment_checks(raw),
+    }
+    written = {name: reports.write_reports(tables_, str(tmp_path / name)) for name, tables_ in steps_.items()}
+    assert {name: len(found) for name, found in written.items()} == {
+        "schemas": 4, "csv": 2, "rules": 2, "bounds": 3, "dates": 1, "daily": 2, "impact": 7, "payments": 2,
+    }
+    caps = reports.saved_bounds(spark, str(tmp_path / "bounds/column_bins"), trips.CAPPED_COLUMNS)
+    assert caps == trips.find_caps(trips.apply_business_rules(raw))
+    rule_rows = reports.read_report(spark, str(tmp_path / "rules/rules"), "rule_name string, invalid_count bigint")
+    assert rule_rows.count() == 22
+    impact.release()
+
+
+def test_columns_to_rows(spark):
+    columnar = spark.createDataFrame([("k", [1, 2], ["a"])], "name string, n array<int>, t array<string>")
+    rows = reports.columns_to_rows(columnar, ["n", "t"]).collect()
+    assert [tuple(row) for row in rows] == [("k", 1, "a"), ("k", 2, None)]
+
+
 def test_saved_bounds(spark, tmp_path):
     path = str(tmp_path / "bounds")
     assert reports.saved_bounds(spark, path, ["a"]) is None
