@@ -415,3 +415,24 @@ def test_materialise_uses_the_session_folder(spark):
 def test_errors_are_raised(spark, tmp_path):
     with pytest.raises((AnalysisException, PySparkException)):
         ingest.ingest_parquet(spark, [str(tmp_path / "absent.parquet")])
+
+
+def test_a_day_holding_a_third_of_all_rows(spark):
+    """Totals of a heavy day equal a plain count, and neither way to them gathers its rows."""
+    facts = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2019-05-04")).otherwise(F.date_add(F.lit("2019-01-01").cast("date"), (F.col("id") % 365).cast("int")).cast("string")).cast("date").alias("date"),
+        ((F.col("id") % 1000) / 100).alias("x"),
+    )
+    days = facts.select("date").distinct().withColumn("prcp", F.lit(0.0))
+    metrics = [daily.Metric("avg_x", F.col("x"), scale=2)]
+    by_join = daily.daily_totals(daily.join_daily(facts, days), metrics, ["prcp"])
+    by_sum = daily.joined_totals(facts, days, metrics, ["prcp"])
+    columns = ["date", "prcp", "trip_count", "total_avg_x"]
+    wanted = {}
+    for row in facts.collect():
+        n, total = wanted.get(row.date, (0, 0))
+        wanted[row.date] = (n + 1, total + round(row.x * 100))
+    for found in (by_join, by_sum):
+        assert {row.date: (row.trip_count, row.total_avg_x) for row in found.select(columns).collect()} == wanted
+    plan = by_sum._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_count") > 0 and plan.count("partial_count") >= 1
