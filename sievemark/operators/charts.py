@@ -19,7 +19,8 @@ def other_bucket(counts: DataFrame, min_percent_above: float | None = None) -> D
     """Fold hidden values of each column into one 'Other (n values)' row placed last.
 
     ``counts`` are value counts; shares are compared at 2 decimals. With ``min_percent_above`` only larger shares
-    stay. The hidden rows are folded by a partial aggregation, so a column with many values is no burden.
+    stay. The hidden rows are folded by a partial aggregation, so a column with many values is no burden. The broadcast
+    sizes have one row per column.
     """
     rounded = counts.withColumn("percent", round_scaled(F.col("percentage")))
     sizes = rounded.groupBy("column_name").agg(F.count(F.lit(1)).alias("value_count"))

@@ -38,28 +38,21 @@ def wet_status(value: Column, wet: str = "rain", dry: str = "no_rain") -> Column
 
 
 def status_impact(totals: DataFrame, metrics: Sequence[Metric], factor: str, day: str = "date") -> DataFrame:
-    """By status of the factor (positive or not), dry first."""
+    """By status of the factor (positive or not)."""
     status = wet_status(F.col(factor)).alias("rain_status")
-    days = by_day_and(totals, metrics, [status], day)
-    return mean_of_days(days, metrics, ["rain_status"]).orderBy(_status_order())
+    return mean_of_days(by_day_and(totals, metrics, [status], day), metrics, ["rain_status"])
 
 
 def day_type_impact(totals: DataFrame, metrics: Sequence[Metric], factor: str, day: str = "date") -> DataFrame:
-    """By day type and status, weekdays first, dry first."""
+    """By day type and status."""
     keys = [wet_status(F.col(factor)).alias("rain_status"), day_type(F.col(day)).alias("day_type")]
-    days = by_day_and(totals, metrics, keys, day)
-    sections = mean_of_days(days, metrics, ["day_type", "rain_status"])
-    return sections.orderBy(F.when(F.col("day_type") == "weekday", 1).otherwise(2), _status_order())
-
-
-def _status_order() -> Column:
-    return F.when(F.col("rain_status") == "no_rain", 1).otherwise(2)
+    return mean_of_days(by_day_and(totals, metrics, keys, day), metrics, ["day_type", "rain_status"])
 
 
 def level_impact(
     totals: DataFrame, metrics: Sequence[Metric], factor: str, bands: Sequence[Band], level_name: str, day: str = "date"
 ) -> DataFrame:
-    """By fixed level of the day's mean factor, in level order."""
+    """By fixed level of the day's mean factor."""
     value = F.col("factor_value")
     days = by_day_value(totals, metrics, factor, day).select(
         "*",
@@ -67,7 +60,17 @@ def level_impact(
         _banded(value, bands, lambda order, band: band.label).alias("value_range"),
         _banded(value, bands, lambda order, band: order).alias("level_order"),
     )
-    return mean_of_days(days, metrics, [level_name, "value_range", "level_order"]).orderBy("level_order")
+    return mean_of_days(days, metrics, [level_name, "value_range", "level_order"])
+
+
+def in_report_order(section: DataFrame) -> DataFrame:
+    """Levels in level order; weekdays before weekends and dry before wet."""
+    if "level_order" in section.columns:
+        return section.orderBy("level_order")
+    dry_first = F.when(F.col("rain_status") == "no_rain", 1).otherwise(2)
+    if "day_type" in section.columns:
+        return section.orderBy(F.when(F.col("day_type") == "weekday", 1).otherwise(2), dry_first)
+    return section.orderBy(dry_first)
 
 
 def metric_rows(section: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:

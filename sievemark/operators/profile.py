@@ -236,7 +236,10 @@ def value_kind() -> Column:
 
 
 def column_value_counts(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
-    """Value counts of one column, whatever its cardinality, with the share of all rows."""
+    """Value counts of one column, whatever its cardinality, with the share of all rows.
+
+    The broadcast total is a single row, read from the same shuffle as the counts.
+    """
     counted = _typed_counts(df, [column])
     if name:
         counted = counted.withColumn("column_name", F.lit(name))

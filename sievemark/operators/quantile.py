@@ -80,8 +80,8 @@ def exact_quantiles(
 
 
 def _interpolate(low: float, high: float, fraction: float) -> float:
-    """Weighted mean of two neighbours; equal neighbours give exactly their value."""
-    if low == high:
+    """Weighted mean of two neighbours; equal neighbours, or a rank without fraction, give exactly their value."""
+    if low == high or fraction == 0:
         return low
     return low * (1 - fraction) + high * fraction
 

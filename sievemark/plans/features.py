@@ -116,7 +116,7 @@ Levels = Mapping[str, tuple[str, Sequence[Band]]]
 
 
 def section(totals: DataFrame, metrics: Sequence[Metric], levels: Levels, name: str) -> DataFrame:
-    """One section from the daily totals: ``rain_status``, ``rain_weekend`` or a level of ``levels``."""
+    """One section from the daily totals, unordered: ``rain_status``, ``rain_weekend`` or a level of ``levels``."""
     if name in levels:
         factor, bands = levels[name]
         return impact.level_impact(totals, metrics, factor, bands, name)
@@ -128,9 +128,9 @@ def sections_of(totals: DataFrame, metrics: Sequence[Metric], levels: Levels) ->
     return {name: section(totals, metrics, levels, name) for name in ("rain_status", "rain_weekend", *levels)}
 
 
-def report_values(section: DataFrame, names: Sequence[str], digits: int = 2) -> DataFrame:
+def report_values(found: DataFrame, names: Sequence[str], digits: int = 2) -> DataFrame:
     """A section with its metrics rounded as in the report, which the summary and differences start from."""
-    return section.withColumns({name: round_scaled(F.col(name), digits) for name in names})
+    return found.withColumns({name: round_scaled(F.col(name), digits) for name in names})
 
 
 def metric_names(metrics: Sequence[Metric]) -> list[str]:
@@ -151,8 +151,9 @@ def impact_tables(totals: DataFrame, metrics: Sequence[Metric] | None = None) ->
     metrics = trip_metrics() if metrics is None else metrics
     totals = totals.persist(StorageLevel.MEMORY_AND_DISK)
     sections = sections_of(totals, metrics, LEVELS)
+    ordered = {name: impact.in_report_order(found) for name, found in sections.items()}
     return ImpactTables(
-        totals, daily.daily_metrics(totals, metrics, FACTORS), sections, summary_of(sections, metrics)
+        totals, daily.daily_metrics(totals, metrics, FACTORS), ordered, summary_of(sections, metrics)
     )
 
 
@@ -166,13 +167,13 @@ def trip_totals(trips: DataFrame, weather: DataFrame) -> DataFrame:
     return daily.joined_totals(trip_features(trips), weather_features(weather), trip_metrics(), FACTORS)
 
 
-def level_differences(section: DataFrame, level_name: str, names: Sequence[str]) -> DataFrame:
+def level_differences(found: DataFrame, level_name: str, names: Sequence[str]) -> DataFrame:
     """Differences of each level from its section's baseline level."""
     baseline = F.col(level_name) == F.lit(BASELINE_LEVELS[level_name])
-    return impact.diff_from_baseline(section, [level_name, "value_range"], names, baseline)
+    return impact.diff_from_baseline(found, [level_name, "value_range"], names, baseline)
 
 
-def status_differences(section: DataFrame, names: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+def status_differences(found: DataFrame, names: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """Differences of wet from dry days, inside each day type where the section has one."""
     baseline = F.col("rain_status") == F.lit("no_rain")
-    return impact.diff_from_baseline(section, [*within, "rain_status"], names, baseline, within)
+    return impact.diff_from_baseline(found, [*within, "rain_status"], names, baseline, within)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import minute_boundaries, same_day
 from ..functions.numbers import exact_sum, narrow_unsigned, round_scaled
-from ..operators import bounds, charts, checks, daily, profile, rules
+from ..operators import bounds, charts, checks, daily, impact, profile, rules
 from ..operators.daily import Metric
 from ..operators.histogram import Bins, histogram
 from ..operators.impact import Band
@@ -426,7 +426,7 @@ def zero_rate_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _section(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     metrics = line_metrics()
     section = features.section(line_totals(spark, sf_dir), metrics, LEVELS, name)
-    return features.report_values(section, features.metric_names(metrics), DIGITS)
+    return impact.in_report_order(features.report_values(section, features.metric_names(metrics), DIGITS))
 
 
 def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
