@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -23,15 +22,20 @@ def ensure_table(spark: SparkSession, name: str, build: Callable[[], DataFrame],
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a local session without one gets a temporary folder."""
+    """A folder that the driver and all executors see: the checkpoint folder of the session, else its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="sievemark-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/.scratch").rstrip("/")
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/materialised/{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored copy through the file system it lies in."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -39,6 +43,6 @@ def materialise(df: DataFrame) -> DataFrame:
 
     The copy is columnar, so later jobs read only their columns, and it does not depend on executors staying alive.
     """
-    path = f"{shared_folder(df.sparkSession)}/materialised/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
