@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemark.llm import contamination, id_files, packing
+from sievemark.llm import contamination, id_files, language, packing, quality, toxicity
 from sievemark.llm.inputs import table
 from sievemark.sources.tables import scratch_path
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -24,6 +36,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language": op3_language,
+    "op7_toxicity": op7_toxicity,
+    "op9_quality": op9_quality,
     "op6_decontamination": op6_decontamination,
     "op8_bit_plane_ids": op8_bit_plane_ids,
     "op10_packing": op10_packing,
