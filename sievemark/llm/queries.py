@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemark.llm import contamination, id_files, language, packing, quality, toxicity
+from sievemark.llm import contamination, id_files, language, packing, pii, quality, toxicity
 from sievemark.llm.inputs import table
 from sievemark.sources.tables import scratch_path
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op3_language": op3_language,
     "op7_toxicity": op7_toxicity,
     "op9_quality": op9_quality,
