@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sievemark.llm.contamination import words_of
 from sievemark.llm.inputs import id_and_text, texts_of
-from sievemark.llm.links import components, roots
+from sievemark.llm.links import components, in_blocks, roots
 from sievemark.sources.tables import materialise
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -250,16 +250,7 @@ def class_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, similari
     texts = id_and_text(docs).withColumnRenamed("doc_id", "class_id").join(members.drop("n_shingles", "weight"), "class_id")
     kinds = "class_id long, group long, copies long, blocks int, shingles binary"
     whole = texts.select("class_id", "group", "copies", "blocks", "text", "set_key").mapInArrow(run, kinds)
-    own = F.pmod(F.xxhash64("class_id", F.lit(5)), "blocks").cast("int")
-    dealt = whole.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    single = F.pmod(F.xxhash64("group"), F.lit(buckets)).cast("int")
-    dealt = dealt.select(
-        "class_id", "group", "copies", "shingles",
-        F.when(F.col("blocks") == 1, F.lit(-1).cast("long")).otherwise(F.col("group")).alias("bucket"),
-        F.when(F.col("blocks") == 1, single).otherwise(F.least("own", "other")).alias("low"),
-        F.when(F.col("blocks") == 1, single).otherwise(F.greatest("own", "other")).alias("high"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
-    )
+    dealt = in_blocks(whole, "class_id", "group", buckets)
     return dealt.groupBy("bucket", "low", "high").applyInArrow(_verify(similarity), "class_id long, linked long, root long")
 
 

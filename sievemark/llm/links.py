@@ -53,3 +53,23 @@ def roots(count: int, left: Iterable[int], right: Iterable[int]) -> np.ndarray:
         if (new == root).all():
             return root
         root = new
+
+
+def in_blocks(rows: DataFrame, key: str, group: str, buckets: int) -> DataFrame:
+    """Rows of groups dealt out so that all pairs of a group meet, in tasks of bounded size: adds bucket, low, high, side.
+
+    `rows` has the number of blocks of its group in `blocks`. Groups of one block share `buckets` buckets. A larger
+    group is cut into blocks by its key, and each pair of blocks (low, high) is a bucket of its own; there, side tells
+    the rows of the low block (0) from those of the high one (1), and pairs inside a block meet where low = high.
+    """
+    own = F.pmod(F.xxhash64(key, F.lit(5)), "blocks").cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    single, alone = F.col("blocks") == 1, F.pmod(F.xxhash64(group), F.lit(buckets)).cast("int")
+    return dealt.withColumns(
+        {
+            "bucket": F.when(single, F.lit(-1).cast("long")).otherwise(F.col(group)),
+            "low": F.when(single, alone).otherwise(F.least("own", "other")),
+            "high": F.when(single, alone).otherwise(F.greatest("own", "other")),
+            "side": F.when(F.col("own") <= F.col("other"), 0).otherwise(1),
+        }
+    ).drop("own", "other", "blocks")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemark.llm import contamination, id_files, jaccard, language, packing, pii, quality, toxicity
+from sievemark.llm import contamination, id_files, jaccard, language, packing, pii, quality, toxicity, vectors
 from sievemark.llm.inputs import table
 from sievemark.sources.tables import scratch_path
 
@@ -25,6 +25,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_pivot_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_language": op3_language,
+    "op4_pivot_near_dedup": op4_pivot_near_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op9_quality": op9_quality,
