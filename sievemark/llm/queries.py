@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemark.llm import contamination, id_files, jaccard, language, packing, pii, quality, toxicity, vectors
+from sievemark.llm import contamination, id_files, jaccard, language, packing, pii, quality, suffixes, toxicity, vectors
 from sievemark.llm.inputs import table
 from sievemark.sources.tables import scratch_path
 
@@ -13,6 +13,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_text(table(spark, sf_dir, "documents"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_language": op3_language,
     "op4_pivot_near_dedup": op4_pivot_near_dedup,
     "op5_jaccard_join": op5_jaccard_join,
