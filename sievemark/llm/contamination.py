@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.inputs import id_and_text, texts_of
+from sievemark.llm.inputs import id_and_text, with_columns
 
 WINDOW_WORDS = 10
 AUTOMATON_BYTES = 4_000_000
@@ -31,7 +31,7 @@ _WORD_BYTES = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(
 _FOLD = bytes(low if (low := ord(chr(b).lower()) if 0x41 <= b <= 0x5A else b) in _WORD_BYTES else 0x20 for b in range(256))
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
-HIT_SCHEMA = "doc_id long, n_words long, hit_words array<int>, item_ids array<string>"
+HIT_SCHEMA = "n_words long, hit_words array<int>, item_ids array<string>"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -97,40 +97,24 @@ def item_blocks(benchmark: DataFrame, most_bytes: int = AUTOMATON_BYTES) -> list
     return [tuple(sorted((r["item_id"], r["text"]) for r in items.filter(block == at).toLocalIterator())) for at in range(count)]
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
-    """For each document its number of words, the numbers of the words inside benchmark windows, and the items."""
-    texts = id_and_text(docs)
-
-    def scanner(items: tuple[tuple[str, str], ...]):
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found = automaton(items, size)
-            for batch in batches:
-                rows = [scan(text, found) for text in texts_of(batch)]
-                columns = [[r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]]
-                kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                    names=["doc_id", "n_words", "hit_words", "item_ids"],
-                )
-
-        return run
-
+def with_passages(rows: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+    """The rows with the number of words of their text, the numbers of the words inside benchmark windows, and the items."""
     blocks = item_blocks(benchmark, most_bytes)
-    if len(blocks) == 1:
-        return texts.mapInArrow(scanner(blocks[0]), HIT_SCHEMA)
-
-    def all_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [next(scanner(items)([batch])).to_pylist() for items in blocks]
-            rows = [
-                (rows[0]["doc_id"], rows[0]["n_words"], sorted({w for r in rows for w in r["hit_words"]}), sorted({i for r in rows for i in r["item_ids"]}))
-                for rows in zip(*parts)
-            ]
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())]
-            columns = [pa.array([r[at] for r in rows], kind) for at, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "hit_words", "item_ids"])
-
-    return texts.mapInArrow(all_blocks, HIT_SCHEMA)
+
+    def make(texts: list[str]) -> list[pa.Array]:
+        found = [scan(text, automaton(blocks[0], size)) for text in texts]
+        for items in blocks[1:]:
+            more = automaton(items, size)
+            found = [(n, np.union1d(hit, also), sorted({*ids, *others})) for (n, hit, ids), (_, also, others) in zip(found, (scan(t, more) for t in texts))]
+        kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())]
+        return [pa.array([row[at] for row in found], kind) for at, kind in enumerate(kinds)]
+
+    return with_columns(rows, HIT_SCHEMA, make)
+
+
+def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+    """Words, hit words and items of each document: doc_id, n_words, hit_words, item_ids."""
+    return with_passages(id_and_text(docs), benchmark, size, most_bytes).drop("text")
 
 
 def spans_of(text: str, hit_words: Iterable[int]) -> list[tuple[int, int]]:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -33,3 +35,19 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a batch, null as empty."""
     return [text or "" for text in batch.column(column).to_pylist()]
+
+
+def with_columns(df: DataFrame, added: str, make: Callable[[list[str]], list[pa.Array]], rows: int = 1000) -> DataFrame:
+    """The rows with columns that `make` gives for some texts at a time; `added` is their schema. Nothing is shuffled."""
+    new = T.StructType.fromDDL(added)
+    schema = T.StructType([f for f in df.schema.fields if f.name not in new.names] + new.fields)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
+                kept = [name for name in batch.schema.names if name not in new.names]
+                columns = [batch.column(name) for name in kept] + make(texts_of(batch))
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, *new.names])
+
+    return df.mapInArrow(run, schema)

@@ -189,13 +189,14 @@ def train(spark: SparkSession) -> boosted.Boosted:
     return boosted.fit(table, np.array([row["good"] for row in rows], dtype=float))
 
 
-def spans(docs: DataFrame, model: boosted.Boosted) -> DataFrame:
-    """Documents with their base spans and all spans, in order of begin and kind: doc_id, text, base, spans.
+BASE_SPANS, ALL_SPANS, _MORE = "_base_spans", "_all_spans", "_more_spans"
 
-    A text without a digit, an at sign or a bracket has no spans and meets no pattern.
+
+def with_spans(rows: DataFrame, model: boosted.Boosted) -> DataFrame:
+    """The rows with the base spans and all spans of their text, in order of begin and kind.
+
+    A text without a digit, an at sign or a spelt-out one has no spans and meets no pattern.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    texts = id_and_text(docs).select("doc_id", text.alias("text"))
     some = F.rlike("text", F.lit(r"[0-9@]|[\[(] ?(?:at|AT)"))
     ordered = lambda left, right: (
         F.when(left["begin"] != right["begin"], left["begin"] - right["begin"])
@@ -207,12 +208,12 @@ def spans(docs: DataFrame, model: boosted.Boosted) -> DataFrame:
     rated = lambda p: boosted.expression(model, [p["features"][at] for at in range(len(FEATURES))]) >= model.threshold
     plain = lambda p: F.struct(p["begin"].alias("begin"), p["end"].alias("end"), p["kind"].alias("kind"))
     clash = lambda p, q: (p["kind"] == q["kind"]) & (p["begin"] < q["end"]) & (q["begin"] < p["end"])
-    step1 = texts.withColumn("base", F.when(some, F.array_sort(base, ordered)).otherwise(F.array().cast(f"array<{SPAN}>")))
-    open_ = F.filter(proposals(F.col("text")), lambda p: ~F.exists(F.col("base"), lambda q: clash(p, q)))
-    step2 = step1.withColumn("more", F.when(some, F.transform(F.filter(open_, rated), plain)).otherwise(none))
+    with_base = rows.withColumn(BASE_SPANS, F.when(some, F.array_sort(base, ordered)).otherwise(F.array().cast(f"array<{SPAN}>")))
+    open_ = F.filter(proposals(F.col("text")), lambda p: ~F.exists(F.col(BASE_SPANS), lambda q: clash(p, q)))
+    with_more = with_base.withColumn(_MORE, F.when(some, F.transform(F.filter(open_, rated), plain)).otherwise(none))
     add = lambda held, p: F.when(F.exists(held, lambda q: clash(p, q)), held).otherwise(F.concat(held, F.array(p)))
-    every = F.array_sort(F.aggregate(F.array_sort(F.col("more"), ordered), F.col("base"), add), ordered)
-    return step2.withColumn("spans", F.when(F.size("more") > 0, every).otherwise(F.col("base"))).drop("more")
+    every = F.array_sort(F.aggregate(F.array_sort(F.col(_MORE), ordered), F.col(BASE_SPANS), add), ordered)
+    return with_more.withColumn(ALL_SPANS, F.when(F.size(_MORE) > 0, every).otherwise(F.col(BASE_SPANS))).drop(_MORE)
 
 
 def listed(column: str) -> Column:
@@ -237,9 +238,15 @@ def redacted(text: str, column: str) -> Column:
     return F.when(F.size(column) == 0, F.col(text)).otherwise(F.aggregate(F.col(column), start, step, rest))
 
 
+def redact(docs: DataFrame) -> DataFrame:
+    """The documents with the personal data in their text replaced; a null text stays null."""
+    found = with_spans(docs, train(docs.sparkSession))
+    return found.withColumn("text", redacted("text", ALL_SPANS)).drop(BASE_SPANS, ALL_SPANS)
+
+
 def personal_data(docs: DataFrame) -> DataFrame:
     """Counts of base spans by kind, their digest, and all spans of each document."""
-    found = spans(docs, train(docs.sparkSession))
-    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+    found = with_spans(id_and_text(docs), train(docs.sparkSession))
+    of = lambda kind: F.size(F.filter(BASE_SPANS, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
     counts = [of(kind).alias(f"n_{kind}") for kind in KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(listed(BASE_SPANS), 256).alias("base_sha256"), listed(ALL_SPANS).alias("spans"))

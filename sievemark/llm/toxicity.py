@@ -16,7 +16,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.inputs import id_and_text, texts_of
+from sievemark.llm.inputs import id_and_text, with_columns
 from sievemark.llm.samples import held_out, labelled_texts
 
 SEQUENCE = 128
@@ -77,6 +76,17 @@ class Vocabulary:
         return np.array(found, dtype=np.int64)
 
 
+_vocabularies: dict[int, Vocabulary] = {}
+
+
+def vocabulary_of(name: int, field: Field) -> Vocabulary:
+    """The vocabulary of a field that a Python worker keeps from task to task; only the last field's."""
+    if name not in _vocabularies:
+        _vocabularies.clear()
+        _vocabularies[name] = Vocabulary(field.weights)
+    return _vocabularies[name]
+
+
 @dataclass
 class Field:
     """Weights of the field and of the document score."""
@@ -274,22 +284,26 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Field
     return train([text for text, _ in rows], [label for _, label in rows])
 
 
+SCORE_SCHEMA = "score double, spans array<struct<begin: int, end: int>>"
+_SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+
+
+def scored(rows: DataFrame, field: Field | None) -> DataFrame:
+    """The rows with the score and the offending spans of their whole texts."""
+    name = zlib.crc32(field.weights.tobytes()) if field else 0
+
+    def make(texts: list[str]) -> list[pa.Array]:
+        if field is None:
+            return [pa.array([0.0] * len(texts)), pa.array([[]] * len(texts), _SPANS)]
+        found = score_texts(texts, field, vocabulary_of(name, field))
+        return [pa.array([s for s, _ in found]), pa.array([[{"begin": a, "end": b} for a, b in places] for _, places in found], _SPANS)]
+
+    return with_columns(rows, SCORE_SCHEMA, make)
+
+
 def score(docs: DataFrame, field: Field | None) -> DataFrame:
     """Score and offending spans of every whole text: doc_id, score, spans."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(field.weights) if field else None
-        kinds = [pa.float64(), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))]
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                texts = texts_of(batch)
-                rows = score_texts(texts, field, vocabulary) if field else [(0.0, [])] * len(texts)
-                spans = [[{"begin": a, "end": b} for a, b in places] for _, places in rows]
-                columns = [batch.column("doc_id"), pa.array([r[0] for r in rows], kinds[0]), pa.array(spans, kinds[1])]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "spans"])
-
-    return id_and_text(docs).mapInArrow(run, "doc_id long, score double, spans array<struct<begin: int, end: int>>")
+    return scored(id_and_text(docs), field).drop("text")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
