@@ -21,7 +21,7 @@ TOXIC_SCORE = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below `TOXIC_SCORE`."""
     field = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, field).filter(F.col("score") < TOXIC_SCORE).select(docs.columns)
+    return toxicity.scored(docs, field).filter(F.col("_score") < TOXIC_SCORE).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     hits = contamination.with_passages(docs, table(spark, sf_dir, "benchmark"))
-    return hits.filter(F.size("hit_words") == 0).select(docs.columns)
+    return hits.filter(F.size("_hit_words") == 0).select(docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

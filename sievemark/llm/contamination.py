@@ -31,7 +31,7 @@ _WORD_BYTES = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(
 _FOLD = bytes(low if (low := ord(chr(b).lower()) if 0x41 <= b <= 0x5A else b) in _WORD_BYTES else 0x20 for b in range(256))
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
-HIT_SCHEMA = "n_words long, hit_words array<int>, item_ids array<string>"
+HIT_SCHEMA = "_n_words long, _hit_words array<int>, _item_ids array<string>"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -98,7 +98,8 @@ def item_blocks(benchmark: DataFrame, most_bytes: int = AUTOMATON_BYTES) -> list
 
 
 def with_passages(rows: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
-    """The rows with the number of words of their text, the numbers of the words inside benchmark windows, and the items."""
+    """The rows with the number of words of their text (`_n_words`), the numbers of the words inside benchmark windows
+    (`_hit_words`) and the items of these (`_item_ids`)."""
     blocks = item_blocks(benchmark, most_bytes)
 
     def make(texts: list[str]) -> list[pa.Array]:
@@ -114,7 +115,8 @@ def with_passages(rows: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORD
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """Words, hit words and items of each document: doc_id, n_words, hit_words, item_ids."""
-    return with_passages(id_and_text(docs), benchmark, size, most_bytes).drop("text")
+    found = with_passages(id_and_text(docs), benchmark, size, most_bytes).drop("text")
+    return found.withColumnsRenamed({name: name[1:] for name in ("_n_words", "_hit_words", "_item_ids")})
 
 
 def spans_of(text: str, hit_words: Iterable[int]) -> list[tuple[int, int]]:

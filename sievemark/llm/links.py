@@ -12,7 +12,7 @@ from sievemark.sources.tables import discard, materialise
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """Component of each node of undirected edges (a, b): node, component (its smallest node).
+    """Component of nodes of undirected edges (a, b): node, component (its smallest node), for all nodes but these smallest.
 
     Each round links every node's neighbours to the smallest of them, first the larger ones and then the smaller ones,
     until no edge changes; a round stores its edges, so lineage stays short. The smallest neighbour is a partial sum

@@ -284,12 +284,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Field
     return train([text for text, _ in rows], [label for _, label in rows])
 
 
-SCORE_SCHEMA = "score double, spans array<struct<begin: int, end: int>>"
+SCORE_SCHEMA = "_score double, _spans array<struct<begin: int, end: int>>"
 _SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
 
 def scored(rows: DataFrame, field: Field | None) -> DataFrame:
-    """The rows with the score and the offending spans of their whole texts."""
+    """The rows with the score (`_score`) and the offending spans (`_spans`) of their whole texts."""
     name = zlib.crc32(field.weights.tobytes()) if field else 0
 
     def make(texts: list[str]) -> list[pa.Array]:
@@ -303,7 +303,7 @@ def scored(rows: DataFrame, field: Field | None) -> DataFrame:
 
 def score(docs: DataFrame, field: Field | None) -> DataFrame:
     """Score and offending spans of every whole text: doc_id, score, spans."""
-    return scored(id_and_text(docs), field).drop("text")
+    return scored(id_and_text(docs), field).select("doc_id", F.col("_score").alias("score"), F.col("_spans").alias("spans"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
