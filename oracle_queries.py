@@ -344,16 +344,21 @@ def zero_column_rows() -> str:
 
 DAILY = """daily AS (
     SELECT CAST(o_orderdate AS DATE) AS date, 0.75::DOUBLE * COUNT(*) FILTER (o_orderpriority = '1-URGENT') AS prcp,
-        (CAST(SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100e0 / COUNT(*) - 200000) / 8000 AS avg_temp,
+        (AVG(o_totalprice) - 200000) / 8000 AS avg_temp,
         (MAX(o_totalprice) - MIN(o_totalprice)) / 25000 AS temp_range
     FROM orders GROUP BY 1)"""
 FEAT = f"""{DAILY}, feat AS (
     SELECT d.date, l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, prcp, avg_temp, temp_range
     FROM lineitem JOIN daily d ON d.date = CAST(l_shipdate AS DATE))"""
-MEANS = """COUNT(*) AS trip_count,
-    CAST(SUM(CAST(l_quantity AS BIGINT)) AS DOUBLE) / COUNT(*) AS avg_quantity,
-    CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100e0 / COUNT(*) AS avg_price,
-    CAST(SUM(CAST(ROUND(l_discount * 100) AS BIGINT)) AS DOUBLE) / 100e0 / COUNT(*) AS avg_discount"""
+MEANS = """COUNT(*) AS trip_count, AVG(l_quantity) AS avg_quantity, AVG(l_extendedprice) AS avg_price,
+    AVG(l_discount) AS avg_discount"""
+
+
+def settled(value: str) -> str:
+    """Rounded to 6 places, exact halves moved up first."""
+    return f"ROUND({value} + 1e-8, 6)"
+
+
 METRICS = ["avg_trip_count", "avg_quantity", "avg_price", "avg_discount"]
 
 
@@ -529,7 +534,7 @@ ORACLE_SQL: dict[str, str] = {
     "derived_daily_features": """SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date,
             (MIN(o_totalprice) + MAX(o_totalprice)) / 2.0 AS mid_value, MAX(o_totalprice) - MIN(o_totalprice) AS value_range
         FROM orders GROUP BY CAST(o_orderdate AS DATE) HAVING COUNT(*) FILTER (o_orderpriority = '1-URGENT') = 0""",
-    "join_daily_features": f"WITH {FEAT} SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM feat",
+    "join_daily_features": f"WITH {FEAT} SELECT * REPLACE (CAST(date AS VARCHAR) AS date, {settled('avg_temp')} AS avg_temp) FROM feat",
     "step_removal_audit": f"""SELECT COUNT(*) AS input_rows, COUNT(*) FILTER ({ALL_RULES}) AS output_rows,
             COUNT(*) - COUNT(*) FILTER ({ALL_RULES}) AS removed_rows,
             {pct(f'(COUNT(*) - COUNT(*) FILTER ({ALL_RULES}))', 'COUNT(*)')} AS removed_percent FROM {LINES}""",
@@ -572,10 +577,11 @@ ORACLE_SQL: dict[str, str] = {
             COUNT(*) FILTER (o_orderdate >= TIMESTAMP '1999-01-01') AS after_year_count, MAX(o_orderdate) AS max_value,
             CAST(12 AS BIGINT) AS month_count FROM orders""",
     "month_counts": month_rows(),
-    "date_coverage": """SELECT CAST(year(d) AS INTEGER) AS filter_year, COUNT(*) AS row_count, COUNT(DISTINCT d) AS unique_count,
-            CAST(MIN(d) AS VARCHAR) AS min_date, CAST(MAX(d) AS VARCHAR) AS max_date, COUNT(*) = COUNT(DISTINCT d) AS is_unique,
-            COUNT(DISTINCT d) = date_diff('day', make_date(year(d), 1, 1), make_date(year(d) + 1, 1, 1)) AS full_year
-        FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) WHERE year(d) BETWEEN 1995 AND 2001 GROUP BY year(d)""",
+    "date_coverage": """SELECT y AS filter_year, COUNT(d) AS row_count, COUNT(DISTINCT d) AS unique_count,
+            CAST(MIN(d) AS VARCHAR) AS min_date, CAST(MAX(d) AS VARCHAR) AS max_date, COUNT(d) = COUNT(DISTINCT d) AS is_unique,
+            COUNT(DISTINCT d) = date_diff('day', make_date(y, 1, 1), make_date(y + 1, 1, 1)) AS full_year
+        FROM (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001), (2030)) AS asked(y)
+        LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) ON year(d) = y GROUP BY y""",
     "profile_table": profile_sql(),
     "histogram_right_closed": " UNION ALL ".join(
         f"SELECT * FROM ({bins_sql(name, column, upper, count, total_sql(name))})"
@@ -601,8 +607,9 @@ ORACLE_SQL: dict[str, str] = {
     "minute_boundary_duration": f"""WITH {SPANS} SELECT event_type, COUNT(*) AS span_count,
             CAST(SUM(date_diff('minute', a, b)) AS BIGINT) AS total_minutes, MAX(date_diff('minute', a, b)) AS longest_minutes
         FROM spans GROUP BY event_type""",
-    "daily_metrics": f"""WITH {FEAT} SELECT CAST(date AS VARCHAR) AS date, prcp, avg_temp, temp_range, {MEANS}
-        FROM feat GROUP BY feat.date, prcp, avg_temp, temp_range""",
+    "daily_metrics": f"""WITH {FEAT}, days AS (SELECT date, prcp, avg_temp, temp_range, {MEANS} FROM feat GROUP BY ALL)
+        SELECT CAST(date AS VARCHAR) AS date, prcp, temp_range, trip_count,
+            {', '.join(f'{settled(m)} AS {m}' for m in ('avg_temp', 'avg_quantity', 'avg_price', 'avg_discount'))} FROM days""",
     "impact_by_status": f"WITH {FEAT} {status_sql(6)}",
     "impact_by_daytype_status": f"WITH {FEAT} {day_type_sql(6)}",
     "impact_by_rain_level": f"WITH {FEAT} {level_sql('rain_level', 6)}",

@@ -35,9 +35,5 @@ def year_start(year: int, type_name: str) -> Column:
     return F.lit(f"{year:04d}-01-01").cast(type_name)
 
 
-def in_year(value: Column, year: int, type_name: str) -> Column:
-    return (value >= year_start(year, type_name)) & (value < year_start(year + 1, type_name))
-
-
 def month_label(month: Column) -> Column:
     return F.element_at(F.array(*[F.lit(label) for label in MONTH_LABELS]), month)

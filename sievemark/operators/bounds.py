@@ -9,8 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import quoted
 from ..functions.numbers import clean_double, round_scaled
-from ..sources.tables import materialise
 from .histogram import Bins, bin_index
 from .longform import stack_columns, value_frequencies
 
@@ -84,7 +84,7 @@ def positive_max_zero_count(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _max_and_zero(columns: Sequence[str]) -> list[Column]:
     aggregates = []
     for k, name in enumerate(columns):
-        value = clean_double(F.col(name))
+        value = clean_double(quoted(name))
         aggregates += [F.max(F.when(value > 0, value)).alias(f"max_{k}"), F.count_if(value == 0).alias(f"zero_{k}")]
     return aggregates
 
@@ -98,13 +98,13 @@ def iterative_trim(
     of jobs is that of the slowest column. NULL and negative entries stay in the share's denominator.
 
     Repeated values (money in cents) are reduced once to a cached table of values and counts. Otherwise every step
-    reads the columns again; for a ``derived`` input, which would be computed again, they are first stored.
+    reads the columns again; those of a ``derived`` input, which would be computed again, are cached until the end.
     """
     names = list(columns)
     row = df.agg(
         F.count(F.lit(1)).alias("row_count"),
         *_max_and_zero(names),
-        *[F.approx_count_distinct(clean_double(F.col(name))).alias(f"distinct_{k}") for k, name in enumerate(names)],
+        *[F.approx_count_distinct(clean_double(quoted(name))).alias(f"distinct_{k}") for k, name in enumerate(names)],
     ).first()
     total_rows = row["row_count"]
     states = []
@@ -113,14 +113,14 @@ def iterative_trim(
         zeros = row[f"zero_{k}"]
         states.append(TrimState(name, max_value, zeros, total_rows - zeros, max_value))
 
-    values = [clean_double(F.col(name)) for name in names]
+    values = [clean_double(quoted(name)) for name in names]
     distinct = sum(row[f"distinct_{k}"] for k in range(len(names)))
-    cached = None
+    cached = held = None
     if distinct <= frequency_rows and distinct * 2 <= total_rows * len(names):
         cached = value_frequencies(df, values).persist(StorageLevel.MEMORY_AND_DISK)
     elif derived:
-        df = materialise(df.select(*[value.alias(name) for name, value in zip(names, values)]))
-        values = [F.col(name) for name in names]
+        df = held = df.select(*[value.alias(name) for name, value in zip(names, values)]).persist(StorageLevel.MEMORY_AND_DISK)
+        values = [quoted(name) for name in names]
     try:
         while any(state.running for state in states):
             running = [(c, state) for c, state in enumerate(states) if state.running]
@@ -128,8 +128,9 @@ def iterative_trim(
             for c, state in running:
                 state.advance(counted[c])
     finally:
-        if cached is not None:
-            cached.unpersist()
+        for kept in (cached, held):
+            if kept is not None:
+                kept.unpersist()
     return states, total_rows
 
 
@@ -191,7 +192,7 @@ def apply_upper_bounds(df: DataFrame, bounds: Mapping[str, float]) -> DataFrame:
     """Rows at or below every cap (NULL fails). The caps are literals, so the scan can push them down."""
     kept = df
     for name, bound in bounds.items():
-        kept = kept.where(F.col(name) <= F.lit(bound))
+        kept = kept.where(quoted(name) <= F.lit(bound))
     return kept
 
 

@@ -7,15 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import quoted
 from ..functions.numbers import pct
 
 
 def zero_rate_by_category(df: DataFrame, category: str, amount: str, listed: Sequence) -> DataFrame:
     """Per listed category its rows and the rows with ``amount`` exactly zero; categories without rows report 0."""
-    is_zero = F.col(amount) == F.lit(0.0)
+    is_zero = quoted(amount) == F.lit(0.0)
     aggregates = []
     for k, value in enumerate(listed):
-        match = F.col(category) == F.lit(value)
+        match = quoted(category) == F.lit(value)
         aggregates += [F.count_if(match).alias(f"t_{k}"), F.count_if(match & is_zero).alias(f"z_{k}")]
     entries = F.array(
         *[
@@ -30,13 +31,16 @@ def zero_rate_by_category(df: DataFrame, category: str, amount: str, listed: Seq
     )
 
 
-def zero_rate_by_column(df: DataFrame, category: str, listed: Sequence, amounts: Sequence[str]) -> DataFrame:
-    """Per listed category and amount column the exact zeros and their share of the category, largest share first."""
+def zero_rate_by_column(
+    df: DataFrame, category: str, listed: Sequence, amounts: Sequence[str], ranked: bool = True
+) -> DataFrame:
+    """Per listed category and amount column the exact zeros and their share of the category, largest share first (or,
+    not ``ranked``, in the given order)."""
     aggregates = []
     for k, value in enumerate(listed):
-        match = F.col(category) == F.lit(value)
+        match = quoted(category) == F.lit(value)
         aggregates.append(F.count_if(match).alias(f"t_{k}"))
-        aggregates += [F.count_if(match & (F.col(name) == F.lit(0.0))).alias(f"z_{k}_{i}") for i, name in enumerate(amounts)]
+        aggregates += [F.count_if(match & (quoted(name) == F.lit(0.0))).alias(f"z_{k}_{i}") for i, name in enumerate(amounts)]
     entries = F.array(
         *[
             F.struct(
@@ -51,9 +55,9 @@ def zero_rate_by_column(df: DataFrame, category: str, listed: Sequence, amounts:
         ]
     )
     return (
-        df.where(F.col(category).isin(*listed))
+        df.where(quoted(category).isin(*listed))
         .agg(*aggregates)
         .select(F.inline(entries))
-        .orderBy("category", F.desc("percent"), "column_index")
+        .orderBy("category", *([F.desc("percent")] if ranked else []), "column_index")
         .drop("column_index")
     )

@@ -8,57 +8,50 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact_sum
-
 # A calendar of this many days spans more than 270 years; a daily table up to this size is broadcast.
 BROADCAST_DAYS = 100_000
 
 
-class DuplicateDays(ValueError):
-    """The daily side has more than one row for a day, which would multiply facts."""
-
-
 @dataclass(frozen=True)
 class Metric:
-    """A per-row amount averaged per day as ``name``.
-
-    With ``scale`` the amount has that many decimal places and is summed in whole units, so the average does not
-    depend on how rows are partitioned; without it the amount is averaged as a double.
-    """
+    """A per-row amount averaged per day as ``name``; as in SQL, rows where it is NULL do not count."""
 
     name: str
     value: Column
-    scale: int | None = None
 
-    def total(self) -> Column:
-        return exact_sum(self.value, self.scale) if self.scale is not None else F.sum(self.value.cast("double"))
+    def sums(self) -> list[Column]:
+        """The total and the number of values it rests on."""
+        return [F.sum(self.value.cast("double")).alias(self.total), F.count(self.value).alias(self.held)]
+
+    @property
+    def total(self) -> str:
+        return f"total_{self.name}"
 
-    def mean(self, total: Column, rows: Column) -> Column:
-        if self.scale:
-            total = total / F.lit(float(10**self.scale))
-        return total.cast("double") / rows
+    @property
+    def held(self) -> str:
+        return f"count_{self.name}"
 
+    def mean(self) -> Column:
+        return F.when(F.col(self.held) > 0, F.col(self.total) / F.col(self.held))
 
-def check_unique_days(daily: DataFrame, day: str = "date") -> int:
-    """Number of days of a daily table; raises if a day occurs twice. One row comes back."""
-    per_day = daily.groupBy(day).agg(F.count(F.lit(1)).alias("n"))
-    row = per_day.agg(F.count(F.lit(1)).alias("days"), F.count_if(F.col("n") > 1).alias("repeated")).first()
-    if row["repeated"]:
-        raise DuplicateDays(f"{row['repeated']} days occur more than once")
-    return row["days"]
 
+def sum_names(metrics: Sequence[Metric]) -> list[str]:
+    """Columns of daily totals that add up."""
+    return ["trip_count", *[name for metric in metrics for name in (metric.total, metric.held)]]
 
-def join_daily(facts: DataFrame, daily: DataFrame, day: str = "date", days: int | None = None) -> DataFrame:
-    """Inner join of facts with the row of their day; facts on days without one disappear.
 
-    ``days`` is the proven number of daily rows (``check_unique_days`` finds it if not given). Up to
-    ``BROADCAST_DAYS`` the daily side is broadcast, so facts are neither shuffled nor skewed by a heavy day. Beyond
-    it the join shuffles, and adaptive execution splits the partition of a heavy day.
+def join_daily(facts: DataFrame, daily: DataFrame, day: str = "date") -> DataFrame:
+    """Inner join of facts with the rows of their day, as SQL joins them: facts on days without one disappear, and a day
+    that stands there twice gives its facts twice.
+
+    The daily side is computed once and read up to ``BROADCAST_DAYS`` rows; so few are broadcast, and facts are neither
+    shuffled nor skewed by a heavy day. A longer one joins by shuffle, where adaptive execution splits a heavy day.
     """
-    if days is None:
-        days = check_unique_days(daily, day)
-    small = days <= BROADCAST_DAYS
-    return facts.join(F.broadcast(daily) if small else daily, day, "inner")
+    read = daily.limit(BROADCAST_DAYS + 1).toArrow()
+    if read.num_rows > BROADCAST_DAYS:
+        return facts.join(daily, day, "inner")
+    local = daily.sparkSession.createDataFrame(read, daily.schema)
+    return facts.join(F.broadcast(local), day, "inner")
 
 
 def daily_totals(df: DataFrame, metrics: Sequence[Metric], factors: Sequence[str], day: str = "date") -> DataFrame:
@@ -67,9 +60,8 @@ def daily_totals(df: DataFrame, metrics: Sequence[Metric], factors: Sequence[str
     Totals (not averages) let every later table regroup exactly. Partial sums are combined before the shuffle, so a
     day holding a third of all rows costs no more than another.
     """
-    return df.groupBy(day, *factors).agg(
-        F.count(F.lit(1)).alias("trip_count"), *[metric.total().alias(f"total_{metric.name}") for metric in metrics]
-    )
+    sums = [column for metric in metrics for column in metric.sums()]
+    return df.groupBy(day, *factors).agg(F.count(F.lit(1)).alias("trip_count"), *sums)
 
 
 def joined_totals(
@@ -77,21 +69,21 @@ def joined_totals(
 ) -> DataFrame:
     """``daily_totals`` of facts joined with their day, with the facts summed per day before the join.
 
-    Facts meet the join as one row per day, so it is cheap whatever the size of either side, and days without a daily
-    row disappear as in the row-level join.
+    Facts meet the join as one row per day, so it is cheap whatever the size of either side. Days without a daily row
+    disappear, and a day that stands there twice counts twice, as in the row-level join.
     """
     per_day = daily_totals(facts, metrics, (), day)
-    return per_day.join(daily.select(day, *factors), day, "inner")
+    joined = per_day.join(daily.select(day, *factors), day, "inner")
+    return _regroup(joined, metrics, [F.col(name) for name in (day, *factors)])
 
 
 def _regroup(totals: DataFrame, metrics: Sequence[Metric], keys: Sequence[Column]) -> DataFrame:
-    names = ["trip_count", *[f"total_{metric.name}" for metric in metrics]]
-    return totals.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
+    return totals.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in sum_names(metrics)])
 
 
 def daily_metrics(totals: DataFrame, metrics: Sequence[Metric], factors: Sequence[str], day: str = "date") -> DataFrame:
     """Per day: its factors, row count and averages, ordered by day."""
-    means = [metric.mean(F.col(f"total_{metric.name}"), F.col("trip_count")).alias(metric.name) for metric in metrics]
+    means = [metric.mean().alias(metric.name) for metric in metrics]
     return totals.select(day, *factors, "trip_count", *means).orderBy(day)
 
 
@@ -100,10 +92,7 @@ def mean_of_days(days: DataFrame, metrics: Sequence[Metric], keys: Sequence[str]
     return days.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("day_count"),
         F.avg("trip_count").alias("avg_trip_count"),
-        *[
-            F.avg(metric.mean(F.col(f"total_{metric.name}"), F.col("trip_count"))).alias(metric.name)
-            for metric in metrics
-        ],
+        *[F.avg(metric.mean()).alias(metric.name) for metric in metrics],
     )
 
 
@@ -114,9 +103,9 @@ def by_day_and(totals: DataFrame, metrics: Sequence[Metric], keys: Sequence[Colu
 def by_day_value(totals: DataFrame, metrics: Sequence[Metric], factor: str, day: str = "date") -> DataFrame:
     """Totals per day with the day's row-weighted mean of a factor as ``factor_value``."""
     value = F.col(factor).cast("double")
-    weighted = F.sum(value * F.col("trip_count")) / F.sum("trip_count")
-    names = ["trip_count", *[f"total_{metric.name}" for metric in metrics]]
+    rows = F.when(value.isNotNull(), F.col("trip_count"))
+    weighted = F.try_divide(F.sum(value * rows), F.sum(rows))
     return totals.groupBy(day).agg(
         F.when(F.min(value) == F.max(value), F.min(value)).otherwise(weighted).alias("factor_value"),
-        *[F.sum(name).alias(name) for name in names],
+        *[F.sum(name).alias(name) for name in sum_names(metrics)],
     )

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import quoted
 from ..functions.numbers import pct
 from .longform import lookup, stack_columns
 
@@ -85,7 +86,7 @@ def histogram(df: DataFrame, column: str, spec: Bins) -> DataFrame:
     Rows outside the bins are counted in the same scan (bin 0), which gives the total without a second one. A range
     that is empty (``upper <= 0``) has only empty bins.
     """
-    value = F.col(column).cast("double")
+    value = quoted(column).cast("double")
     inside = ~F.isnan(value) & (value > 0) & (value <= F.lit(spec.upper))
     index = F.when(inside, bin_index(value, F.lit(spec.upper), F.lit(spec.count))).otherwise(0)
     rows = df.select(F.lit(0).alias("c"), index.alias("bucket"), F.lit(1).cast("bigint").alias("w"))

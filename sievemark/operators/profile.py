@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import days_in_year, month_label, year_start
+from ..functions.columns import quoted
 from ..functions.numbers import clean_double, pct, round_scaled, try_narrow
 from .histogram import Bins, column_bin_counts, label_bins
 from .longform import lookup
@@ -41,10 +42,6 @@ def _names(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
     return list(columns) if columns is not None else df.columns
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 # --- type validity -------------------------------------------------------------------------------------------------
 
 
@@ -52,7 +49,7 @@ def type_validity(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """One row per column: rows castable to the given type, and their share of all rows (2 decimals)."""
     names = list(types)
     checks = [
-        F.count(try_narrow(_quoted(name), df.schema[name].dataType, types[name])).alias(f"v_{k}")
+        F.count(try_narrow(quoted(name), df.schema[name].dataType, types[name])).alias(f"v_{k}")
         for k, name in enumerate(names)
     ]
     row = df.agg(F.count(F.lit(1)).alias("row_count"), *checks)
@@ -100,8 +97,8 @@ def scan_table(df: DataFrame, columns: Sequence[str] | None = None, limit: int =
     names = _names(df, columns)
     row = df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        *[F.count(_quoted(name)).alias(f"v_{k}") for k, name in enumerate(names)],
-        *[_distinct_floor(_quoted(name)).alias(f"d_{k}") for k, name in enumerate(names)],
+        *[F.count(quoted(name)).alias(f"v_{k}") for k, name in enumerate(names)],
+        *[_distinct_floor(quoted(name)).alias(f"d_{k}") for k, name in enumerate(names)],
     ).first()
     return TableScan(
         names,
@@ -122,7 +119,7 @@ def _typed_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     blocks = []
     for start in range(0, len(names), GROUPING_SET_COLUMNS):
         block = list(names[start : start + GROUPING_SET_COLUMNS])
-        keyed = df.select(*[_quoted(name).alias(f"k{i}") for i, name in enumerate(block)])
+        keyed = df.select(*[quoted(name).alias(f"k{i}") for i, name in enumerate(block)])
         keys = keyed.columns
         grouped = keyed.groupingSets([[key] for key in keys], *keys).agg(
             F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")
@@ -276,7 +273,7 @@ def numeric_stats(
 ) -> NumericStats:
     """Extremes, sign counts and the chart maximum (quantile ``p`` of the positive values) of each column."""
     names = list(columns)
-    values = {name: clean_double(_quoted(name)) for name in names}
+    values = {name: clean_double(quoted(name)) for name in names}
     aggregates = [F.count(F.lit(1)).alias("row_count")]
     for k, value in enumerate(values.values()):
         aggregates += [
@@ -317,7 +314,7 @@ def numeric_profile(
     """Profile of numeric columns; NULL, uncastable and NaN entries count only in the percentages' denominator."""
     found = numeric_stats(df, columns, p, direct_rows)
     specs = found.bins(bin_count)
-    values = [clean_double(_quoted(name)) for name in found.names]
+    values = [clean_double(quoted(name)) for name in found.names]
     counts = column_bin_counts(df, values, specs)
 
     def known(part: str, type_name: str) -> Column:
@@ -342,7 +339,7 @@ def numeric_profile(
 
 def calendar_slots(df: DataFrame, columns: Sequence[str], year: int) -> DataFrame:
     """(c, slot, n, low, high) per column: rows before the year (slot 0), in its months (1-12), after it (13), NULL (-1)."""
-    stamps = [part for c, name in enumerate(columns) for part in (F.lit(c), _quoted(name).try_cast("timestamp_ntz"))]
+    stamps = [part for c, name in enumerate(columns) for part in (F.lit(c), quoted(name).try_cast("timestamp_ntz"))]
     stamp = F.col("v")
     slot = (
         F.when(stamp.isNull(), -1)
@@ -350,11 +347,14 @@ def calendar_slots(df: DataFrame, columns: Sequence[str], year: int) -> DataFram
         .when(stamp >= year_start(year + 1, "timestamp_ntz"), 13)
         .otherwise(F.month(stamp))
     )
+    # A slot without rows for each column, so that an input without rows has its columns too.
+    none = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("c"), F.lit(-1).alias("slot"), F.lit(None).cast("timestamp_ntz").alias("v"))
     return (
         df.select(F.stack(F.lit(len(columns)), *stamps).alias("c", "v"))
-        .select("c", slot.alias("slot"), "v")
+        .select("c", slot.alias("slot"), "v", F.lit(1).alias("rows"))
+        .unionByName(none.withColumn("rows", F.lit(0)))
         .groupBy("c", "slot")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .agg(F.sum("rows").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
 
 
@@ -409,16 +409,18 @@ def month_counts(df: DataFrame, columns: Sequence[str], year: int) -> DataFrame:
 
 
 def date_coverage(df: DataFrame, column: str, years: Sequence[int]) -> DataFrame:
-    """Per year: rows, distinct dates, first and last date, whether dates are unique, whether every day is present.
+    """Per asked year: rows, distinct dates, first and last date, whether dates are unique, whether every day is present.
 
-    Rows are first counted per date, so at most one row per day and input partition is shuffled.
+    A year without rows counts 0. Rows are first counted per date, so at most one row per day and input partition is shuffled.
     """
-    day = _quoted(column).try_cast("date")
+    day = quoted(column).try_cast("date")
     span = (day >= year_start(min(years), "date")) & (day < year_start(max(years) + 1, "date"))
     daily = df.where(span).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    per_year = daily.groupBy(F.year("day").alias("filter_year")).agg(
-        F.sum("n").alias("row_count"),
-        F.count(F.lit(1)).alias("unique_count"),
+    asked = df.sparkSession.createDataFrame([(year,) for year in years], "filter_year int")
+    dated = daily.select(F.year("day").alias("filter_year"), "day", "n")
+    per_year = dated.unionByName(asked, allowMissingColumns=True).groupBy("filter_year").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        F.count("day").alias("unique_count"),
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
     )

@@ -67,7 +67,7 @@ def trip_metrics() -> list[Metric]:
     minutes = minute_boundaries(F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime"))
     amounts = ("trip_distance", "fare_amount", "tip_amount", "total_amount")
     return [
-        Metric("avg_duration_minutes", minutes, scale=0),
+        Metric("avg_duration_minutes", minutes),
         *[Metric(f"avg_{name}", F.col(name)) for name in amounts],
     ]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -9,16 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import minute_boundaries, same_day
-from ..functions.numbers import exact_sum, narrow_unsigned, round_scaled
+from ..functions.numbers import narrow_unsigned, round_scaled, settled
 from ..operators import bounds, charts, checks, daily, impact, profile, rules
 from ..operators.daily import Metric
 from ..operators.histogram import Bins, histogram
 from ..operators.impact import Band
 from ..operators.rules import Rule, apply_rules, null_default_in, shifted_when
 from ..sources import schemas
-from ..sources.files import read_footers
 from ..sources.ingest import unite_pinned
-from ..sources.tables import materialise
 from . import features, trips, weather
 from .concurrent import side_by_side, union_of
 from .profiles import profile_table
@@ -46,7 +45,7 @@ LOW_PRIORITIES = ("4-NOT SPECIFIED", "5-LOW")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 PROFILE_YEAR = 1998
 DIGITS = 6  # of interpolated and averaged values, whose last bits depend on the order of operations
-ORDER_YEARS = tuple(range(1995, 2002))
+ORDER_YEARS = (*range(1995, 2002), 2030)  # the last one has no orders
 URGENT_WEIGHT = 0.75
 RAIN_BANDS = (
     Band("no_rain", "0", 0.0, exact=True),
@@ -73,15 +72,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order date with the three daily factors; the average is of exact cents."""
+    """One row per order date with the three daily factors."""
     price = F.col("o_totalprice")
-    mean = exact_sum(price, 2) / F.lit(100.0) / F.count(F.lit(1))
     return (
         table(spark, sf_dir, "orders")
         .groupBy(F.to_date("o_orderdate").alias("date"))
         .agg(
             (F.count_if(F.col("o_orderpriority") == "1-URGENT") * F.lit(URGENT_WEIGHT)).alias("prcp"),
-            ((mean - 200000) / 8000).alias("avg_temp"),
+            ((F.avg(price) - 200000) / 8000).alias("avg_temp"),
             ((F.max(price) - F.min(price)) / 25000).alias("temp_range"),
         )
     )
@@ -95,9 +93,9 @@ def featured_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_metrics() -> list[Metric]:
     return [
-        Metric("avg_quantity", F.col("l_quantity"), scale=0),
-        Metric("avg_price", F.col("l_extendedprice"), scale=2),
-        Metric("avg_discount", F.col("l_discount"), scale=2),
+        Metric("avg_quantity", F.col("l_quantity")),
+        Metric("avg_price", F.col("l_extendedprice")),
+        Metric("avg_discount", F.col("l_discount")),
     ]
 
 
@@ -163,17 +161,15 @@ def schema_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders against line items, by column name without the table prefix."""
-    footers = read_footers(spark, [f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet"])
-    bare = F.regexp_replace("column_name", "^[a-z]+_", "")
-    return schemas.drift(footers, "lineitem.parquet", bare)
+    paths = [f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet"]
+    found = schemas.read_schemas(spark, paths, counted=True)
+    return schemas.drift(spark, found, paths[0], lambda name: re.sub("^[a-z]+_", "", name)).drop("path")
 
 
 def schema_type_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File types of orders against the types Spark reads them as, with the values each column holds."""
     orders = table(spark, sf_dir, "orders")
-    footers = read_footers(spark, f"{sf_dir}/orders.parquet").select(F.inline("fields")).distinct()
-    file_types = footers.withColumnRenamed("parquet_type", "file_type")
-    compared = schemas.compare_types(file_types, schemas.types_of(orders, orders.columns))
+    compared = schemas.compare_types(schemas.schema_types(orders.schema, spark), schemas.types_of(orders, orders.columns))
     held = schemas.inventory(orders, "orders").select("column_name", "non_null_count")
     return compared.join(held, "column_name").select("column_name", "file_type", "match", "non_null_count")
 
@@ -256,7 +252,9 @@ def derived_daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return featured_lines(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
+    return featured_lines(spark, sf_dir).withColumns(
+        {"date": F.col("date").cast("string"), "avg_temp": settled(F.col("avg_temp"), DIGITS)}
+    )
 
 
 def minute_boundary_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,7 +429,8 @@ def _section(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = daily.daily_metrics(line_totals(spark, sf_dir), line_metrics(), features.FACTORS)
-    return days.withColumn("date", F.col("date").cast("string"))
+    means = ["avg_temp", *(metric.name for metric in line_metrics())]
+    return days.withColumns({"date": F.col("date").cast("string"), **{name: settled(F.col(name), DIGITS) for name in means}})
 
 
 def impact_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,7 +455,7 @@ def impact_by_range_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = line_metrics()
-    totals = materialise(line_totals(spark, sf_dir))
+    totals = line_totals(spark, sf_dir)  # every section reads the same shuffle of daily sums
     sections = {name: features.section(totals, metrics, LEVELS, name) for name in features.SUMMARISED}
     return features.summary_of(sections, metrics)
 
@@ -465,7 +464,7 @@ def impact_diff_from_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differences of every level and status group from its baseline group, in one long table."""
     metrics = line_metrics()
     names = features.metric_names(metrics)
-    sections = features.sections_of(materialise(line_totals(spark, sf_dir)), metrics, LEVELS)
+    sections = features.sections_of(line_totals(spark, sf_dir), metrics, LEVELS)
     rounded = {name: features.report_values(section, names) for name, section in sections.items()}
 
     def shaped(differences: DataFrame, section: str, group) -> DataFrame:

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from ..operators import bounds, profile, rules
 from ..operators.rules import Rule
 from ..sources import schemas
-from ..sources.files import file_month, read_footers
+from ..sources.files import file_month
 from ..sources.reports import metadata_frame, report_form
-from ..sources.tables import materialise
 from .features import BASELINE_LEVELS, ImpactTables
 
 Reports = dict[str, DataFrame]
@@ -20,15 +19,16 @@ Reports = dict[str, DataFrame]
 
 def file_schemas(spark: SparkSession, paths: str | Sequence[str], reference_file: str, stored: DataFrame) -> Reports:
     """Files against the schema of one of them, and that schema against the stored table."""
-    footers = materialise(read_footers(spark, paths))
-    mismatches = schemas.drift(footers, reference_file)
-    reference = footers.where(F.col("file") == reference_file).select(F.inline("fields"))
-    file_types = reference.withColumnRenamed("parquet_type", "file_type")
+    found = schemas.read_schemas(spark, paths)
+    mismatches = schemas.drift(spark, found, reference_file)
+    reference = schemas.reference_of(found, reference_file)
+    file_types = spark.createDataFrame(list(reference.fields), "column_name string, file_type string")
+    listed = spark.createDataFrame([(item.path, item.file) for item in found], "path string, file string")
     return {
-        "metadata": metadata_frame(spark, schemas.drift_summary(footers, mismatches, reference_file)),
-        "files": footers.select(file_month(F.col("path")).alias("index"), "file").orderBy("index", "file"),
+        "metadata": metadata_frame(spark, schemas.drift_summary(found, mismatches, reference_file)),
+        "files": listed.select(file_month(F.col("path")).alias("index"), "file").orderBy("index", "file"),
         "schema": schemas.compare_types(file_types, schemas.types_of(stored, stored.columns)),
-        "mismatches": mismatches.drop("row_count").orderBy("file", F.desc("mismatch"), "column_name"),
+        "mismatches": mismatches.drop("path", "row_count").orderBy("file", F.desc("mismatch"), "column_name"),
     }
 
 

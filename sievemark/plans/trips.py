@@ -144,8 +144,25 @@ def clean(raw: DataFrame, year: int = YEAR, caps: Mapping[str, float] | None = N
 
 
 def payment_checks(raw: DataFrame) -> dict[str, DataFrame]:
-    """How often tips are zero per payment type, and every amount for no-charge and disputed trips."""
+    """How often tips are zero per payment type (check 1), and every amount for no-charge (2) and disputed trips (3), each
+    with a table that describes the checks."""
+    spark = raw.sparkSession
+    tips = checks.zero_rate_by_category(raw, "payment_type", "tip_amount", PAYMENT_TYPES).collect()
+    totals = {row.category: row.total_count for row in tips}
+    groups = {2: 3, 3: 4}  # check: payment type
+    amounts = checks.zero_rate_by_column(raw, "payment_type", tuple(groups.values()), MONEY_COLUMNS, ranked=False)
+    check = F.when(F.col("category") == groups[2], 2).otherwise(3).alias("check")
     return {
-        "check_1_array": checks.zero_rate_by_category(raw, "payment_type", "tip_amount", PAYMENT_TYPES),
-        "check_2_3_array": checks.zero_rate_by_column(raw, "payment_type", (3, 4), MONEY_COLUMNS),
+        "check_1": spark.createDataFrame(
+            [(1, "Share of trips without a tip, by payment type.", len(PAYMENT_TYPES))], "check int, description string, column_count int"
+        ),
+        "check_1_array": spark.createDataFrame(
+            [(1, row.category, row.zero_count, row.total_count, row.percent) for row in tips],
+            "check int, payment_type bigint, tip_0_count bigint, total_count bigint, percent double",
+        ),
+        "check_2_3": spark.createDataFrame(
+            [(k, f"Share of zeros in each amount of payment type {kind}.", kind, totals[kind], len(MONEY_COLUMNS)) for k, kind in groups.items()],
+            "check int, description string, payment_type bigint, row_count bigint, column_count int",
+        ),
+        "check_2_3_array": amounts.select(check, "column_name", "count", "percent"),
     }

@@ -1,20 +1,15 @@
-"""File listings as DataFrames: names, months from names, completeness, footers."""
+"""File listings as DataFrames: names, months from names, completeness; inputs below a folder."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from fnmatch import fnmatch
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONTH_IN_NAME = r"-(\d+)\.parquet$"
 
-FOOTER_SCHEMA = (
-    "path string, file string, row_count bigint, fields array<struct<column_name: string, parquet_type: string>>"
-)
-
-
 class MissingFiles(FileNotFoundError):
     """Expected input files are absent."""
 
@@ -55,24 +50,15 @@ def require_files(spark: SparkSession, directory: str, expected: Sequence[str],
     return [paths[name] for name in expected]
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            if path.startswith("file:"):
-                filesystem, location = fs.LocalFileSystem(), path.removeprefix("file:").replace("//", "/")
-            else:
-                filesystem, location = fs.FileSystem.from_uri(path)
-            with filesystem.open_input_file(location) as stream:
-                footer = pq.ParquetFile(stream)
-                fields = [{"column_name": item.name, "parquet_type": str(item.type)} for item in footer.schema_arrow]
-                rows.append((path, location.rsplit("/", 1)[-1], footer.metadata.num_rows, fields))
-        yield pd.DataFrame(rows, columns=["path", "file", "row_count", "fields"])
-
-
-def read_footers(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.parquet") -> DataFrame:
-    """One row per Parquet file with its row count and (name, type) fields; tasks read the footers, not the data."""
-    return list_files(spark, paths, pattern).select("path").mapInPandas(_read_footers, FOOTER_SCHEMA)
+def input_paths(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.parquet") -> list[str]:
+    """Inputs at the paths in order: a path whose name matches is one (a file, or a folder of part files); any other is a
+    folder, whose matching entries are. Listed by the Hadoop file system of each path, whatever store that is."""
+    found = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        if fnmatch(path.rstrip("/").rsplit("/", 1)[-1], pattern):
+            found.append(path)
+            continue
+        glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
+        entries = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
+        found += sorted(entry.getPath().toString() for entry in entries or ())
+    return found

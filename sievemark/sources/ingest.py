@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import read_footers
+from .schemas import read_schemas
 
 
 class MissingColumns(ValueError):
@@ -31,23 +31,17 @@ def unite_pinned(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def ingest_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Parquet files in the columns and types of the first path.
+    """Parquet inputs in the columns and types of the first path.
 
-    Footers are compared in tasks. When all files store the pinned columns alike, which is the usual case, the paths
-    are read in one scan; otherwise there is one scan per kind of footer, not one per file.
+    Schemas are read side by side by Spark, so any store it reads will do. When all inputs store the pinned columns alike,
+    which is the usual case, they are read in one scan; otherwise there is one scan per kind, not one per input.
     """
     schema = spark.read.parquet(paths[0]).schema
     wanted = set(schema.names)
-    fields = F.array_sort(F.filter("fields", lambda item: item["column_name"].isin(*wanted)))
-    kinds = read_footers(spark, list(paths), "*").select("path", F.to_json(fields).alias("kind"))
-    found = sorted(row.kind for row in kinds.select("kind").distinct().collect())
-    if len(found) == 1:
-        return pin(spark.read.parquet(*paths), schema)
-    parts = []
-    for kind in found:
-        of_kind = [row.path for row in kinds.where(F.col("kind") == kind).select("path").collect()]
-        parts.append(spark.read.parquet(*sorted(of_kind)))
-    return reduce(DataFrame.unionByName, [pin(part, schema) for part in parts])
+    kinds: dict[frozenset, list[str]] = {}
+    for item in read_schemas(spark, paths, "*"):
+        kinds.setdefault(frozenset(pair for pair in item.fields if pair[0] in wanted), []).append(item.path)
+    return reduce(DataFrame.unionByName, [pin(spark.read.parquet(*of_kind), schema) for of_kind in kinds.values()])
 
 
 def ingest_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import quoted
 from ..operators.profile import type_family
+from ..plans.concurrent import side_by_side
+from .files import input_paths
 
 # Table types accepted for a file type. A file type not listed matches only its own name.
 TABLE_TYPES = {
@@ -20,6 +25,17 @@ TABLE_TYPES = {
     "BOOLEAN": ("BOOLEAN", "BOOL"),
 }
 
+# Names of file types that differ from Spark's names.
+FILE_TYPES = {
+    "tinyint": "int8",
+    "smallint": "int16",
+    "int": "int32",
+    "bigint": "int64",
+    "date": "date32[day]",
+    "timestamp": "timestamp[us]",
+    "timestamp_ntz": "timestamp[us]",
+}
+
 
 def table_type(data_type: T.DataType) -> str:
     return data_type.simpleString().upper()
@@ -34,7 +50,7 @@ def types_of(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 def inventory(df: DataFrame, table: str) -> DataFrame:
     """One row per column of a table: position, type family and number of non-NULL values (one scan)."""
     fields = df.schema.fields
-    counts = df.agg(*[F.count(F.col(field.name)).alias(f"n_{k}") for k, field in enumerate(fields)])
+    counts = df.agg(*[F.count(quoted(field.name)).alias(f"n_{k}") for k, field in enumerate(fields)])
     entries = F.array(
         *[
             F.struct(
@@ -50,48 +66,73 @@ def inventory(df: DataFrame, table: str) -> DataFrame:
     return counts.select(F.inline(entries))
 
 
-def drift(footers: DataFrame, reference_file: str, rename: Column | None = None) -> DataFrame:
-    """Differences of every file's (name, type) pairs from the reference file's, regardless of order.
+@dataclass(frozen=True)
+class FileSchema:
+    """Columns of one input (a file or a folder of part files) as Spark reads them, with file type names."""
 
-    ``missing`` pairs are only in the reference, ``extra`` only in the file; a changed type gives one of each.
-    Both come from array differences inside the file's own row, so the files are never joined with each other; only
-    the fields of the reference file come to the driver. ``rename`` maps the column ``column_name`` before comparing.
-    """
-    if rename is not None:
-        exploded = footers.select("file", "row_count", F.explode("fields").alias("f")).select(
-            "file", "row_count", F.col("f.column_name").alias("column_name"), F.col("f.parquet_type").alias("parquet_type")
-        )
-        renamed = exploded.withColumn("column_name", rename)
-        footers = renamed.groupBy("file", "row_count").agg(
-            F.collect_list(F.struct("column_name", "parquet_type")).alias("fields")
-        )
-    reference = footers.where(F.col("file") == reference_file).select("fields").first()["fields"]
-    expected = F.array(
-        *[
-            F.struct(F.lit(item.column_name).alias("column_name"), F.lit(item.parquet_type).alias("parquet_type"))
-            for item in reference
-        ]
-    )
+    path: str
+    fields: tuple[tuple[str, str], ...]
+    row_count: int | None = None
+
+    @property
+    def file(self) -> str:
+        return self.path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def file_type(data_type: T.DataType) -> str:
+    """Name of the type that a file stores for a Spark type."""
+    name = data_type.simpleString()
+    return FILE_TYPES.get(name, name)
 
-    def marked(kind: str, fields: Column) -> Column:
-        names = ("column_name", "parquet_type")
-        return F.transform(
-            fields, lambda f: F.struct(F.lit(kind).alias("mismatch"), *[f[name].alias(name) for name in names])
-        )
 
-    missing = marked("missing", F.array_except(expected, F.col("fields")))
-    extra = marked("extra", F.array_except(F.col("fields"), expected))
-    others = footers.where(F.col("file") != reference_file)
-    return others.select("file", F.inline(F.concat(missing, extra)), "row_count")
+def read_schemas(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.parquet", counted: bool = False) -> list[FileSchema]:
+    """Schemas of all inputs at the paths, and with ``counted`` their numbers of rows; inputs are read side by side."""
+    found = input_paths(spark, paths, pattern)
+
+    def read(path: str) -> FileSchema:
+        df = spark.read.parquet(path)
+        fields = tuple((field.name, file_type(field.dataType)) for field in df.schema.fields)
+        return FileSchema(path, fields, df.count() if counted else None)
+
+    return side_by_side(spark, [partial(read, path) for path in found]) if found else []
+
+
+def reference_of(found: Sequence[FileSchema], reference: str) -> FileSchema:
+    """The input with this path, or the only one with this file name."""
+    same = [item for item in found if item.path == reference] or [item for item in found if item.file == reference]
+    if len(same) != 1:
+        raise ValueError(f"{len(same)} inputs are called {reference}")
+    return same[0]
+
+
+def drift(
+    spark: SparkSession, found: Sequence[FileSchema], reference: str, rename: Callable[[str], str] = lambda name: name
+) -> DataFrame:
+    """Differences of every input's (name, type) pairs from the reference's, regardless of order.
+
+    ``missing`` pairs are only in the reference, ``extra`` only in the input; a changed type gives one of each. Inputs are
+    told apart by their paths. ``rename`` maps column names before comparing. Schemas are small and stay on the driver.
+    """
+    base = reference_of(found, reference)
+    pairs = {item.path: {(rename(name), kind): None for name, kind in item.fields} for item in found}
+    expected, rows = pairs[base.path], []
+    for item in found:
+        if item.path != base.path:
+            own = pairs[item.path]
+            for mismatch, wanted, held in (("missing", expected, own), ("extra", own, expected)):
+                rows += [(item.path, item.file, mismatch, *pair, item.row_count) for pair in wanted if pair not in held]
+    return spark.createDataFrame(
+        rows, "path string, file string, mismatch string, column_name string, parquet_type string, row_count bigint"
+    )
 
 
-def drift_summary(footers: DataFrame, mismatches: DataFrame, reference_file: str) -> dict:
-    """File count, columns of the reference file and whether all files agree."""
-    columns = footers.where(F.col("file") == reference_file).select(F.size("fields").alias("n")).first()["n"]
+def drift_summary(found: Sequence[FileSchema], mismatches: DataFrame, reference: str) -> dict:
+    """File count, columns of the reference and whether all files agree."""
+    base = reference_of(found, reference)
     return {
-        "file_count": footers.count(),
-        "reference_file": reference_file,
-        "column_count": columns,
+        "file_count": len(found),
+        "reference_file": base.file,
+        "column_count": len(base.fields),
         "all_match": mismatches.isEmpty(),
     }
 
@@ -104,12 +145,14 @@ def _candidate_map() -> Column:
 
 
 def type_matches(file_type: Column, stored_type: Column) -> Column:
-    """Whether a table type can hold a file type, by the accepted list; parameters of the type are ignored."""
+    """Whether a table type can hold a file type: by the accepted list, where parameters of the type are ignored; a file
+    type that is not listed matches its own name only."""
     wanted, stored = F.upper(F.trim(file_type)), F.upper(F.trim(stored_type))
-    accepted = F.coalesce(_candidate_map()[wanted], F.array(wanted))
-    base = F.when(F.array_contains(accepted, stored), stored).otherwise(F.regexp_extract(stored, r"^([^(]*)", 1))
+    accepted = _candidate_map()[wanted]
+    base = F.regexp_extract(stored, r"^([^(]*)", 1)
+    listed = F.array_contains(accepted, stored) | F.array_contains(accepted, base)
     present = (F.length(wanted) > 0) & (F.length(stored) > 0)
-    return F.coalesce(present & F.array_contains(accepted, base), F.lit(False))
+    return F.coalesce(present & F.when(accepted.isNotNull(), listed).otherwise(wanted == stored), F.lit(False))
 
 
 def compare_types(file_types: DataFrame, stored: Mapping[str, str]) -> DataFrame:
@@ -122,8 +165,7 @@ def compare_types(file_types: DataFrame, stored: Mapping[str, str]) -> DataFrame
 
 def schema_types(schema: T.StructType, spark) -> DataFrame:
     """(column_name, file_type) of a schema read from a file, with the file type names of ``TABLE_TYPES``."""
-    names = {"bigint": "int64", "timestamp": "timestamp[us]", "timestamp_ntz": "timestamp[us]", "date": "date32[day]"}
-    rows = [(f.name, names.get(f.dataType.simpleString(), f.dataType.simpleString())) for f in schema.fields]
+    rows = [(field.name, file_type(field.dataType)) for field in schema.fields]
     return spark.createDataFrame(rows, "column_name string, file_type string")
 
 

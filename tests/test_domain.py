@@ -104,11 +104,15 @@ def test_clean_trips(raw):
 
 def test_payment_checks(raw):
     checks = trips.payment_checks(raw)
-    first = {row.category: row for row in checks["check_1_array"].collect()}
-    assert set(first) == {1, 2, 3, 4}
-    assert (first[2].zero_count, first[2].total_count, first[2].percent) == (1, 2, 50.0)
-    assert (first[3].zero_count, first[3].total_count, first[3].percent) == (0, 0, 0.0)
-    assert checks["check_2_3_array"].count() == 16
+    first = {row.payment_type: row for row in checks["check_1_array"].collect()}
+    assert set(first) == {1, 2, 3, 4} and {row.check for row in first.values()} == {1}
+    assert (first[2].tip_0_count, first[2].total_count, first[2].percent) == (1, 2, 50.0)
+    assert (first[3].tip_0_count, first[3].total_count, first[3].percent) == (0, 0, 0.0)
+    second = checks["check_2_3_array"].collect()
+    assert [(row.check, row.column_name) for row in second] == [(check, name) for check in (2, 3) for name in trips.MONEY_COLUMNS]
+    described = [(row.check, row.payment_type, row.row_count, row.column_count) for row in checks["check_2_3"].collect()]
+    assert described == [(check, kind, first[kind].total_count, 8) for check, kind in ((2, 3), (3, 4))]
+    assert [(row.check, row.column_count) for row in checks["check_1"].collect()] == [(1, 4)]
 
 
 # --- files ---
@@ -155,18 +159,32 @@ def test_missing_column_raises(spark):
 
 
 def test_schema_drift(spark, month_folder):
-    footers = files.read_footers(spark, month_folder)
-    found = schemas.drift(footers, "trips_2019-01.parquet")
+    read = schemas.read_schemas(spark, month_folder, counted=True)
+    found = schemas.drift(spark, read, "trips_2019-01.parquet")
     rows = sorted((row.file[11:13], row.mismatch, row.column_name, row.parquet_type, row.row_count) for row in found.collect())
     assert rows == [
         ("03", "extra", "extra_note", "string", 2),
         ("04", "extra", "amount", "int64", 2),
         ("04", "missing", "amount", "double", 2),
     ]
-    summary = schemas.drift_summary(footers, found, "trips_2019-01.parquet")
+    summary = schemas.drift_summary(read, found, "trips_2019-01.parquet")
     assert (summary["file_count"], summary["column_count"], summary["all_match"]) == (12, 2, False)
 
 
+def test_schemas_of_folder_tables_and_equal_names(spark, tmp_path):
+    """Inputs are told apart by path, and a folder of part files is one input."""
+    for name, kind in (("a", "int"), ("b", "bigint")):
+        rows = spark.createDataFrame([(1,), (2,), (3,)], "v int").select(F.col("v").cast(kind)).repartition(3)
+        rows.write.parquet(f"{tmp_path}/{name}/t.parquet")
+    paths = [f"{tmp_path}/{name}/t.parquet" for name in ("a", "b")]
+    read = schemas.read_schemas(spark, paths, counted=True)
+    rows = {(r.path, r.mismatch, r.parquet_type, r.row_count) for r in schemas.drift(spark, read, paths[0]).collect()}
+    assert rows == {(paths[1], "missing", "int32", 3), (paths[1], "extra", "int64", 3)}
+    with pytest.raises(ValueError, match="2 inputs"):
+        schemas.drift(spark, read, "t.parquet")
+    assert ingest.ingest_parquet(spark, paths).count() == 6
+
+
 @pytest.mark.parametrize(
     "file_type,stored,expected",
     [
@@ -176,6 +194,8 @@ def test_schema_drift(spark, month_folder):
         ("timestamp[us]", "TIMESTAMP_NTZ", True),
         ("int32", "INT", False),
         ("int32", "INT32", True),
+        ("int32", "INT32(4)", False),
+        ("decimal", "DECIMAL(10,2)", False),
         ("", "BIGINT", False),
         (None, "BIGINT", False),
     ],
@@ -282,21 +302,37 @@ def test_impact_tables(clean_pair):
 def test_mean_of_daily_means_is_not_the_trip_mean(spark):
     rows = [(date(2019, 5, 6), 0.0, 10.0)] * 3 + [(date(2019, 5, 7), 0.0, 20.0)]
     df = spark.createDataFrame(rows, "date date, prcp double, x double")
-    metrics = [daily.Metric("avg_x", F.col("x"), scale=2)]
+    metrics = [daily.Metric("avg_x", F.col("x"))]
     totals = daily.daily_totals(df, metrics, ["prcp"])
     assert features.section(totals, metrics, {"rain_level": ("prcp", features.RAIN_BANDS)}, "rain_status").first().avg_x == 15.0
 
 
-def test_repeated_day_is_refused(spark):
+def test_a_repeated_day_counts_twice_on_both_routes(spark):
     repeated = spark.createDataFrame([(date(2019, 1, 1), 1.0)] * 2, "date date, prcp double")
-    facts = spark.createDataFrame([(date(2019, 1, 1),)], "date date")
-    with pytest.raises(daily.DuplicateDays):
-        daily.join_daily(facts, repeated)
-
-
-def test_large_daily_side_is_not_broadcast(spark):
+    facts = spark.createDataFrame([(date(2019, 1, 1), 3.0), (date(2019, 1, 1), 5.0), (date(2019, 1, 2), 9.0)], "date date, x double")
+    metrics = [daily.Metric("avg_x", F.col("x"))]
+    by_join = daily.daily_totals(daily.join_daily(facts, repeated), metrics, ["prcp"])
+    for totals in (by_join, daily.joined_totals(facts, repeated, metrics, ["prcp"])):
+        (row,) = daily.daily_metrics(totals, metrics, ["prcp"]).collect()
+        assert (row.trip_count, row.avg_x) == (4, 4.0)
+
+
+def test_averages_skip_nulls_and_keep_decimals(spark):
+    day = date(2019, 1, 1)
+    facts = spark.createDataFrame([(day, 0.125, None), (day, 0.004, None), (day, None, None)], "date date, x double, y double")
+    sides = spark.createDataFrame([(day, 0.0)], "date date, prcp double")
+    metrics = [daily.Metric("avg_x", F.col("x")), daily.Metric("avg_y", F.col("y"))]
+    totals = daily.joined_totals(facts, sides, metrics, ["prcp"])
+    (row,) = daily.daily_metrics(totals, metrics, ["prcp"]).collect()
+    assert (row.trip_count, row.avg_y) == (3, None) and abs(row.avg_x - 0.0645) < 1e-15
+    (section,) = features.section(totals, metrics, {"rain_level": ("prcp", features.RAIN_BANDS)}, "rain_status").collect()
+    assert abs(section.avg_x - 0.0645) < 1e-15 and section.avg_y is None and section.avg_trip_count == 3
+
+
+def test_large_daily_side_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(daily, "BROADCAST_DAYS", 0)
     sides = spark.createDataFrame([(date(2019, 1, 1), 1.0)], "date date, prcp double")
-    plan = daily.join_daily(sides.select("date"), sides, days=daily.BROADCAST_DAYS + 1)._jdf.queryExecution().optimizedPlan().toString()
+    plan = daily.join_daily(sides.select("date"), sides)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in plan
 
 
@@ -365,7 +401,7 @@ def test_step_reports(spark, raw, raw_weather, clean_pair, month_folder, tmp_pat
     }
     written = {name: reports.write_reports(tables_, str(tmp_path / name)) for name, tables_ in steps_.items()}
     assert {name: len(found) for name, found in written.items()} == {
-        "schemas": 4, "csv": 2, "rules": 2, "bounds": 3, "dates": 1, "daily": 2, "impact": 7, "payments": 2,
+        "schemas": 4, "csv": 2, "rules": 2, "bounds": 3, "dates": 1, "daily": 2, "impact": 7, "payments": 4,
     }
     caps = reports.saved_bounds(spark, str(tmp_path / "bounds/column_bins"), trips.CAPPED_COLUMNS)
     assert caps == trips.find_caps(trips.apply_business_rules(raw))
@@ -424,7 +460,7 @@ def test_a_day_holding_a_third_of_all_rows(spark):
         ((F.col("id") % 1000) / 100).alias("x"),
     )
     days = facts.select("date").distinct().withColumn("prcp", F.lit(0.0))
-    metrics = [daily.Metric("avg_x", F.col("x"), scale=2)]
+    metrics = [daily.Metric("avg_x", F.col("x"))]
     by_join = daily.daily_totals(daily.join_daily(facts, days), metrics, ["prcp"])
     by_sum = daily.joined_totals(facts, days, metrics, ["prcp"])
     columns = ["date", "prcp", "trip_count", "total_avg_x"]
@@ -433,6 +469,6 @@ def test_a_day_holding_a_third_of_all_rows(spark):
         n, total = wanted.get(row.date, (0, 0))
         wanted[row.date] = (n + 1, total + round(row.x * 100))
     for found in (by_join, by_sum):
-        assert {row.date: (row.trip_count, row.total_avg_x) for row in found.select(columns).collect()} == wanted
+        assert {row.date: (row.trip_count, round(row.total_avg_x * 100)) for row in found.select(columns).collect()} == wanted
     plan = by_sum._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_count") > 0 and plan.count("partial_count") >= 1
