@@ -19,14 +19,15 @@ def other_bucket(counts: DataFrame, min_percent_above: float | None = None) -> D
     """Fold hidden values of each column into one 'Other (n values)' row placed last.
 
     ``counts`` are value counts; shares are compared at 2 decimals. With ``min_percent_above`` only larger shares
-    stay. The hidden rows are folded by a partial aggregation, so a column with many values is no burden. The broadcast
-    sizes have one row per column.
+    stay. The hidden rows are folded by a partial aggregation, so a column with many values is no burden. The numbers of
+    values, one for each column, are counted first.
     """
+    sizes = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()
+    many = [row.column_name for row in sizes if row.n > MANY_VALUES]
     rounded = counts.withColumn("percent", round_scaled(F.col("percentage")))
-    sizes = rounded.groupBy("column_name").agg(F.count(F.lit(1)).alias("value_count"))
     shown = F.col("percent") > F.lit(min_percent_above) if min_percent_above is not None else F.lit(True)
-    shown = shown & ((F.col("value_count") <= MANY_VALUES) | (F.col("percent") > 0))
-    flagged = rounded.join(F.broadcast(sizes), "column_name").withColumn("shown", shown)
+    shown = shown & (~F.col("column_name").isin(many) | (F.col("percent") > 0))
+    flagged = rounded.withColumn("shown", shown)
     hundredths = F.rint(F.col("percent") * 100).cast("bigint")
     folded = flagged.groupBy(
         "column_name",

@@ -15,7 +15,7 @@ from ..functions.columns import quoted
 from ..functions.numbers import clean_double, pct, round_scaled, try_narrow
 from .histogram import Bins, column_bin_counts, label_bins
 from .longform import lookup
-from .quantile import DIRECT_ROWS, exact_quantiles
+from .quantile import DIRECT_ROWS, exact_quantiles, first_bracket
 
 # Fixed values of the profile reports.
 MAX_UNIQUE_VALUES = 300
@@ -24,6 +24,7 @@ CHART_QUANTILE = 0.990099009901  # 1 - 1/101 at 12 decimals
 
 # A bitmap aggregate of Spark holds this many bits (4 KiB).
 HASH_SLOTS = 32768
+PROBE_ROWS = 20_000  # a first look that proves most columns with many values
 # grouping_id is a 64-bit mask with one bit per column.
 GROUPING_SET_COLUMNS = 32
 
@@ -92,23 +93,46 @@ class TableScan:
     limit: int
 
 
-def scan_table(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_UNIQUE_VALUES) -> TableScan:
-    """Row count, non-NULL counts and the columns not proven to exceed ``limit`` distinct values; one row comes back."""
+def scan_table(
+    df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_UNIQUE_VALUES, counted: bool = True
+) -> TableScan:
+    """Row count, the columns not proven to exceed ``limit`` distinct values and, if ``counted``, non-NULL counts.
+
+    Some rows already prove columns with many values, so a first look at few rows leaves less to hash in the scan of all
+    rows. A column that neither pass proves stays a candidate, which its full count decides.
+    """
     names = _names(df, columns)
+    first = _floors(df.limit(PROBE_ROWS), names)
+    open_ = [name for name in names if first[name] <= limit]
     row = df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        *[F.count(quoted(name)).alias(f"v_{k}") for k, name in enumerate(names)],
-        *[_distinct_floor(quoted(name)).alias(f"d_{k}") for k, name in enumerate(names)],
+        *[F.count(quoted(name)).alias(f"v_{k}") for k, name in enumerate(names) if counted],
+        *[_distinct_floor(quoted(name)).alias(f"d_{k}") for k, name in enumerate(names) if name in open_],
     ).first()
     return TableScan(
         names,
         row["row_count"],
-        {name: row[f"v_{k}"] for k, name in enumerate(names)},
-        [name for k, name in enumerate(names) if row[f"d_{k}"] <= limit],
+        {name: row[f"v_{k}"] for k, name in enumerate(names) if counted},
+        [name for k, name in enumerate(names) if name in open_ and row[f"d_{k}"] <= limit],
         limit,
     )
 
 
+def _floors(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
+    """A lower bound of the distinct values of each column."""
+    row = df.agg(*[_distinct_floor(quoted(name)).alias(f"d_{k}") for k, name in enumerate(names)]).first() if names else ()
+    return dict(zip(names, row))
+
+
+def split_scan(df: DataFrame, low: Sequence[str], high: Sequence[str]) -> TableScan:
+    """Row and non-NULL counts of a table whose split into low and high columns is known: nothing is hashed."""
+    chosen = {*low, *high}
+    names = [name for name in df.columns if name in chosen]
+    row = df.agg(F.count(F.lit(1)).alias("row_count"), *[F.count(quoted(name)).alias(f"v_{k}") for k, name in enumerate(names)]).first()
+    valid = {name: row[f"v_{k}"] for k, name in enumerate(names)}
+    return TableScan(names, row["row_count"], valid, [name for name in names if name in set(low)], MAX_UNIQUE_VALUES)
+
+
 def _typed_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(column_name, numeric_value, value, n) per distinct value of each column, from one scan and one shuffle.
 
@@ -173,12 +197,12 @@ def unique_counts(df: DataFrame, scan: TableScan) -> DataFrame:
 
 
 def capped_distinct_count(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_UNIQUE_VALUES) -> DataFrame:
-    return unique_counts(df, scan_table(df, columns, limit))
+    return unique_counts(df, scan_table(df, columns, limit, counted=False))
 
 
 def cardinality_split(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_UNIQUE_VALUES) -> DataFrame:
     """(column_index, column_name, unique_count, column_group) in table order; 'low' has at most ``limit`` values."""
-    scan = scan_table(df, columns, limit)
+    scan = scan_table(df, columns, limit, counted=False)
     position = F.array_position(F.array(*[F.lit(name) for name in scan.names]), F.col("column_name")).cast("int") - 1
     return (
         unique_counts(df, scan)
@@ -206,7 +230,7 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None, limit: int
     Order: columns in table order; inside a column numbers ascending, then text, then NULL. The columns proven high
     never reach the shuffle; the window runs over the distinct values of one column, which the scan has bounded.
     """
-    return value_counts_of(df, scan_table(df, columns, limit))
+    return value_counts_of(df, scan_table(df, columns, limit, counted=False))
 
 
 def value_counts_of(df: DataFrame, scan: TableScan) -> DataFrame:
@@ -235,18 +259,15 @@ def value_kind() -> Column:
 def column_value_counts(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Value counts of one column, whatever its cardinality, with the share of all rows.
 
-    The broadcast total is a single row, read from the same shuffle as the counts.
+    The total is a plain row count, which Parquet files answer from their footers.
     """
-    counted = _typed_counts(df, [column])
-    if name:
-        counted = counted.withColumn("column_name", F.lit(name))
-    totals = counted.groupBy("column_name").agg(F.sum("n").alias("total_rows"))
-    return counted.join(F.broadcast(totals), "column_name").select(
-        "column_name",
-        "numeric_value",
-        "value",
-        F.col("n").alias("count"),
-        pct(F.col("n"), F.col("total_rows")).alias("percentage"),
+    counted = df.groupBy(quoted(column).alias("k")).agg(F.count(F.lit(1)).alias("count"))
+    return counted.select(
+        F.lit(name or column).alias("column_name"),
+        _number(F.col("k"), df.schema[column].dataType).alias("numeric_value"),
+        F.col("k").cast("string").alias("value"),
+        "count",
+        pct(F.col("count"), F.lit(df.count())).alias("percentage"),
     )
 
 
@@ -282,6 +303,7 @@ def numeric_stats(
             F.count_if(value < 0).alias(f"negative_{k}"),
             F.count_if(value == 0).alias(f"zero_{k}"),
             F.count_if(value > 0).alias(f"positive_{k}"),
+            first_bracket(F.when(value > 0, value), p).alias(f"bracket_{k}"),
         ]
     row = df.agg(*aggregates).first()
     stats = {
@@ -289,7 +311,8 @@ def numeric_stats(
         for k, name in enumerate(names)
     }
     positives = {name: F.when(value > 0, value) for name, value in values.items()}
-    quantiles = exact_quantiles(df, positives, p, {name: stats[name]["positive"] for name in names}, direct_rows)
+    brackets = {name: row[f"bracket_{k}"] for k, name in enumerate(names)}
+    quantiles = exact_quantiles(df, positives, p, {name: stats[name]["positive"] for name in names}, direct_rows, brackets=brackets)
     for name in names:
         stats[name]["chart_max"] = quantiles[name]
     return NumericStats(names, row["row_count"], stats)
@@ -315,7 +338,9 @@ def numeric_profile(
     found = numeric_stats(df, columns, p, direct_rows)
     specs = found.bins(bin_count)
     values = [clean_double(quoted(name)) for name in found.names]
-    counts = column_bin_counts(df, values, specs)
+    # At most one row for each bin and column, counted once for the summary and the bins.
+    binned = column_bin_counts(df, values, specs)
+    counts = df.sparkSession.createDataFrame(binned.collect(), binned.schema)
 
     def known(part: str, type_name: str) -> Column:
         return lookup([found.stats[name][part] for name in found.names], F.col("c"), type_name)

@@ -10,7 +10,7 @@ directly.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,10 +49,12 @@ def exact_quantiles(
     counts: Mapping[str, int],
     direct_rows: int = DIRECT_ROWS,
     accuracy: int = SKETCH_ACCURACY,
+    brackets: Mapping[str, Sequence[float] | None] | None = None,
 ) -> dict[str, float | None]:
     """Linearly interpolated quantile ``p`` of each value column (NULL entries are left out).
 
-    ``counts`` are the non-NULL entries per column. All columns share each scan.
+    ``counts`` are the non-NULL entries per column. All columns share each scan. ``brackets`` are values around the
+    quantile that a scan of the caller's has found (``first_bracket``); they save the first round its sketch.
     """
     found: dict[tuple[str, int], float] = {}
     pending = []
@@ -66,7 +68,13 @@ def exact_quantiles(
         large = [search for search in pending if search.size > direct_rows]
         if small:
             found.update(_rank_directly(df, values, small))
-        pending = _narrow(df, values, large, accuracy, found) if large else []
+        if large:
+            known, brackets = brackets or {}, None
+            if any(known.get(search.name) is None for search in large):
+                known = _sketched(df, values, large, accuracy)
+            pending = _narrow(df, values, large, known, found)
+        else:
+            pending = []
 
     result: dict[str, float | None] = {}
     for name, size in counts.items():
@@ -107,16 +115,26 @@ def _rank_directly(df, values, searches) -> dict[tuple[str, int], float]:
     return found
 
 
-def _narrow(df, values, searches, accuracy, found) -> list[_Search]:
+def first_bracket(value: Column, p: float, accuracy: int = SKETCH_ACCURACY) -> Column:
+    """Two values around the quantile ``p``, for a scan that has other things to find too."""
+    slack = 3 / accuracy
+    return F.percentile_approx(value, [max(0.0, p - slack), min(1.0, p + slack)], accuracy)
+
+
+def _sketched(df, values, searches, accuracy) -> dict[str, Sequence[float]]:
+    """Two values around the wanted ranks of each search."""
     sketches = []
     for k, search in enumerate(searches):
         slack = 2 * search.size / accuracy + 1
         low = max(0.0, (search.ranks[0][0] - slack) / search.size)
         high = min(1.0, (search.ranks[-1][0] + 1 + slack) / search.size)
-        column = search.inside(values[search.name])
-        sketches.append(F.percentile_approx(column, [low, high], accuracy).alias(f"q_{k}"))
-    brackets = df.agg(*sketches).first()
+        sketches.append(F.percentile_approx(search.inside(values[search.name]), [low, high], accuracy).alias(f"q_{k}"))
+    row = df.agg(*sketches).first()
+    return {k: row[f"q_{k}"] for k in range(len(searches))}
+
 
+def _narrow(df, values, searches, known, found) -> list[_Search]:
+    brackets = {f"q_{k}": known[k] if k in known else known[search.name] for k, search in enumerate(searches)}
     counters = []
     for k, search in enumerate(searches):
         low, high = brackets[f"q_{k}"]

@@ -42,12 +42,13 @@ def _column_facts(df: DataFrame, scan: TableScan, names: Sequence[str], unique:
 def profile_columns(
     df: DataFrame, year: int, columns: Sequence[str] | None = None, split: tuple[list[str], list[str]] | None = None
 ) -> TableProfile:
-    """Split the columns by cardinality and profile each group by type; a known ``split`` (low, high) is kept.
+    """Split the columns by cardinality and profile each group by type; a known ``split`` (low, high) decides what is
+    counted and saves the look at cardinality.
 
-    Scans: one for counts and cardinality, one for the value counts of the low columns, and for the high columns one
-    calendar scan, the numeric statistics and their histogram.
+    Scans: one for counts and cardinality, two for the number of values and the value counts of the low columns, and for
+    the high columns two calendar scans, the numeric statistics and their histogram.
     """
-    scan = profile.scan_table(df, columns)
+    scan = profile.scan_table(df, columns) if split is None else profile.split_scan(df, *split)
     unique = profile.collect_unique_counts(df, scan)
     low, high = split or (
         [name for name in scan.names if unique[name] <= scan.limit],
@@ -116,12 +117,12 @@ def profile_table(df: DataFrame, year: int, columns: Sequence[str] | None = None
 def write_profile(found: TableProfile, folder: str) -> list[str]:
     """Store the report tables and their metadata as CSV folders; returns the names written."""
     spark = next(iter(found.reports.values())).sparkSession
-    metadata = metadata_frame(
-        spark,
-        {
-            "row_count": found.scan.row_count,
-            "low_unique_column_count": len(found.low),
-            "high_unique_column_count": len(found.high),
-        },
-    )
+    values = {
+        "row_count": found.scan.row_count,
+        "low_unique_column_count": len(found.low),
+        "high_unique_column_count": len(found.high),
+    }
+    if "high_unique_columns_numeric" in found.reports:
+        values |= {"tail_ratio": 1 / 101, "positive_bin_count": profile.POSITIVE_BIN_COUNT}
+    metadata = metadata_frame(spark, values)
     return write_reports({"metadata": metadata, **found.reports}, folder)

@@ -323,9 +323,9 @@ def value_counts_other_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROFILED_NUMBERS = (("customer", ("c_acctbal",)), ("lineitem", ("l_discount", "l_extendedprice")), ("events", ("value",)))
 
 
-def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numeric_profile(spark: SparkSession, sf_dir: str, direct_rows: int = profile.DIRECT_ROWS) -> DataFrame:
     def summary(name: str, columns) -> DataFrame:
-        return profile.numeric_profile(table(spark, sf_dir, name), columns).summary
+        return profile.numeric_profile(table(spark, sf_dir, name), columns, direct_rows=direct_rows).summary
 
     united = union_of(spark, [partial(summary, name, columns) for name, columns in PROFILED_NUMBERS])
     return united.withColumn("chart_max_value", round_scaled(F.col("chart_max_value"), DIGITS))
@@ -383,14 +383,14 @@ def positive_max_zero_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRIMMED = (("events", ("value",)), ("documents", ("n_chars",)), ("lineitem", ("l_extendedprice", "l_quantity")))
 
 
-def _trimmed(spark: SparkSession, sf_dir: str, sources=TRIMMED):
+def _trimmed(spark: SparkSession, sf_dir: str, sources=TRIMMED, **settings):
     """(states, row count) per source."""
-    calls = [partial(bounds.iterative_trim, table(spark, sf_dir, name), columns) for name, columns in sources]
+    calls = [partial(bounds.iterative_trim, table(spark, sf_dir, name), columns, **settings) for name, columns in sources]
     return side_by_side(spark, calls)
 
 
-def iterative_trim_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bounds.trim_table(spark, [state for states, _ in _trimmed(spark, sf_dir) for state in states])
+def iterative_trim_bounds(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
+    return bounds.trim_table(spark, [state for states, _ in _trimmed(spark, sf_dir, **settings) for state in states])
 
 
 def upper_bound_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,6 +503,7 @@ QUERIES: dict[str, Query] = {
     "value_counts": value_counts,
     "value_counts_other_bucket": value_counts_other_bucket,
     "numeric_profile": numeric_profile,
+    "numeric_profile_searched": partial(numeric_profile, direct_rows=20),
     "datetime_profile": datetime_profile,
     "month_counts": month_counts,
     "date_coverage": date_coverage,
@@ -512,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "histogram_chart_rows": histogram_chart_rows,
     "positive_max_zero_count": positive_max_zero_count,
     "iterative_trim_bounds": iterative_trim_bounds,
+    "iterative_trim_bounds_rescanned": partial(iterative_trim_bounds, frequency_rows=0),
     "upper_bound_bins": upper_bound_bins,
     "apply_upper_bounds": apply_upper_bounds,
     "zero_rate_by_category": zero_rate_by_category,

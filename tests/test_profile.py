@@ -4,9 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sievemark.operators import charts, profile
+from sievemark.operators import bounds, charts, checks, profile
 from sievemark.operators.histogram import Bins, histogram
 from sievemark.operators.quantile import exact_quantiles
+from sievemark.plans import profiles
+from sievemark.sources import schemas
 
 
 def column(spark, values, kind="double", name="v"):
@@ -166,3 +168,38 @@ def test_dominant_zero_bar_is_dropped(spark):
     assert "0" not in [row.label for row in charts.chart_rows(crowded).collect()]
     sparse = profile.numeric_profile(column(spark, [0.0] * 60 + [1.0] * 40), ["v"], bin_count=5)
     assert charts.chart_rows(sparse).first().label == "0"
+
+
+def test_names_with_dots_and_ticks(spark):
+    """Every operator that takes a column name takes it as it is."""
+    name = "a.b`c"
+    df = spark.createDataFrame([(float(k % 7), "2019-01-02") for k in range(40)], "v double, d string").toDF(name, "d.t")
+    assert {row.column_name: row.non_null_count for row in schemas.inventory(df, "t").collect()} == {name: 40, "d.t": 40}
+    assert {row.column_name: row.unique_count for row in profile.capped_distinct_count(df).collect()} == {name: 7, "d.t": 1}
+    assert profile.value_counts(df).count() == 8
+    assert profile.column_value_counts(df, name).count() == 7
+    assert profile.numeric_profile(df, [name]).summary.first().max_value == 6.0
+    assert profile.date_coverage(df, "d.t", [2019]).first().row_count == 40
+    assert profile.month_counts(df, ["d.t"], 2019).first().month_count == 40
+    assert bounds.positive_max_zero_count(df, [name]).first().max_value == 6.0
+    states, _ = bounds.iterative_trim(df, [name], derived=True)
+    assert bounds.apply_upper_bounds(df, {name: 3.0}).count() == 24 and states[0].name == name
+    assert histogram(df, name, Bins(6.0, 3)).count() == 3
+    assert checks.zero_rate_by_category(df, "d.t", name, ["2019-01-02"]).first().zero_count == 6
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_an_empty_input_has_its_rows(spark):
+    empty = spark.createDataFrame([], "d date")
+    assert [(r.column_name, r.min_value, r.in_year_count) for r in profile.datetime_profile(empty, ["d"], 2019).collect()] == [("d", None, 0)]
+    assert [(r.month, r.month_count) for r in profile.month_counts(empty, ["d"], 2019).collect()] == [(m, 0) for m in range(1, 13)]
+    (row,) = profile.date_coverage(empty, "d", [2019]).collect()
+    assert (row.filter_year, row.row_count, row.unique_count, row.is_unique, row.full_year) == (2019, 0, 0, True, False)
+
+
+def test_a_known_split_decides_what_is_counted(spark):
+    df = spark.createDataFrame([(k % 3, k % 5) for k in range(60)], "a int, b int")
+    found = profiles.profile_columns(df, 2019, split=(["b"], ["a"]))
+    values = found.reports["low_unique_columns_array"].collect()
+    assert {row.column_name for row in values} == {"b"} and len(values) == 5
+    assert [row.column_name for row in found.reports["high_unique_columns_numeric"].collect()] == ["a"]
