@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from sievemark.operators import daily, rules
-from sievemark.plans import features, profiles, steps, trips, weather
+from sievemark.plans import features, profiles, star, steps, trips, weather
 from sievemark.sources import files, ingest, reports, schemas, tables
 
 TRIP_SCHEMA = (
@@ -472,3 +472,21 @@ def test_a_day_holding_a_third_of_all_rows(spark):
         assert {row.date: (row.trip_count, round(row.total_avg_x * 100)) for row in found.select(columns).collect()} == wanted
     plan = by_sum._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_count") > 0 and plan.count("partial_count") >= 1
+
+
+def test_an_order_holding_a_third_of_all_lines(spark, tmp_path):
+    """The join of lines with orders gives every line once, whatever the order it belongs to."""
+    key = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 100)
+    lines = spark.range(9000).select(
+        key.alias("l_orderkey"), F.col("id").alias("l_linenumber"), *[F.lit(1.0).alias(name) for name in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+        F.lit("A").alias("l_returnflag"), F.lit("2019-01-01").cast("timestamp").alias("l_shipdate"),
+    )
+    orders = spark.range(100).select(
+        F.col("id").alias("o_orderkey"), F.lit("2019-01-01").cast("timestamp").alias("o_orderdate"), F.lit("F").alias("o_orderstatus"),
+        F.lit("5-LOW").alias("o_orderpriority"), F.col("id").cast("double").alias("o_totalprice"),
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = star.order_lines(spark, str(tmp_path)).groupBy("l_orderkey").agg(F.count("*").alias("n"), F.max("o_totalprice").alias("p"))
+    rows = {row.l_orderkey: (row.n, row.p) for row in found.collect()}
+    assert sum(n for n, _ in rows.values()) == 9000 and rows[1] == (3060, 1.0) and all(p == k for k, (_, p) in rows.items())
