@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievemark.llm import contamination, id_files, jaccard, language, packing, pii, quality, suffixes, toxicity, vectors
 from sievemark.llm.inputs import table
+from sievemark.llm.oracle import ORACLE_SQL  # noqa: F401
 from sievemark.sources.tables import scratch_path
 
 
@@ -63,4 +64,3 @@ QUERIES = {
     "op8_bit_plane_ids": op8_bit_plane_ids,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
