@@ -31,8 +31,9 @@ ANCHOR = 16
 _PLACES = LENGTH - ANCHOR + 1
 _PLACE_BITS = 20
 PIECE = 1 << _PLACE_BITS  # bytes whose windows are anchored at once
-TEXT_PIECE = 1 << 20  # windows of a document that go to one shard
-SHARD_BYTES, RANGE_BYTES, LEAST_RANGES = 2_000_000, 8_000_000, 64
+SETTLED_BYTES = 400_000
+TEXT_PIECE = 1 << 19  # windows of a document that go to one shard
+SHARD_BYTES, RANGE_BYTES, LEAST_RANGES = 1_000_000, 4_000_000, 64
 
 _random = np.random.default_rng(50)
 _BYTE_VALUES = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -101,7 +102,14 @@ def words_at(text: np.ndarray) -> np.ndarray:
 
 def _first_of_equal(fresh: np.ndarray) -> np.ndarray:
     """For each place of a sorted list the first place with an equal value, from marks of new values."""
-    return np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
+    return np.maximum.accumulate(np.where(fresh, np.arange(len(fresh), dtype=np.int32), np.int32(0)))
+
+
+def _fresh(values: np.ndarray) -> np.ndarray:
+    """Marks of values that differ from the one before."""
+    found = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=found[1:])
+    return found
 
 
 def suffix_array(text: np.ndarray, words: np.ndarray, starts: np.ndarray, depth: int = LENGTH) -> np.ndarray:
@@ -110,27 +118,27 @@ def suffix_array(text: np.ndarray, words: np.ndarray, starts: np.ndarray, depth:
     All places are ranked by eight bytes; then only groups that still hold several places are refined, each by the ranks
     of the places as far behind as the order already reaches, which doubles its reach. The last step reaches `depth`.
     """
-    order = np.argsort(words, kind="stable")
-    sorted_words = words[order]
-    place = _first_of_equal(np.concatenate([[True], sorted_words[1:] != sorted_words[:-1]]))
-    rank = np.zeros(len(text) + depth, dtype=np.int64)
-    rank[order] = place + 1
+    order = np.argsort(words)
+    place = _first_of_equal(_fresh(words[order]))
+    rank = np.zeros(len(text) + depth, dtype=np.int32)
+    rank[order] = place + np.int32(1)
+    single = np.empty(len(text), dtype=bool)
+    single[order] = _fresh(place) & np.append(_fresh(place)[1:], True)
     reach = 8
     while reach < depth:
         last = 2 * reach >= depth
         step = depth - reach if last else reach
-        groups = np.bincount(rank[: len(text)], minlength=len(text) + 2)
-        places = starts if last else np.arange(len(text))
-        active = places[groups[rank[places]] > 1]
+        active = starts[~single[starts]] if last else np.flatnonzero(~single)
         if len(active):
-            behind = rank[active + step]
-            refined = np.lexsort((behind, rank[active]))
-            active, behind, old = active[refined], behind[refined], rank[active[refined]]
-            group = np.concatenate([[True], old[1:] != old[:-1]])
-            fresh = group | np.concatenate([[True], behind[1:] != behind[:-1]])
-            rank[active] = old + _first_of_equal(fresh) - _first_of_equal(group)
+            key = rank[active].astype(np.int64) << 32 | rank[active + step]
+            refined = np.argsort(key)
+            active, key = active[refined], key[refined]
+            fresh = _fresh(key)
+            rank[active] = (key >> 32).astype(np.int32) + _first_of_equal(fresh) - _first_of_equal(_fresh(key >> 32))
+            single[active] = fresh & np.append(fresh[1:], True)
         reach += step
-    return starts[np.argsort(rank[starts], kind="stable")]
+    # Equal strings stand in text order, so that neighbours stay neighbours along a copied passage.
+    return starts[np.argsort(rank[starts].astype(np.int64) << 32 | np.arange(len(starts)))]
 
 
 def common_prefixes(words: np.ndarray, order: np.ndarray, most: int = 4096) -> np.ndarray:
@@ -140,29 +148,27 @@ def common_prefixes(words: np.ndarray, order: np.ndarray, most: int = 4096) -> n
     the heads of such chains are compared, and chains that run out of shared bytes begin anew.
     """
     if not len(order):
-        return np.empty(0, dtype=np.int64)
-    before = np.full(len(words) + 1, -1, dtype=np.int64)
+        return np.empty(0, dtype=np.int32)
+    before = np.full(len(words) + 1, -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
-    places = np.sort(order)
+    inside = np.zeros(len(words), dtype=bool)
+    inside[order] = True
+    places = np.flatnonzero(inside).astype(np.int32)
     other = before[places]
-    shared = np.zeros(len(places), dtype=np.int64)
-    head = np.ones(len(places), dtype=bool)
-    head[1:] = (np.diff(places) != 1) | (np.diff(other) != 1) | (other[1:] < 1)
-    chain = _first_of_equal(head)
-    pending = np.flatnonzero(head & (other >= 0))
-    behind = np.concatenate([words, np.zeros(8, dtype=np.uint64)])
-    while len(pending):
-        shared[pending] = _extend(behind, len(words), places[pending], other[pending], most)
-        head_of = chain
-        values = shared[head_of] - (np.arange(len(places)) - head_of)
-        out = (values <= 0) | ((values < LENGTH) & (shared[head_of] >= most))
-        open_ = out & (head_of != np.arange(len(places))) & (other >= 0)
-        fresh = open_ & np.concatenate([[True], ~open_[:-1] | (chain[1:] != chain[:-1])])
-        shared = np.where(out & ~head, 0, np.maximum(values, 0))
-        pending = np.flatnonzero(fresh)
-        head = head | fresh
+    shared = np.zeros(len(places), dtype=np.int32)
+    padded = np.append(words, np.zeros(8, dtype=np.uint64))
+    left = np.flatnonzero(other >= 0)
+    while len(left):
+        own, neighbour = places[left], other[left]
+        head = np.ones(len(left), dtype=bool)
+        head[1:] = (np.diff(own) != 1) | (np.diff(neighbour) != 1)
+        reach = np.zeros(len(left), dtype=np.int32)
+        reach[head] = _extend(padded, len(words), own[head], neighbour[head], most)
         chain = _first_of_equal(head)
-    found = np.zeros(len(words), dtype=np.int64)
+        values = reach[chain] - (own - own[chain])
+        shared[left] = np.maximum(values, 0)
+        left = left[(values < 0) | ((values < LENGTH) & (reach[chain] >= most) & ~head)]
+    found = before
     found[places] = shared
     return found[order]
 
@@ -184,14 +190,19 @@ def _extend(words: np.ndarray, size: int, left: np.ndarray, right: np.ndarray, m
 
 def repeated_windows(text: np.ndarray, starts: np.ndarray, documents: np.ndarray) -> np.ndarray:
     """Which windows (by their starts, ascending) an earlier document has too; `documents` gives each window's document."""
+    found = np.zeros(len(starts), dtype=bool)
+    if not len(starts):
+        return found
     words = words_at(text)
     order = suffix_array(text, words, starts)
-    equal = common_prefixes(words, order) >= LENGTH
-    group = np.cumsum(~equal) - 1 if len(order) else np.empty(0, dtype=np.int64)
-    place = np.searchsorted(starts, order)
-    least = np.minimum.reduceat(documents[place], np.flatnonzero(~equal)) if len(order) else documents
-    found = np.zeros(len(starts), dtype=bool)
-    found[place] = documents[place] > least[group]
+    fresh = common_prefixes(words, order) < LENGTH
+    number = np.empty(len(text), dtype=np.int32)
+    number[starts] = np.arange(len(starts), dtype=np.int32)
+    place = number[order]
+    ordered = documents[place]
+    firsts = np.flatnonzero(fresh)
+    least = np.repeat(np.minimum.reduceat(ordered, firsts), np.diff(np.append(firsts, len(order))))
+    found[place] = ordered > least
     return found
 
 
@@ -214,8 +225,9 @@ class Runs:
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Run and number within it of each window."""
-        run = np.repeat(np.arange(len(self)), self.count)
-        return run, np.arange(len(run)) - np.repeat(np.cumsum(self.count) - self.count, self.count)
+        run = np.repeat(np.arange(len(self), dtype=np.int32), self.count)
+        before = (np.cumsum(self.count) - self.count).astype(np.int32)
+        return run, np.arange(len(run), dtype=np.int32) - np.repeat(before, self.count)
 
     def gathered(self) -> Runs:
         """The runs with a text of their bytes alone, one run after another."""
@@ -242,10 +254,12 @@ def cut_runs(runs: Runs, keep: np.ndarray) -> Runs:
 def settle(runs: Runs) -> np.ndarray:
     """Which windows of the runs an earlier document among them has, by one suffix array over the text they lie in."""
     run, within = runs.windows()
-    starts = runs.at[run] + within
-    order = np.argsort(starts, kind="stable")
+    starts, documents = runs.at.astype(np.int32)[run] + within, runs.document[run]
+    if (starts[1:] > starts[:-1]).all():
+        return repeated_windows(runs.text, starts, documents)
+    order = np.argsort(starts)
     found = np.empty(len(starts), dtype=bool)
-    found[order] = repeated_windows(runs.text, starts[order], runs.document[run][order])
+    found[order] = repeated_windows(runs.text, starts[order], documents[order])
     return found
 
 
@@ -276,9 +290,18 @@ def merge(parts: list[Runs]) -> list[tuple[Runs, np.ndarray]]:
     low, high = np.full(len(anchors), np.iinfo(np.int64).max), np.full(len(anchors), np.iinfo(np.int64).min)
     np.minimum.at(low, group, whole.document[left])
     np.maximum.at(high, group, whole.document[left])
-    open_ = whole.take(left[(low < high)[group]]).gathered()
     done = whole.take(np.flatnonzero(settled))
-    return [(done, np.ones(int(done.count.sum()), dtype=bool)), (open_, settle(open_))]
+    found = [(done, np.ones(int(done.count.sum()), dtype=bool))]
+    left = left[(low < high)[group]]
+    left = left[np.argsort(whole.anchor[left], kind="stable")]
+    # Anchors are independent: some of them at a time, so that the arrays over their text stay small.
+    ends = np.cumsum(whole.count[left] + LENGTH - 1)
+    fresh = _fresh(whole.anchor[left])
+    batch = (ends[_first_of_equal(fresh)] // SETTLED_BYTES) if len(left) else ends
+    for part in np.split(left, np.flatnonzero(np.diff(batch)) + 1):
+        runs = whole.take(part).gathered()
+        found.append((runs, settle(runs)))
+    return found
 
 
 def joined_runs(parts: list[Runs]) -> Runs:
@@ -370,7 +393,23 @@ def _anchor_sets(runs: Runs) -> tuple[np.ndarray, np.ndarray]:
 MARK_SCHEMA = "shard int, range int, data binary, marks binary"
 MOVED_SCHEMA = "range int, document binary, text_key binary, first binary, count binary, anchor binary, text binary"
 GONE_SCHEMA = "doc_id long, text_key long, first binary, count binary"
-_TYPES = {"document": np.int64, "text_key": np.int64, "first": np.int64, "count": np.int64, "anchor": np.uint64}
+# Types of moved columns. A run has at most `_PLACES` windows; of an anchor's hash the low half tells runs of a range apart,
+# and equal ones by chance only cost work.
+_TYPES = {"document": np.int64, "text_key": np.int64, "first": np.int64, "count": np.uint8, "anchor": np.uint32}
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Compressed bytes of a column; numbers as planes of their differences, since neighbours are alike."""
+    if values.itemsize == 8:
+        values = np.ascontiguousarray(np.diff(values, prepend=values.dtype.type(0)).view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=3).compress(values.tobytes())
+
+
+def _expanded(data: bytes, kind: type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    if np.dtype(kind).itemsize == 8:
+        return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(kind).ravel(), dtype=kind)
+    return raw.view(kind)
 
 
 def _send_anchors(ranges: int):
@@ -432,14 +471,14 @@ def _local(ranges: int):
             found = settle(near)
             documents, keys, firsts, counts = _gone(near, found)
             for d, k, f, c in zip(documents, keys, firsts, counts):
-                rows.append((hash((d, k)) % ranges, np.int64(d).tobytes(), np.int64(k).tobytes(), f, c, None, None))
+                rows.append((hash((d, k)) % ranges, _squeezed(np.array([d])), _squeezed(np.array([k])), f, c, None, None))
             left = cut_runs(near, ~found)
             number = _range_of(_short(left.anchor), ranges)
             order = np.argsort(number, kind="stable")
             limits = np.searchsorted(number[order], np.arange(ranges + 1))
             for at in np.flatnonzero(np.diff(limits)):
                 part = left.take(order[limits[at] : limits[at + 1]]).gathered()
-                rows.append((int(at), *(getattr(part, n).astype(t).tobytes() for n, t in _TYPES.items()), part.text.tobytes()))
+                rows.append((int(at), *(_squeezed(getattr(part, n).astype(t)) for n, t in _TYPES.items()), _squeezed(part.text)))
         columns = list(zip(*rows)) or [()] * 7
         kinds = [pa.int32(), *[pa.binary()] * 6]
         names = ["range", *_TYPES, "text"]
@@ -462,16 +501,17 @@ def _close(runs: Runs) -> Runs:
 def _across(moved: pa.Table) -> pa.Table:
     """Merge of the shards' runs of one range; what shards settled themselves passes through."""
     parts, keys, texts, firsts, counts = [], [], [], [], []
-    for row in moved.to_pylist():
-        columns = {name: np.frombuffer(row[name], dtype=kind) for name, kind in _TYPES.items() if row[name] is not None}
+    for row in (row for batch in moved.to_batches(max_chunksize=200) for row in batch.to_pylist()):
         if row["text"] is None:
-            keys.append(int(columns["document"][0]))
-            texts.append(int(columns["text_key"][0]))
+            keys.append(int(_expanded(row["document"], np.int64)[0]))
+            texts.append(int(_expanded(row["text_key"], np.int64)[0]))
             firsts.append(row["first"])
             counts.append(row["count"])
             continue
+        columns = {name: _expanded(row[name], kind) for name, kind in _TYPES.items()}
+        columns["count"] = columns["count"].astype(np.int64)
         sizes = columns["count"] + LENGTH - 1
-        parts.append(Runs(np.frombuffer(row["text"], dtype=np.uint8), **columns, at=np.cumsum(sizes) - sizes))
+        parts.append(Runs(_expanded(row["text"], np.uint8), **columns, at=np.cumsum(sizes) - sizes))
     for runs, found in merge(parts) if parts else []:
         for out, new in zip((keys, texts, firsts, counts), _gone(runs, found)):
             out.extend(new)
