@@ -370,8 +370,9 @@ def _shard_runs(pieces: pa.Table) -> Runs:
 
 
 def _short(anchor: np.ndarray) -> np.ndarray:
-    """Anchor hashes as they are compared between shards: 48 bits; equal ones by chance only cost work."""
-    return anchor >> np.uint64(16)
+    """Anchor hashes as they are compared between shards: 48 bits; equal ones by chance only cost work. Anchors are the
+    lowest hashes of their windows, so they are mixed again to spread evenly over ranges."""
+    return (anchor ^ (anchor >> np.uint64(33))) * np.uint64(0x94D049BB133111EB) >> np.uint64(16)
 
 
 def _range_of(short: np.ndarray, ranges: int) -> np.ndarray:
