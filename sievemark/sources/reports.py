@@ -119,7 +119,8 @@ def read_report(spark: SparkSession, path: str, schema: T.StructType | str) -> D
 def attach_rows(summary: DataFrame, rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Add the long rows of each column to its summary row as an ordered array.
 
-    The long rows are report rows: a column has at most as many as it has counted values, bins or months.
+    The long rows are report rows: bins, months or the counted values of low columns, of which a column has a few hundred
+    at most. Value counts of a column without that limit do not belong here, as their array would be as long as they are.
     """
     entries = [item for item in rows.columns if item != "column_name"]
     leading = [F.col(item) for item in order] + [F.col(item) for item in entries if item not in order]
