@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.inputs import id_and_text, texts_of
-from sievemark.llm.samples import held_out, labelled_texts
+from sievemark.llm.samples import held_out, weighted_texts
 
 PER_LABEL = 2000
 BINS, PAIR_BINS, PAIRS = 32, 8, 6
@@ -146,9 +146,10 @@ def cross_tree(slope: np.ndarray, curve: np.ndarray) -> tuple[float, np.ndarray]
     return float(gains.max() - _gain(s[-1, -1], c[-1, -1])), values
 
 
-def train(rows: np.ndarray, wanted: np.ndarray, rounds: int = ROUNDS) -> Additive:
-    """Cyclic boosting of single features, then of the pairs that explain most of the rest."""
-    share = float(np.clip(wanted.mean(), 0.01, 0.99)) if len(wanted) else 0.5
+def train(rows: np.ndarray, wanted: np.ndarray, rounds: int = ROUNDS, weights: np.ndarray | None = None) -> Additive:
+    """Cyclic boosting of single features, then of the pairs that explain most of the rest; rows weigh 1 by default."""
+    weights = np.ones(len(wanted)) if weights is None else weights
+    share = float(np.clip(np.average(wanted, weights=weights), 0.01, 0.99)) if len(wanted) else 0.5
     edges = [np.unique(np.quantile(column, np.linspace(0, 1, BINS + 1)[1:-1])) for column in rows.T] if len(rows) else [np.empty(0)] * len(FEATURES)
     model = Additive(edges, float(np.log(share / (1 - share))))
     model.tables = [np.zeros(len(e) + 1) for e in edges]
@@ -159,7 +160,7 @@ def train(rows: np.ndarray, wanted: np.ndarray, rounds: int = ROUNDS) -> Additiv
 
     def slopes() -> tuple[np.ndarray, np.ndarray]:
         chance = 1 / (1 + np.exp(-total))
-        return wanted - chance, chance * (1 - chance)
+        return weights * (wanted - chance), weights * chance * (1 - chance)
 
     for _ in range(rounds):
         for own, table in zip(bins, model.tables):
@@ -184,11 +185,11 @@ def train(rows: np.ndarray, wanted: np.ndarray, rounds: int = ROUNDS) -> Additiv
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Additive:
-    """Model of at most `per_label` documents of each label outside the held-out fold, weighted by nothing."""
+    """Model of at most `per_label` documents of each label outside the held-out fold, weighted to the labels' shares there."""
     known = labels.filter(~held_out(5, 0)).filter("quality IN (0, 1)")
-    rows = labelled_texts(docs, known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label")), per_label)
-    table = np.array([features_of(text) for text, _ in rows]).reshape(-1, len(FEATURES))
-    return train(table, np.array([label for _, label in rows], dtype=float))
+    rows = weighted_texts(docs, known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label")), per_label)
+    table = np.array([features_of(text) for text, _, _ in rows]).reshape(-1, len(FEATURES))
+    return train(table, np.array([label for _, label, _ in rows], dtype=float), weights=np.array([weight for _, _, weight in rows]))
 
 
 def score(docs: DataFrame, model: Additive) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,11 +18,17 @@ def held_out(folds: int, fold: int) -> Column:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, per_label: int, excerpt: int | None = None) -> list[tuple[str, object]]:
-    """Texts and labels of at most `per_label` documents of each label, the same ones whatever the partitioning.
+    """Texts and labels of at most `per_label` documents of each label; see `weighted_texts`."""
+    return [(text, label) for text, label, _ in weighted_texts(docs, labels, per_label, excerpt)]
+
+
+def weighted_texts(docs: DataFrame, labels: DataFrame, per_label: int, excerpt: int | None = None) -> list[tuple[str, object, float]]:
+    """Texts, labels and weights of at most `per_label` documents of each label, the same ones whatever the partitioning.
 
     `labels` has doc_id and label. Texts of over `MOST_CHARS` characters are left out of the sample, or, with `excerpt`,
     each text gives that many characters from a place that depends on its key. The driver gets at most `per_label` rows a
-    label of that size.
+    label of that size. Weights bring the labels back to their shares among all labelled documents: a label's documents
+    weigh its count by the number taken, divided so that the least weight is 1.
     """
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -33,7 +41,11 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, per_label: int, excerpt:
         texts = texts.select("doc_id", F.substring("text", place.cast("int"), F.lit(excerpt)).alias("text"))
     # A share of each label that leaves about twice as many as wanted, so that ranking them is a small task.
     share = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) * F.col("n") < 2_000_000 * per_label
-    known = known.join(known.groupBy("label").agg(F.count("*").alias("n")), "label").filter(share).drop("n")
+    known = known.join(known.groupBy("label").agg(F.count("*").alias("n")), "label").filter(share)
     chosen = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label).drop("place")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").collect()
-    return [(row["text"], row["label"]) for row in sorted(rows, key=lambda row: (row["doc_id"], row["text"]))]
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", "n").collect()
+    taken = Counter(label for _, label in {(row["doc_id"], row["label"]) for row in rows})
+    weights = {row["label"]: row["n"] / taken[row["label"]] for row in rows}
+    least = min(weights.values(), default=1.0)
+    rows = sorted(rows, key=lambda row: (row["doc_id"], row["text"]))
+    return [(row["text"], row["label"], weights[row["label"]] / least) for row in rows]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.inputs import id_and_text, with_columns
-from sievemark.llm.samples import held_out, labelled_texts
+from sievemark.llm.samples import held_out, weighted_texts
 
 SEQUENCE = 128
 PER_LABEL = 1000
@@ -180,8 +180,12 @@ def telling_tokens(distinct: list[str], ids: np.ndarray, of_toxic: np.ndarray, n
     return np.array([any(unit in telling for unit in units(token)) for token in distinct], dtype=bool)
 
 
-def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Field | None:
-    """Fit the field to token labels by gradient steps on the likelihood, then the document score to document labels."""
+def train(texts: list[str], labels: list[int], steps: int = STEPS, weights_of: list[float] | None = None) -> Field | None:
+    """Fit the field to token labels by gradient steps on the likelihood, then the document score to document labels.
+
+    `weights_of` documents, 1 by default, hold for the document score: with them its constant follows the labels' shares
+    among all labelled documents. The field learns from a fixed mixture of sequences and needs none.
+    """
     toxic = np.array(labels, dtype=bool)
     if not toxic.any() or toxic.all():
         return None
@@ -229,18 +233,18 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Field | No
     field = Field(weights, moves, start, np.array([0.0, 1.0, 0.0]))
     vocabulary = Vocabulary(weights)
     facts = np.array([document_facts(c) for c in token_chances(documents, field, vocabulary)])
-    field.score = logistic(facts, toxic)
+    field.score = logistic(facts, toxic, np.ones(len(toxic)) if weights_of is None else np.array(weights_of))
     return field
 
 
-def logistic(facts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Weights of a logistic regression with a small ridge, by Newton steps."""
+def logistic(facts: np.ndarray, wanted: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression of weighted rows with a small ridge, by Newton steps."""
     table = np.column_stack([np.ones(len(facts)), facts])
     found = np.zeros(table.shape[1])
     for _ in range(25):
         chance = 1 / (1 + np.exp(-np.clip(table @ found, -30, 30)))
-        slope = table.T @ (wanted - chance) - 0.5 * found
-        curve = (table * (chance * (1 - chance))[:, None]).T @ table + 0.5 * np.eye(len(found))
+        slope = table.T @ (weights * (wanted - chance)) - 0.5 * found
+        curve = (table * (weights * chance * (1 - chance))[:, None]).T @ table + 0.5 * np.eye(len(found))
         found += np.linalg.solve(curve, slope)
     return found
 
@@ -278,10 +282,10 @@ def score_texts(texts: list[str], field: Field, vocabulary: Vocabulary) -> list[
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Field | None:
-    """Field fitted to at most `per_label` documents of each label outside the held-out fold."""
+    """Field fitted to at most `per_label` documents of each label outside the held-out fold, weighted to the labels' shares there."""
     known = labels.filter(~held_out(5, 0)).filter("toxic IN (0, 1)")
-    rows = labelled_texts(docs, known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label")), per_label)
-    return train([text for text, _ in rows], [label for _, label in rows])
+    rows = weighted_texts(docs, known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label")), per_label)
+    return train([text for text, _, _ in rows], [label for _, label, _ in rows], weights_of=[weight for _, _, weight in rows])
 
 
 SCORE_SCHEMA = "_score double, _spans array<struct<begin: int, end: int>>"
