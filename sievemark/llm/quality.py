@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.inputs import id_and_text, texts_of
-from sievemark.llm.samples import held_out, weighted_texts
+from sievemark.llm.samples import held_out, sample, weights_of
 
 PER_LABEL = 2000
 BINS, PAIR_BINS, PAIRS = 32, 8, 6
@@ -187,9 +187,19 @@ def train(rows: np.ndarray, wanted: np.ndarray, rounds: int = ROUNDS, weights: n
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Additive:
     """Model of at most `per_label` documents of each label outside the held-out fold, weighted to the labels' shares there."""
     known = labels.filter(~held_out(5, 0)).filter("quality IN (0, 1)")
-    rows = weighted_texts(docs, known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label")), per_label)
-    table = np.array([features_of(text) for text, _, _ in rows]).reshape(-1, len(FEATURES))
-    return train(table, np.array([label for _, label, _ in rows], dtype=float), weights=np.array([weight for _, _, weight in rows]))
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("label"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([features_of(text) for text in texts_of(batch)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("doc_id", "label", "n")), found], names=["doc_id", "label", "n", "found"])
+
+    # Features are made where the texts are, so texts of any length count and the driver gets a few numbers of each.
+    chosen = sample(docs, known.withColumn("label", F.col("label").cast("int")), per_label)
+    rows = chosen.mapInArrow(run, "doc_id long, label int, n long, found array<double>").collect()
+    rows = sorted(rows, key=lambda row: (row["doc_id"], row["found"]))
+    table = np.array([row["found"] for row in rows]).reshape(-1, len(FEATURES))
+    return train(table, np.array([row["label"] for row in rows], dtype=float), weights=np.array(weights_of(rows)))
 
 
 def score(docs: DataFrame, model: Additive) -> DataFrame:

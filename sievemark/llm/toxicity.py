@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.inputs import id_and_text, with_columns
-from sievemark.llm.samples import held_out, weighted_texts
+from sievemark.llm.inputs import id_and_text, texts_of, with_columns
+from sievemark.llm.samples import held_out, sample, weights_of
 
 SEQUENCE = 128
 PER_LABEL = 1000
+MOST_CHARS = 30_000
 WEIGHTS = 1 << 16
 CACHED_WORDS = 300_000
 STEPS = 80
@@ -180,12 +181,20 @@ def telling_tokens(distinct: list[str], ids: np.ndarray, of_toxic: np.ndarray, n
     return np.array([any(unit in telling for unit in units(token)) for token in distinct], dtype=bool)
 
 
-def train(texts: list[str], labels: list[int], steps: int = STEPS, weights_of: list[float] | None = None) -> Field | None:
+def train(
+    texts: list[str],
+    labels: list[int],
+    steps: int = STEPS,
+    weights: list[float] | None = None,
+    whole: Callable[[Field], dict[int, tuple[float, float]]] | None = None,
+) -> Field | None:
     """Fit the field to token labels by gradient steps on the likelihood, then the document score to document labels.
 
-    `weights_of` documents, 1 by default, hold for the document score: with them its constant follows the labels' shares
-    among all labelled documents. The field learns from a fixed mixture of sequences and needs none.
+    `weights` of documents, 1 by default, hold for the document score: with them its constant follows the labels' shares
+    among all labelled documents. The field learns from a fixed mixture of sequences and needs none. Where a text is only
+    the beginning of a document, `whole` gives the facts of the whole one, by place in `texts`.
     """
+    document_weights = np.ones(len(labels)) if weights is None else np.array(weights)
     toxic = np.array(labels, dtype=bool)
     if not toxic.any() or toxic.all():
         return None
@@ -233,7 +242,9 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS, weights_of: l
     field = Field(weights, moves, start, np.array([0.0, 1.0, 0.0]))
     vocabulary = Vocabulary(weights)
     facts = np.array([document_facts(c) for c in token_chances(documents, field, vocabulary)])
-    field.score = logistic(facts, toxic, np.ones(len(toxic)) if weights_of is None else np.array(weights_of))
+    for place, found in (whole(field) if whole else {}).items():
+        facts[place] = found
+    field.score = logistic(facts, toxic, document_weights)
     return field
 
 
@@ -282,10 +293,43 @@ def score_texts(texts: list[str], field: Field, vocabulary: Vocabulary) -> list[
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Field | None:
-    """Field fitted to at most `per_label` documents of each label outside the held-out fold, weighted to the labels' shares there."""
+    """Field fitted to at most `per_label` documents of each label outside the held-out fold, weighted to the labels' shares there.
+
+    The driver gets the first `MOST_CHARS` characters of each, from which the field learns; the document score is fitted to
+    whole documents, those of longer ones read in tasks.
+    """
     known = labels.filter(~held_out(5, 0)).filter("toxic IN (0, 1)")
-    rows = weighted_texts(docs, known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label")), per_label)
-    return train([text for text, _, _ in rows], [label for _, label, _ in rows], weights_of=[weight for _, _, weight in rows])
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label"))
+    chosen = sample(docs, known, per_label).withColumns({"key": F.xxhash64("text"), "chars": F.length("text")})
+    rows = chosen.withColumn("text", F.substring("text", 1, MOST_CHARS)).collect()
+    rows = sorted(rows, key=lambda row: (row["doc_id"], row["text"], row["key"]))
+    places: dict[tuple[int, int], list[int]] = {}
+    for at, row in enumerate(rows):
+        if row["chars"] > MOST_CHARS:
+            places.setdefault((row["doc_id"], row["key"]), []).append(at)
+
+    def whole(field: Field) -> dict[int, tuple[float, float]]:
+        if not places:
+            return {}
+        long = id_and_text(docs).filter(F.col("doc_id").isin(sorted({key for key, _ in places}))).filter(F.length("text") > MOST_CHARS)
+        found = facts_of(long, field).collect()
+        return {at: (r["highest"], r["expected"]) for r in found for at in places[r["doc_id"], r["key"]]}
+
+    return train([r["text"] for r in rows], [r["label"] for r in rows], weights=weights_of(rows), whole=whole)
+
+
+def facts_of(docs: DataFrame, field: Field) -> DataFrame:
+    """What the scores of whole texts rest on: doc_id, key (a hash of the text), highest, expected."""
+    name = zlib.crc32(field.weights.tobytes())
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            documents = [text.lower().split() for text in texts_of(batch)]
+            facts = [document_facts(c) for c in token_chances(documents, field, vocabulary_of(name, field))]
+            columns = [pa.array([float(f[at]) for f in facts], pa.float64()) for at in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *columns], names=["doc_id", "key", "highest", "expected"])
+
+    return docs.withColumn("key", F.xxhash64("text")).mapInArrow(run, "doc_id long, key long, highest double, expected double")
 
 
 SCORE_SCHEMA = "_score double, _spans array<struct<begin: int, end: int>>"
