@@ -25,12 +25,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies; of rows with one key and text, one."""
+    """The first document of each group of near copies; of rows with one key and text, one.
+
+    Texts that share a key are documents of their own, so groups are found by a hash of key and text.
+    """
     importable(spark)
-    classes = jaccard.near_duplicates(docs)
-    kept = classes.filter("doc_id = class_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
+    keyed = docs.filter("doc_id IS NOT NULL").withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    found = jaccard.near_duplicates(keyed.select(F.col("_row_key").alias("doc_id"), "text"))
+    classes = found.groupBy(F.col("doc_id").alias("_row_key")).agg(F.min("class_id").alias("class_id"))
+    keys = keyed.groupBy("_row_key").agg(F.min(F.col("doc_id").cast("long")).alias("doc_id"))
+    kept = keys.join(classes, "_row_key").groupBy("class_id").agg(F.min(F.struct("doc_id", "_row_key")).alias("first"))
+    first = keyed.join(kept.select(F.col("first._row_key").alias("_row_key")), "_row_key", "left_semi").dropDuplicates(["_row_key"])
+    return first.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
