@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemark.llm import contamination, id_files, jaccard, language, packing, pii, quality, suffixes, toxicity, vectors
+from sievemark.llm import contamination, id_files, jaccard, language, packing, periods, pii, quality, secret_scan, suffixes, toxicity, vectors, whitening
 from sievemark.llm.inputs import table
 from sievemark.llm.oracle import ORACLE_SQL  # noqa: F401
 from sievemark.sources.tables import scratch_path
@@ -52,6 +52,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.planted_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -63,4 +75,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op8_bit_plane_ids": op8_bit_plane_ids,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
