@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -11,15 +11,14 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import quoted
 from ..functions.numbers import clean_double, round_scaled
-from .histogram import Bins, bin_index
-from .longform import stack_columns, value_frequencies
+from .grid import CELLS, Grid, count_grids, exact_counts
+from .histogram import Bins
 
 # Fixed values of the trim: (bins, smallest share in percent a last bin must hold) for pass 1 and pass 2.
 TRIM_PASSES = ((100, 0.05), (10, 0.5))
 
-# Below this many distinct values the loop runs on a cached frequency table; above it, it reads the columns again,
-# because a table that does not shrink is not worth a shuffle.
-FREQUENCY_ROWS = 5_000_000
+# Bounds that one more scan can settle for a column, where the grid leaves several open.
+OPEN_STEPS = 64
 
 
 @dataclass
@@ -44,6 +43,12 @@ class TrimState:
     def bins(self) -> Bins:
         return Bins(_printed(self.upper), TRIM_PASSES[self.pass_index][0])
 
+    def after(self, counts: list[int]) -> TrimState:
+        """The state that one more histogram leads to."""
+        state = replace(self, pass_values=list(self.pass_values))
+        state.advance(counts)
+        return state
+
     def advance(self, counts: list[int]) -> None:
         """Apply one histogram: shrink the bound, or close the pass when the last bin is full enough."""
         bin_count, threshold = TRIM_PASSES[self.pass_index]
@@ -90,73 +95,78 @@ def _max_and_zero(columns: Sequence[str]) -> list[Column]:
 
 
 def iterative_trim(
-    df: DataFrame, columns: Sequence[str], frequency_rows: int = FREQUENCY_ROWS, derived: bool = False
+    df: DataFrame, columns: Sequence[str], derived: bool = False, cells: int = CELLS
 ) -> tuple[list[TrimState], int]:
     """Two-pass trim of all columns together; returns the states and the row count.
 
-    Each step is one job: a histogram of every running column, at most 100 rows per column to the driver. The number
-    of jobs is that of the slowest column. NULL and negative entries stay in the share's denominator.
-
-    Repeated values (money in cents) are reduced once to a cached table of values and counts. Otherwise every step
-    reads the columns again; those of a ``derived`` input, which would be computed again, are cached until the end.
+    One scan counts the values of all columns in fine cells (``cells`` for each doubling). Most steps are decided by the
+    bounds which the cells put on every bin; a second scan reads the values in cells that an edge cuts, for all steps that
+    are still open and for the final bins, whatever the number of steps. NULL and negative entries stay in the share's
+    denominator. The columns of a ``derived`` input, which would be computed again, are cached until the end.
     """
     names = list(columns)
-    row = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *_max_and_zero(names),
-        *[F.approx_count_distinct(clean_double(quoted(name))).alias(f"distinct_{k}") for k, name in enumerate(names)],
-    ).first()
-    total_rows = row["row_count"]
-    states = []
-    for k, name in enumerate(names):
-        max_value = float(row[f"max_{k}"] or 1.0)
-        zeros = row[f"zero_{k}"]
-        states.append(TrimState(name, max_value, zeros, total_rows - zeros, max_value))
-
-    values = [clean_double(quoted(name)) for name in names]
-    distinct = sum(row[f"distinct_{k}"] for k in range(len(names)))
-    cached = held = None
-    if distinct <= frequency_rows and distinct * 2 <= total_rows * len(names):
-        cached = value_frequencies(df, values).persist(StorageLevel.MEMORY_AND_DISK)
-    elif derived:
+    values, held = [clean_double(quoted(name)) for name in names], None
+    if derived:
         df = held = df.select(*[value.alias(name) for name, value in zip(names, values)]).persist(StorageLevel.MEMORY_AND_DISK)
         values = [quoted(name) for name in names]
     try:
-        while any(state.running for state in states):
-            running = [(c, state) for c, state in enumerate(states) if state.running]
-            counted = _histograms(df, values, cached, running, len(states))
-            for c, state in running:
-                state.advance(counted[c])
+        grids = count_grids(df, values, cells)
+        total_rows = grids[0].row_count if grids else df.count()
+        known: list[dict] = [{} for _ in names]
+        while True:
+            walks = [_walk(_start(name, grid), grid, exact) for name, grid, exact in zip(names, grids, known)]
+            wanted = {c: open_ for c, (_, open_) in enumerate(walks) if open_}
+            if not wanted:
+                return [final for final, _ in walks], total_rows
+            found = exact_counts(df, values, grids, {c: list(open_.values()) for c, open_ in wanted.items()}, cells)
+            for c, open_ in wanted.items():
+                known[c].update(zip(open_, found[c]))
     finally:
-        for kept in (cached, held):
-            if kept is not None:
-                kept.unpersist()
-    return states, total_rows
-
-
-def _histograms(df, values, cached, running, column_count) -> dict[int, list[int]]:
-    """Bin counts of the running columns at their current bounds; bins without rows stay 0."""
-    if cached is None:
-        ids = [c for c, _ in running]
-        buckets = [_bucket(values[c], state) for c, state in running]
-        counts = stack_columns(df, buckets, "bucket").groupBy("c", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    else:
-        ids = list(range(column_count))
-        bucket = F
-        for c, state in running:
-            bucket = bucket.when(F.col("c") == c, _bucket(F.col("v"), state))
-        counted = cached.select("c", bucket.alias("bucket"), "w").where(F.col("bucket").isNotNull())
-        counts = counted.groupBy("c", "bucket").agg(F.sum("w").alias("n"))
-    result = {c: [0] * state.bins.count for c, state in running}
-    for row in counts.collect():
-        result[ids[row.c]][row.bucket - 1] = row.n
-    return result
-
-
-def _bucket(value: Column, state: TrimState) -> Column:
-    """Bin of a value at the column's current bound, NULL outside of it."""
-    upper, count = F.lit(state.bins.upper), F.lit(state.bins.count)
-    return F.when((value > 0) & (value <= upper), bin_index(value, upper, count))
+        if held is not None:
+            held.unpersist()
+
+
+def _start(name: str, grid: Grid) -> TrimState:
+    max_value = grid.max_value or 1.0
+    return TrimState(name, max_value, grid.zero_count, grid.row_count - grid.zero_count, max_value)
+
+
+def _walk(start: TrimState, grid: Grid, known: Mapping[tuple, list[int]]) -> tuple[TrimState, dict[tuple, Bins]]:
+    """The last state reached, and the steps whose counts must be known exactly before it is certain.
+
+    Where the grid allows several outcomes of a step, all of them are followed, so that the steps behind them are asked for
+    in the same scan.
+    """
+    waiting, seen, open_, last = [start], set(), {}, start
+    while waiting and len(open_) < OPEN_STEPS:
+        state = waiting.pop(0)
+        last = state if not state.running else last
+        step = (state.pass_index, state.upper)
+        if not state.running or step in seen:
+            continue
+        seen.add(step)
+        if step in known:
+            waiting.append(state.after(known[step]))
+            continue
+        low, high = grid.bracket(state.bins)
+        after = {(s.pass_index, s.upper): s for s in map(state.after, _outcomes(state, low, high))}
+        if low != high and (len(after) > 1 or not all(s.running for s in after.values())):
+            open_[step] = state.bins
+        waiting += after.values()
+    return last, open_
+
+
+def _outcomes(state: TrimState, low: Sequence[int], high: Sequence[int]) -> list[list[int]]:
+    """Bin counts within the bounds that stand for every way the step can end."""
+    if state.nonzero_rows <= 0 or low == high:
+        return [list(low)]
+    threshold, found = TRIM_PASSES[state.pass_index][1], []
+    for at in reversed(range(len(low))):
+        if high[at] / state.nonzero_rows * 100 >= threshold:
+            found.append([*low[:at], high[at], *low[at + 1 :]])
+        if low[at] / state.nonzero_rows * 100 >= threshold:
+            return found
+    return [*found, list(low)]
 
 
 def trim_table(spark, states: Sequence[TrimState]) -> DataFrame:

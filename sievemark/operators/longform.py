@@ -17,8 +17,3 @@ def stack_columns(df: DataFrame, columns: Sequence[Column], value_name: str = "v
     """Rows (c, value) for every non-NULL entry of same-typed columns; ``c`` is the position in the list."""
     pairs = [part for c, column in enumerate(columns) for part in (F.lit(c), column)]
     return df.select(F.stack(F.lit(len(columns)), *pairs).alias("c", value_name)).where(F.col(value_name).isNotNull())
-
-
-def value_frequencies(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
-    """Distinct (c, v) with their row counts; partial counts are combined before the shuffle."""
-    return stack_columns(df, columns).groupBy("c", "v").agg(F.count(F.lit(1)).alias("w"))

@@ -513,7 +513,7 @@ QUERIES: dict[str, Query] = {
     "histogram_chart_rows": histogram_chart_rows,
     "positive_max_zero_count": positive_max_zero_count,
     "iterative_trim_bounds": iterative_trim_bounds,
-    "iterative_trim_bounds_rescanned": partial(iterative_trim_bounds, frequency_rows=0),
+    "iterative_trim_bounds_rescanned": partial(iterative_trim_bounds, cells=4),
     "upper_bound_bins": upper_bound_bins,
     "apply_upper_bounds": apply_upper_bounds,
     "zero_rate_by_category": zero_rate_by_category,

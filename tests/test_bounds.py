@@ -30,21 +30,42 @@ def brute_trim(values):
     return ends[0], ends[1], counts
 
 
-@pytest.mark.parametrize("frequency_rows", [10**6, 0])
-def test_trim_matches_brute_force(spark, frequency_rows):
-    """Both ways of reading the values, on a long tail, cents, zeros, negatives and missing entries together."""
+@pytest.mark.parametrize("cells", [1024, 3, 0.1])
+def test_trim_matches_brute_force(spark, cells):
+    """Fine cells, and coarse ones that leave every step open, on a long tail, cents, zeros, negatives and missing entries together."""
     rng = random.Random(3)
     tail = [rng.lognormvariate(1, 1.5) for _ in range(3000)]
     cents = [round(abs(rng.gauss(10, 4)), 2) if i % 3 else 0.0 for i in range(3000)]
     mixed = [None if i % 7 == 0 else -1.0 if i % 11 == 0 else rng.choice([1.5, 2.5, 400.0 if i % 500 == 3 else 3.0]) for i in range(3000)]
     df = spark.createDataFrame(list(zip(tail, cents, mixed)), "tail double, cents double, mixed double")
-    states, total = bounds.iterative_trim(df, ["tail", "cents", "mixed"], frequency_rows)
+    states, total = bounds.iterative_trim(df, ["tail", "cents", "mixed"], cells=cells)
     assert total == 3000
     for state, values in zip(states, (tail, cents, mixed)):
         first, second, counts = brute_trim(values)
         assert (state.pass_values[0], state.upper, state.bin_counts) == (first, second, counts), state.name
 
 
+def test_many_steps_take_two_scans(spark, monkeypatch):
+    """A tail that shrinks step by step; the grid decides the steps and the values are read once more at most twice."""
+    values = [(1 - k / 4001) ** -1.2 * 3.0 for k in range(4000)] + [10.0**k for k in range(2, 9)]
+    scans = []
+    for name in ("count_grids", "exact_counts"):
+        whole = getattr(bounds, name)
+        monkeypatch.setattr(bounds, name, lambda *args, whole=whole: scans.append(1) or whole(*args))
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    (state,), _ = bounds.iterative_trim(df, ["v"])
+    assert (state.pass_values[0], state.upper, state.bin_counts) == brute_trim(values)
+    assert state.iterations >= 8 and len(scans) <= 3
+
+
+def test_trim_of_extreme_values(spark):
+    values = [5e-324, 1e-300, 1e-9, 2.0, 3.0, 1e300, float("inf")]
+    (state,), total = bounds.iterative_trim(spark.createDataFrame([(v,) for v in values[:-1]], "v double"), ["v"])
+    assert (state.pass_values[0], state.upper, state.bin_counts) == brute_trim(values[:-1]) and total == 6
+    (state,), _ = bounds.iterative_trim(spark.createDataFrame([(v,) for v in values], "v double"), ["v"])
+    assert state.max_value == float("inf")
+
+
 @pytest.mark.parametrize("values", [[0.0, 0.0, None], [-1.0, 0.0], [float("nan"), 0.0], [5.0], []])
 def test_trim_without_a_usable_tail(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
