@@ -29,16 +29,6 @@ PROBE_ROWS = 20_000  # a first look that proves most columns with many values
 GROUPING_SET_COLUMNS = 32
 
 
-def type_family(data_type: T.DataType) -> str:
-    if isinstance(data_type, T.NumericType):
-        return "numeric"
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return "datetime"
-    if isinstance(data_type, T.BooleanType):
-        return "boolean"
-    return "text" if isinstance(data_type, T.StringType) else "other"
-
-
 def _names(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
     return list(columns) if columns is not None else df.columns
 

@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import type_family
 from ..functions.numbers import pct, round_scaled
 from ..operators import profile
-from ..operators.profile import TableScan, type_family
+from ..operators.profile import TableScan
 from ..sources.reports import metadata_frame, write_reports
 from ..sources.schemas import table_type
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import minute_boundaries, same_day
+from ..functions.concurrent import side_by_side, union_of
 from ..functions.numbers import narrow_unsigned, round_scaled, settled
 from ..operators import bounds, charts, checks, daily, impact, profile, rules
 from ..operators.daily import Metric
@@ -19,7 +20,6 @@ from ..operators.rules import Rule, apply_rules, null_default_in, shifted_when
 from ..sources import schemas
 from ..sources.ingest import unite_pinned
 from . import features, trips, weather
-from .concurrent import side_by_side, union_of
 from .profiles import profile_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,7 +162,7 @@ def schema_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders against line items, by column name without the table prefix."""
     paths = [f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet"]
-    found = schemas.read_schemas(spark, paths, counted=True)
+    found = schemas.read_schemas(spark, paths)
     return schemas.drift(spark, found, paths[0], lambda name: re.sub("^[a-z]+_", "", name)).drop("path")
 
 

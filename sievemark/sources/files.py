@@ -62,3 +62,11 @@ def input_paths(spark: SparkSession, paths: str | Sequence[str], pattern: str =
         entries = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
         found += sorted(entry.getPath().toString() for entry in entries or ())
     return found
+
+
+def part_files(spark: SparkSession, path: str) -> list[str]:
+    """The part files of an input in order of their paths: the file itself, or what lies below the folder, listed by Spark.
+
+    Names that Spark's readers pass over (a leading underscore or dot) are no parts.
+    """
+    return sorted(row.path for row in list_files(spark, path).select("path").collect())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schemas import read_schemas
+from .schemas import read_parts, read_schemas
 
 
 class MissingColumns(ValueError):
@@ -31,17 +31,21 @@ def unite_pinned(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def ingest_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Parquet inputs in the columns and types of the first path.
+    """Parquet inputs in the columns and types of the first one (of its first part, if the parts of a folder differ).
 
-    Schemas are read side by side by Spark, so any store it reads will do. When all inputs store the pinned columns alike,
-    which is the usual case, they are read in one scan; otherwise there is one scan per kind, not one per input.
+    Every part file is looked at, by its footer. Inputs and parts that store the pinned columns alike, which usually all do,
+    are read in one scan; otherwise there is one scan for each kind (and folder, if its parts differ), not one for each part.
     """
-    schema = spark.read.parquet(paths[0]).schema
+    found = read_schemas(spark, paths, "*")
+    if not found:
+        return spark.read.parquet(*paths)  # which says what is wrong with them
+    schema = found[0].schema
     wanted = set(schema.names)
-    kinds: dict[frozenset, list[str]] = {}
-    for item in read_schemas(spark, paths, "*"):
-        kinds.setdefault(frozenset(pair for pair in item.fields if pair[0] in wanted), []).append(item.path)
-    return reduce(DataFrame.unionByName, [pin(spark.read.parquet(*of_kind), schema) for of_kind in kinds.values()])
+    kinds: dict[tuple, list[str]] = {}
+    for item in found:
+        folder = item.source if item.source != item.path else None
+        kinds.setdefault((folder, frozenset(pair for pair in item.fields if pair[0] in wanted)), []).append(item.path)
+    return reduce(DataFrame.unionByName, [pin(read_parts(spark, parts, folder), schema) for (folder, _), parts in kinds.items()])
 
 
 def ingest_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:

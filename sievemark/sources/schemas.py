@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import quoted
-from ..operators.profile import type_family
-from ..plans.concurrent import side_by_side
-from .files import input_paths
+from ..functions.columns import quoted, type_family
+from ..functions.concurrent import MAX_JOBS, side_by_side
+from .files import input_paths, part_files
 
 # Table types accepted for a file type. A file type not listed matches only its own name.
 TABLE_TYPES = {
@@ -25,6 +24,9 @@ TABLE_TYPES = {
     "BOOLEAN": ("BOOLEAN", "BOOL"),
 }
 
+# Fixed value: where Spark notes down its own types in a file.
+SPARK_SCHEMA_KEY = "org.apache.spark.sql.parquet.row.metadata"
+
 # Names of file types that differ from Spark's names.
 FILE_TYPES = {
     "tinyint": "int8",
@@ -68,38 +70,105 @@ def inventory(df: DataFrame, table: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class FileSchema:
-    """Columns of one input (a file or a folder of part files) as Spark reads them, with file type names."""
+    """Columns of an input (a file or a folder of part files), or of one part of a folder whose parts differ, as Spark reads
+    them, with file type names."""
 
     path: str
     fields: tuple[tuple[str, str], ...]
     row_count: int | None = None
+    source: str | None = None  # the input that the part belongs to
+    schema: T.StructType | None = field(default=None, compare=False)
 
     @property
     def file(self) -> str:
         return self.path.rstrip("/").rsplit("/", 1)[-1]
 
 
+@dataclass(frozen=True)
+class Footer:
+    """What a part file says about itself: its schema as text, and its number of rows."""
+
+    path: str
+    schema: str
+    row_count: int
+
+
+def read_footers(spark: SparkSession, paths: Sequence[str]) -> list[Footer]:
+    """Footers of part files, read side by side through the file system of each path; no rows are read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def read(part: Sequence[str]) -> list[Footer]:
+        found = []
+        for path in part:
+            file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+            try:
+                meta = reader.getFileMetaData()
+                # The columns, and the types that Spark notes down where the file format has none of its own.
+                noted = meta.getKeyValueMetaData().get(SPARK_SCHEMA_KEY)
+                found.append(Footer(path, f"{meta.getSchema().toString()}{noted or ''}", reader.getRecordCount()))
+            finally:
+                reader.close()
+        return found
+
+    shares = [share for share in (paths[at::MAX_JOBS] for at in range(MAX_JOBS)) if share]
+    by_path = {footer.path: footer for share in side_by_side(spark, [partial(read, share) for share in shares]) for footer in share} if shares else {}
+    return [by_path[path] for path in paths]
+
+
 def file_type(data_type: T.DataType) -> str:
     """Name of the type that a file stores for a Spark type."""
     name = data_type.simpleString()
     return FILE_TYPES.get(name, name)
 
 
-def read_schemas(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.parquet", counted: bool = False) -> list[FileSchema]:
-    """Schemas of all inputs at the paths, and with ``counted`` their numbers of rows; inputs are read side by side."""
-    found = input_paths(spark, paths, pattern)
+def read_schemas(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.parquet") -> list[FileSchema]:
+    """Schemas and row counts of all inputs at the paths.
+
+    Footers of part files are grouped by what they say; a folder whose parts all agree is one input, and one whose parts differ
+    is taken apart: its parts are inputs of their own. Spark reads one part of each kind to name the types.
+    """
+    inputs = [(path, part_files(spark, path)) for path in input_paths(spark, paths, pattern)]
+    footers = iter(read_footers(spark, [part for _, parts in inputs for part in parts]))
+    grouped = [(path, [next(footers) for _ in parts]) for path, parts in inputs]
+    # One part stands for all parts of its folder with the same footer; where all agree, the folder does.
+    kinds: dict[tuple[str, str], str] = {}
+    for path, held in grouped:
+        differ = len({footer.schema for footer in held}) > 1
+        for footer in held:
+            kinds.setdefault((path, footer.schema), footer.path if differ else path)
+    reads = [partial(_schema_of, spark, part, path) for (path, _), part in kinds.items()]
+    schemas = dict(zip(kinds, side_by_side(spark, reads))) if reads else {}
+
+    def described(path: str, source: str, footer: Footer, rows: int) -> FileSchema:
+        schema = schemas[source, footer.schema]
+        return FileSchema(path, tuple((item.name, file_type(item.dataType)) for item in schema.fields), rows, source, schema)
+
+    found = []
+    for path, held in grouped:
+        if len({footer.schema for footer in held}) > 1:
+            found += [described(footer.path, path, footer, footer.row_count) for footer in held]
+        elif held:
+            found.append(described(path, path, held[0], sum(footer.row_count for footer in held)))
+    return found
+
+
+def _schema_of(spark: SparkSession, part: str, source: str) -> T.StructType:
+    return read_parts(spark, [part], source).schema
 
-    def read(path: str) -> FileSchema:
-        df = spark.read.parquet(path)
-        fields = tuple((field.name, file_type(field.dataType)) for field in df.schema.fields)
-        return FileSchema(path, fields, df.count() if counted else None)
 
-    return side_by_side(spark, [partial(read, path) for path in found]) if found else []
+def read_parts(spark: SparkSession, parts: Sequence[str], source: str | None) -> DataFrame:
+    """Rows of inputs, or of some parts of one folder with the columns that its folder names add."""
+    inside = source is not None and list(parts) != [source]
+    return (spark.read.option("basePath", source) if inside else spark.read).parquet(*parts)
 
 
 def reference_of(found: Sequence[FileSchema], reference: str) -> FileSchema:
-    """The input with this path, or the only one with this file name."""
+    """The input with this path, or the only one with this file name; of a folder whose parts differ, the first part."""
     same = [item for item in found if item.path == reference] or [item for item in found if item.file == reference]
+    if not same:
+        parts = [item for item in found if item.source and reference in (item.source, item.source.rstrip("/").rsplit("/", 1)[-1])]
+        same = parts[:1] if len({item.source for item in parts}) == 1 else []
     if len(same) != 1:
         raise ValueError(f"{len(same)} inputs are called {reference}")
     return same[0]

@@ -73,7 +73,9 @@ def trip_frame(spark, changes):
 
 @pytest.fixture(scope="module")
 def raw(spark):
-    return trip_frame(spark, [*ALSO_GOOD, *[change for change in BREAKS if change is not None]]).cache()
+    cached = trip_frame(spark, [*ALSO_GOOD, *[change for change in BREAKS if change is not None]]).cache()
+    yield cached
+    cached.unpersist()
 
 
 def test_each_trip_rule_fails_alone(raw):
@@ -159,7 +161,7 @@ def test_missing_column_raises(spark):
 
 
 def test_schema_drift(spark, month_folder):
-    read = schemas.read_schemas(spark, month_folder, counted=True)
+    read = schemas.read_schemas(spark, month_folder)
     found = schemas.drift(spark, read, "trips_2019-01.parquet")
     rows = sorted((row.file[11:13], row.mismatch, row.column_name, row.parquet_type, row.row_count) for row in found.collect())
     assert rows == [
@@ -177,7 +179,7 @@ def test_schemas_of_folder_tables_and_equal_names(spark, tmp_path):
         rows = spark.createDataFrame([(1,), (2,), (3,)], "v int").select(F.col("v").cast(kind)).repartition(3)
         rows.write.parquet(f"{tmp_path}/{name}/t.parquet")
     paths = [f"{tmp_path}/{name}/t.parquet" for name in ("a", "b")]
-    read = schemas.read_schemas(spark, paths, counted=True)
+    read = schemas.read_schemas(spark, paths)
     rows = {(r.path, r.mismatch, r.parquet_type, r.row_count) for r in schemas.drift(spark, read, paths[0]).collect()}
     assert rows == {(paths[1], "missing", "int32", 3), (paths[1], "extra", "int64", 3)}
     with pytest.raises(ValueError, match="2 inputs"):
@@ -185,6 +187,50 @@ def test_schemas_of_folder_tables_and_equal_names(spark, tmp_path):
     assert ingest.ingest_parquet(spark, paths).count() == 6
 
 
+def mixed_folder(spark, tmp_path, retyped=1):
+    """A folder of part files of which some hold `amount` as whole numbers, and one a further column."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "t.parquet"
+    folder.mkdir()
+    for at in range(6):
+        amount = pa.array([at, at + 10], pa.int64()) if at in range(2, 2 + retyped) else pa.array([at + 0.5, at + 10.5])
+        data = {"id": pa.array([at, at + 100], pa.int64()), "amount": amount}
+        pq.write_table(pa.table(data), folder / f"part-{at}.parquet")
+    (folder / "_SUCCESS").touch()
+    return str(folder)
+
+
+def test_drift_between_part_files(spark, tmp_path):
+    folder = mixed_folder(spark, tmp_path)
+    read = schemas.read_schemas(spark, folder)
+    assert [(item.file, item.row_count) for item in read] == [(f"part-{at}.parquet", 2) for at in range(6)]
+    for reference in ("part-0.parquet", folder, "t.parquet"):
+        rows = {(r.file, r.mismatch, r.column_name, r.parquet_type, r.row_count) for r in schemas.drift(spark, read, reference).collect()}
+        assert rows == {("part-2.parquet", "missing", "amount", "double", 2), ("part-2.parquet", "extra", "amount", "int64", 2)}
+
+
+def test_part_files_are_ingested_in_one_scan_a_kind(spark, tmp_path):
+    df = ingest.ingest_parquet(spark, [mixed_folder(spark, tmp_path, retyped=3)])
+    assert {row.id: row.amount for row in df.collect()} == {
+        at + more: float(at + more // 10) if at in (2, 3, 4) else at + more // 10 + 0.5 for at in range(6) for more in (0, 100)
+    }
+    assert dict(df.dtypes)["amount"] == "double"
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+
+
+def test_folders_that_name_columns(spark, tmp_path):
+    """Columns in the names of folders are columns of the input, also where its parts differ."""
+    spark.range(4).withColumn("month", F.col("id") % 2).write.partitionBy("month").parquet(f"{tmp_path}/t.parquet")
+    (whole,) = schemas.read_schemas(spark, f"{tmp_path}/t.parquet")
+    assert whole.fields == (("id", "int64"), ("month", "int32")) and whole.row_count == 4
+    spark.range(4, 6).select(F.col("id").cast("int")).write.parquet(f"{tmp_path}/t.parquet/month=2")
+    found = ingest.ingest_parquet(spark, [f"{tmp_path}/t.parquet"])
+    assert sorted((row.id, row.month) for row in found.collect()) == [(0, 0), (1, 1), (2, 0), (3, 1), (4, 2), (5, 2)]
+
+
 @pytest.mark.parametrize(
     "file_type,stored,expected",
     [
