@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import round_scaled
+from .tables import discard
 
 # Columns that come first in a report file, in this order.
 LEADING_COLUMNS = (
@@ -55,12 +56,17 @@ def report_form(df: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def write_report(df: DataFrame, path: str, digits: int = 2) -> bool:
-    """Write a report table; nothing is written for a table without rows. Returns whether a file was written."""
-    if df.isEmpty():
-        return False
-    shaped = report_form(df, digits)
+    """Write a report table; returns whether it had rows.
+
+    Rows are counted while they are written, in the same job. A table without rows leaves no report, not even an earlier one.
+    """
+    counted = Observation()
+    shaped = report_form(df, digits).observe(counted, F.count(F.lit(1)).alias("rows"))
     shaped.write.mode("overwrite").option("header", True).option("nullValue", NULL_TEXT).csv(path)
-    return True
+    if counted.get.get("rows"):
+        return True
+    discard(df.sparkSession, path)
+    return False
 
 
 def metadata_frame(spark: SparkSession, values: Mapping[str, object]) -> DataFrame:
