@@ -13,15 +13,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
-from collections.abc import Iterable
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.inputs import id_and_text, with_columns
+from sievemark.llm.inputs import held, id_and_text, texts_of, with_columns
+from sievemark.sources.tables import materialise
 
 WINDOW_WORDS = 10
 AUTOMATON_BYTES = 4_000_000
@@ -32,6 +32,7 @@ _FOLD = bytes(low if (low := ord(chr(b).lower()) if 0x41 <= b <= 0x5A else b) in
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
 HIT_SCHEMA = "_n_words long, _hit_words array<int>, _item_ids array<string>"
+_HIT_COLUMNS = ("_n_words", "_hit_words", "_item_ids")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -50,7 +51,6 @@ def _joined(words: list[bytes]) -> str:
     return f" {b' '.join(words).decode('latin-1')} "
 
 
-@lru_cache(maxsize=2)
 def automaton(items: tuple[tuple[str, str], ...], size: int):
     """Automaton over the windows of the items; each window leads to its number of words and its items."""
     import ahocorasick
@@ -86,37 +86,66 @@ def scan(text: str, found) -> tuple[int, np.ndarray, list[str]]:
     return len(words), hit, sorted({item for _, (_, ids) in matches for item in ids})
 
 
-def item_blocks(benchmark: DataFrame, most_bytes: int = AUTOMATON_BYTES) -> list[tuple[tuple[str, str], ...]]:
-    """Items in blocks of at most `most_bytes` of text (or one item), each for one automaton. The size is read first; a
-    benchmark of usual size is one block."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
+def block_count(items: DataFrame, most_bytes: int = AUTOMATON_BYTES) -> int:
+    """Blocks of about `most_bytes` of text that the items make; a benchmark of usual size is one."""
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("total")).first()["total"]
-    count = max(1, -(-total // most_bytes))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    return [tuple(sorted((r["item_id"], r["text"]) for r in items.filter(block == at).toLocalIterator())) for at in range(count)]
+    return max(1, -(-total // most_bytes))
 
 
 def with_passages(rows: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """The rows with the number of words of their text (`_n_words`), the numbers of the words inside benchmark windows
-    (`_hit_words`) and the items of these (`_item_ids`)."""
-    blocks = item_blocks(benchmark, most_bytes)
+    (`_hit_words`) and the items of these (`_item_ids`).
+
+    Each block of items is one automaton and one pass; the driver and a task hold one block at a time. A benchmark of several
+    blocks has its rows stored between passes.
+    """
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
+    count = block_count(items, most_bytes)
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+    found = rows
+    for at in range(count):
+        of_block = tuple(sorted((r["item_id"], r["text"]) for r in items.filter(block == at).toLocalIterator()))
+        found = _pass(found, of_block, size, first=at == 0)
+        found = found if at == count - 1 else materialise(found)
+    return found
+
+
+def _pass(rows: DataFrame, items: tuple[tuple[str, str], ...], size: int, first: bool) -> DataFrame:
+    """One pass of the rows through the automaton of some items, added to what earlier passes found."""
+    name = hashlib.blake2b(repr((size, items)).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    if first:
+
+        def make(texts: list[str]) -> list[pa.Array]:
+            found = held("contamination", name, lambda: automaton(items, size))
+            return _columns([scan(text, found) for text in texts])
+
+        return with_columns(rows, HIT_SCHEMA, make)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = held("contamination", name, lambda: automaton(items, size))
+            before = zip(batch.column("_hit_words").to_pylist(), batch.column("_item_ids").to_pylist())
+            merged = []
+            for (hit, ids), text in zip(before, texts_of(batch)):
+                n, also, others = scan(text, found)
+                merged.append((n, np.union1d(np.array(hit, dtype=np.int32), also), sorted({*ids, *others})))
+            for column, values in zip(_HIT_COLUMNS, _columns(merged)):
+                batch = batch.set_column(batch.schema.get_field_index(column), column, values)
+            yield batch
+
+    return rows.mapInArrow(run, rows.schema)
 
-    def make(texts: list[str]) -> list[pa.Array]:
-        found = [scan(text, automaton(blocks[0], size)) for text in texts]
-        for items in blocks[1:]:
-            more = automaton(items, size)
-            found = [(n, np.union1d(hit, also), sorted({*ids, *others})) for (n, hit, ids), (_, also, others) in zip(found, (scan(t, more) for t in texts))]
-        kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())]
-        return [pa.array([row[at] for row in found], kind) for at, kind in enumerate(kinds)]
 
-    return with_columns(rows, HIT_SCHEMA, make)
+def _columns(found: list[tuple[int, np.ndarray, list[str]]]) -> list[pa.Array]:
+    kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())]
+    return [pa.array([row[at] for row in found], kind) for at, kind in enumerate(kinds)]
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """Words, hit words and items of each document: doc_id, n_words, hit_words, item_ids."""
     found = with_passages(id_and_text(docs), benchmark, size, most_bytes).drop("text")
-    return found.withColumnsRenamed({name: name[1:] for name in ("_n_words", "_hit_words", "_item_ids")})
+    return found.withColumnsRenamed({name: name[1:] for name in _HIT_COLUMNS})
 
 
 def spans_of(text: str, hit_words: Iterable[int]) -> list[tuple[int, int]]:

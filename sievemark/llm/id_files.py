@@ -102,14 +102,14 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, kind: in
 
     def segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer or default_path()).document
-        part, written = TaskContext.get().partitionId(), 0
+        part, written, size = TaskContext.get().partitionId(), 0, 0
         keys, lengths, held = [], [], []
 
         def close() -> pa.RecordBatch:
-            nonlocal written
+            nonlocal written, size
             ids = np.frombuffer(b"".join(held), "<u4")
             row = [[part], [written], [len(ids)], [list(keys)], [list(lengths)], [pack_segment(ids, kind)]]
-            written += len(ids)
+            written, size = written + len(ids), 0
             for held_list in (keys, lengths, held):
                 held_list.clear()
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, SEGMENT_SCHEMA)], schema=SEGMENT_SCHEMA)
@@ -120,7 +120,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, kind: in
                 keys.append(key)
                 lengths.append(len(ids) // 4)
                 held.append(ids)
-                if sum(lengths) >= SEGMENT_IDS if len(lengths) % 64 == 0 else len(ids) >= 4 * SEGMENT_IDS:
+                size += lengths[-1]
+                if size >= SEGMENT_IDS:
                     yield close()
         if keys:
             yield close()

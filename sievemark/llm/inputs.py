@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -27,6 +30,31 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
 
 
+_HELD: dict[tuple[str, object], object] = {}
+
+
+def held(owner: str, key: object, make: Callable[[], object]):
+    """What an operator keeps between the batches of a Python worker, made when it is first asked for.
+
+    Workers live on from stage to stage. A worker holds one thing at a time, so what an earlier operator kept is freed, and
+    its memory given back, when another one begins.
+    """
+    if (owner, key) not in _HELD:
+        if _HELD:
+            _HELD.clear()
+            give_back()
+        _HELD[owner, key] = make()
+    return _HELD[owner, key]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which allocators keep otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the key and the text; other columns, whatever their names, play no part."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.contamination import words_of
-from sievemark.llm.inputs import id_and_text, texts_of
+from sievemark.llm.inputs import held, id_and_text, texts_of
 from sievemark.llm.links import components, in_blocks, roots
 from sievemark.sources.tables import materialise
 
@@ -36,18 +36,18 @@ _random = np.random.default_rng(2024)
 _BYTE_VALUES = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SEEDS = _random.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
-_powers: dict[str, np.ndarray] = {}
+
+
+def _powers(base: int, size: int) -> np.ndarray:
+    factors = np.full(size, base, dtype=np.uint64)
+    factors[0] = 1
+    return np.multiply.accumulate(factors)
 
 
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
-    if len(_powers.get("up", ())) < size:
-        length = max(size, 2 * _CHUNK)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            factors = np.full(length, base, dtype=np.uint64)
-            factors[0] = 1
-            _powers[name] = np.multiply.accumulate(factors)
-    return _powers["up"], _powers["down"]
+    length = max(1 << (size - 1).bit_length(), 2 * _CHUNK)
+    return held("jaccard", length, lambda: (_powers(_BASE, length), _powers(pow(_BASE, -1, 1 << 64), length)))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:

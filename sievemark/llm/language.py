@@ -2,9 +2,10 @@
 
 A text's UTF-8 bytes are cut into windows of a fixed length, the last one filled with spaces. Each byte has a learned
 vector; filters of several widths slide over the window, each filter gives its highest answer, and a softmax over these
-gives the window's languages. A document's probabilities are the mean over all its windows, weighted by their bytes.
+gives the window's languages. A document's probabilities are the mean over all its windows, weighted by their bytes; of
+equal ones the alphabetically first language is taken. Equal texts have equal scores, whatever stands beside them.
 
-The network is trained in numpy on a bounded sample of labelled documents. Texts that are null, empty or without a
+The network is trained in numpy on `EXCERPT` characters, from a place that depends on the key, of a bounded sample of labelled documents. Texts that are null, empty or without a
 letter get ``und`` and score 0; without labelled documents every text does.
 """
 
@@ -26,6 +27,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 VECTOR = 8
 PER_LANGUAGE = 400
+EXCERPT = 2 * WINDOW
 EPOCHS = 6
 UNKNOWN = "und"
 _BLOCK = 256  # windows that one matrix product takes
@@ -50,13 +52,19 @@ class Network:
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
         """Language probabilities of windows of bytes."""
-        parts = [np.empty((0, len(self.languages)), np.float32)]
+        parts = [np.empty((0, len(self.languages)))]
         for at in range(0, len(windows), _BLOCK):
             answers = (self.patches(windows[at : at + _BLOCK]) @ self.filters).max(axis=1) + self.offsets
-            parts.append(softmax(np.maximum(answers, 0) @ self.out + self.out_offsets))
+            parts.append(softmax(_products(np.maximum(answers, 0), self.out) + self.out_offsets))
         return np.concatenate(parts)
 
 
+def _products(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Rows times a table in double precision, each row summed by itself: a matrix product would round by the number of rows,
+    and a text's score would depend on the texts beside it."""
+    return (rows.astype(np.float64)[:, :, None] * table.astype(np.float64)).sum(axis=1)
+
+
 def softmax(values: np.ndarray) -> np.ndarray:
     raised = np.exp(values - values.max(axis=1, keepdims=True))
     return raised / raised.sum(axis=1, keepdims=True)
@@ -167,7 +175,7 @@ def languages_of(texts: list[str], network: Network | None) -> tuple[list[str],
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     """Network trained on at most `per_language` documents of each language outside the held-out fold."""
     labels = docs.filter(~held_out(4, 2)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").alias("label"))
-    rows = labelled_texts(docs, labels, per_language, excerpt=2 * WINDOW)
+    rows = labelled_texts(docs, labels, per_language, excerpt=EXCERPT)
     return train([text for text, _ in rows], [label for _, label in rows]) if rows else None
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sievemark.sources.tables import discard, materialise
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Component of nodes of undirected edges (a, b): node, component (its smallest node), for all nodes but these smallest.
 
     Each round links every node's neighbours to the smallest of them, first the larger ones and then the smaller ones,
@@ -20,7 +20,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     stored = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     before = None
-    for _ in range(most_rounds):
+    while True:
         both = stored.union(stored.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         larger = both.filter("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()

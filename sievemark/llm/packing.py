@@ -6,7 +6,7 @@ one for one or two for one, between underfull bins so that the sum of squared fi
 that stay underfull are opened again and their pieces packed once more in fresh shards, so that a shard's last bins do
 not remain half full.
 
-Null texts are empty documents (the end id alone). Equal or null keys stay separate documents.
+Pieces of equal length are packed in descending order of key and piece. Null texts are empty documents (the end id alone). Equal or null keys stay separate documents.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,6 @@ from sievemark.sources.tables import materialise
 SEQUENCE_TOKENS = 4096
 SHARD_PIECES = 2048
 ROUNDS = 3
-MOST_SWAPS = 20_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long, fill long"
 
@@ -73,40 +71,43 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int, most: int = MOST_SWAPS) -> np.ndarray:
-    """Raise the sum of squared fills by exchanges between underfull bins; every exchange raises it, so this ends."""
+def improve(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
+    """Raise the sum of squared fills by exchanges between underfull bins until none raises it.
+
+    From the least filled bin one piece or two go to another bin, for one of its pieces or for nothing. More tokens given
+    raise the sum more, so for each piece of another bin only the most that its bin has room for is looked up, among all
+    pieces and all pairs of the bin.
+    """
     lengths, bins = lengths.astype(np.int64), bins.copy()
     fills = np.bincount(bins, weights=lengths).astype(np.int64)
     tried = np.zeros(len(fills), dtype=bool)
-    for _ in range(most):
+    while True:
         open_bins = np.flatnonzero((fills > 0) & (fills < capacity) & ~tried)
         if len(open_bins) == 0:
-            break
+            return bins
         source = open_bins[np.argmin(fills[open_bins])]
         own = np.flatnonzero(bins == source)
         others = np.flatnonzero((bins != source) & (fills[bins] < capacity))
         targets = np.concatenate([bins[others], np.unique(bins[others])])  # exchange for a piece, or move into a bin
         taken = np.concatenate([lengths[others], np.zeros(len(targets) - len(others), dtype=np.int64)])
-        best, change = 0, None
-        for given in [*([i] for i in own), *map(list, combinations(own[:24], 2))]:
-            gain_tokens = lengths[given].sum() - taken
-            after = fills[targets] + gain_tokens
-            gains = np.where((gain_tokens > 0) & (after <= capacity), 2 * gain_tokens * (after - fills[source]), 0)
-            if len(gains) and gains.max() > best:
-                at = int(gains.argmax())
-                best, change = int(gains[at]), (given, at)
-        if change is None:
+        left, right = np.triu_indices(len(own), 1)
+        sums = np.concatenate([lengths[own], lengths[own[left]] + lengths[own[right]]])
+        order = np.argsort(sums, kind="stable")
+        place = np.searchsorted(sums[order], capacity - fills[targets] + taken, side="right") - 1
+        given = sums[order][np.maximum(place, 0)] - taken
+        gains = np.where((place >= 0) & (given > 0), given * (fills[targets] + given - fills[source]), 0)
+        if not len(gains) or gains.max() <= 0:
             tried[source] = True
             continue
-        given, at = change
-        moved = lengths[given].sum() - taken[at]
-        bins[given] = targets[at]
+        at = int(gains.argmax())
+        chosen = int(order[place[at]])
+        pair = [chosen] if chosen < len(own) else [left[chosen - len(own)], right[chosen - len(own)]]
+        bins[own[pair]] = targets[at]
         if at < len(others):
             bins[others[at]] = source
-        fills[source] -= moved
-        fills[targets[at]] += moved
+        fills[source] -= given[at]
+        fills[targets[at]] += given[at]
         tried[[source, targets[at]]] = False
-    return bins
 
 
 def pack_shard(rows: pd.DataFrame, capacity: int, round_number: int) -> pd.DataFrame:

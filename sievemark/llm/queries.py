@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sievemark.llm import contamination, id_files, jaccard, language, packing, periods, pii, quality, secret_scan, suffixes, toxicity, vectors, whitening
 from sievemark.llm.inputs import table
 from sievemark.llm.oracle import ORACLE_SQL  # noqa: F401
-from sievemark.sources.tables import scratch_path
+from sievemark.sources.tables import scratch_path, stored_result
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.repeated_text(table(spark, sf_dir, "documents"))
+    return stored_result(spark, lambda: suffixes.repeated_text(table(spark, sf_dir, "documents")))
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,11 +31,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pivot_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+    return stored_result(spark, lambda: vectors.near_vectors(table(spark, sf_dir, "embeddings")))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return stored_result(spark, lambda: jaccard.near_duplicates(table(spark, sf_dir, "documents")))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,17 +43,20 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bit_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark)
-    id_files.write_ids(table(spark, sf_dir, "documents"), path)
-    return id_files.id_digest(spark, path)
+    def digest() -> DataFrame:
+        path = scratch_path(spark)
+        id_files.write_ids(table(spark, sf_dir, "documents"), path)
+        return id_files.id_digest(spark, path)
+
+    return stored_result(spark, digest)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(table(spark, sf_dir, "documents"))
+    return stored_result(spark, lambda: packing.packed_documents(table(spark, sf_dir, "documents")))
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))
+    return stored_result(spark, lambda: whitening.whitened_vectors(table(spark, sf_dir, "embeddings")))
 
 
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

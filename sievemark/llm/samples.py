@@ -42,8 +42,9 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int, excerpt: int | No
         place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - excerpt, F.lit(1))) + 1
         texts = texts.select("doc_id", F.substring("text", place.cast("int"), F.lit(excerpt)).alias("text"))
     # A share of each label that leaves about twice as many as wanted, so that ranking them is a small task.
+    counts = known.groupBy("label").agg(F.count("*").alias("n"))  # a row for each label
     share = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) * F.col("n") < 2_000_000 * per_label
-    known = known.join(known.groupBy("label").agg(F.count("*").alias("n")), "label").filter(share)
+    known = known.join(F.broadcast(counts), "label").filter(share)
     chosen = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label).drop("place")
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", "n")
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm.inputs import id_and_text, texts_of
+from sievemark.sources.tables import materialise
 
 LENGTH = 50
 ANCHOR = 16
@@ -33,7 +34,7 @@ _PLACE_BITS = 20
 PIECE = 1 << _PLACE_BITS  # bytes whose windows are anchored at once
 SETTLED_BYTES = 400_000
 TEXT_PIECE = 1 << 19  # windows of a document that go to one shard
-SHARD_BYTES, RANGE_BYTES, LEAST_RANGES = 1_000_000, 4_000_000, 64
+SHARD_BYTES, RANGE_BYTES, LEAST_RANGES = 4_000_000, 8_000_000, 64
 
 _random = np.random.default_rng(50)
 _BYTE_VALUES = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -520,23 +521,29 @@ def _across(moved: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip((keys, texts, firsts, counts), kinds)], names=["doc_id", "text_key", "first", "count"])
 
 
-def repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Repeated windows of each document: doc_id, text_key, firsts and counts of window runs (arrays of binaries)."""
-    texts = id_and_text(docs).filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("raw"))
-    total = texts.agg(F.coalesce(F.sum(F.length("raw")), F.lit(0)).alias("total")).first()["total"]
-    shards, ranges = max(1, -(-total // shard_bytes)), max(LEAST_RANGES, -(-total // range_bytes))
-    offsets = F.sequence(F.lit(0), F.greatest(F.length("raw") - LENGTH, F.lit(0)), F.lit(TEXT_PIECE))
-    placed = texts.filter(F.length("raw") >= LENGTH).select("doc_id", F.xxhash64("raw").alias("text_key"), "raw", F.explode(offsets).alias("offset"))
-    piece = F.substring("raw", F.col("offset") + 1, F.lit(TEXT_PIECE + LENGTH - 1))
+def dealt(docs: DataFrame, shards: int) -> DataFrame:
+    """Texts long enough to have windows, in pieces, by shard: shard, doc_id, text_key, offset, whole, bytes.
+
+    A text of one piece is `whole`; its shard gives the result for it too.
+    """
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).filter(F.length("raw") >= LENGTH)
+    offsets = F.sequence(F.lit(0), F.length("raw") - LENGTH, F.lit(TEXT_PIECE))
+    placed = texts.select("doc_id", F.xxhash64("raw").alias("text_key"), "raw", F.explode(offsets).alias("offset"))
     shard = F.pmod(F.xxhash64("doc_id", "offset"), F.lit(shards)).cast("int")
-    pieces = placed.select(shard.alias("shard"), "doc_id", "text_key", F.col("offset").cast("long").alias("offset"), piece.alias("bytes"))
-    answers = pieces.groupBy("shard").applyInArrow(_send_anchors(ranges), MARK_SCHEMA).groupBy("range").applyInArrow(_answer, MARK_SCHEMA)
-    moved = pieces.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_local(ranges), MOVED_SCHEMA)
-    gone = moved.groupBy("range").applyInArrow(_across, GONE_SCHEMA)
-    return gone.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
+    piece = F.substring("raw", F.col("offset") + 1, F.lit(TEXT_PIECE + LENGTH - 1))
+    whole = F.length("raw") - LENGTH < TEXT_PIECE
+    return placed.select(shard.alias("shard"), "doc_id", "text_key", F.col("offset").cast("long").alias("offset"), whole.alias("whole"), piece.alias("bytes"))
+
 
+def repeats(pieces: DataFrame, ranges: int) -> DataFrame:
+    """Repeated windows of texts dealt to shards: doc_id, text_key, first and count (binaries of equal length)."""
+    own = pieces.drop("whole")
+    answers = own.groupBy("shard").applyInArrow(_send_anchors(ranges), MARK_SCHEMA).groupBy("range").applyInArrow(_answer, MARK_SCHEMA)
+    moved = own.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_local(ranges), MOVED_SCHEMA)
+    return moved.groupBy("range").applyInArrow(_across, GONE_SCHEMA)
 
-def removed_bytes(size: int, runs: list[dict] | None) -> np.ndarray:
+
+def removed_bytes(size: int, runs: Iterable[dict] | None) -> np.ndarray:
     """Which bytes of a text of this size its repeated windows cover."""
     steps = np.zeros(size + 1, dtype=np.int64)
     for run in runs or ():
@@ -546,31 +553,76 @@ def removed_bytes(size: int, runs: list[dict] | None) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """Each document with its removed bytes counted and the bytes that stay: doc_id, n_bytes, n_removed, n_spans, kept."""
+RUNS = "array<struct<first: binary, count: binary>>"
+KEPT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+_KEPT_NAMES = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def _kept(key: int | None, text: bytes, runs: Iterable[dict] | None) -> tuple:
+    raw = np.frombuffer(text, dtype=np.uint8)
+    if not runs:
+        return key, len(raw), 0, 0, text
+    gone = removed_bytes(len(raw), runs)
+    spans = int(np.count_nonzero(gone & ~np.concatenate([[False], gone[:-1]])[: len(gone)]))
+    return key, len(raw), int(gone.sum()), spans, raw[~gone].tobytes()
+
+
+def _kept_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [*[pa.int64()] * 4, pa.binary()]
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(_KEPT_NAMES))
+
+
+def _kept_of_shard(pieces: pa.Table, gone: pa.Table) -> pa.Table:
+    """What stays of the whole texts of a shard."""
+    runs: dict[tuple[int, int], list[dict]] = {}
+    for row in (row for batch in gone.to_batches(max_chunksize=1000) for row in batch.to_pylist()):
+        runs.setdefault((row["doc_id"], row["text_key"]), []).append(row)
+    columns = (pieces.column(name).to_pylist() for name in ("doc_id", "text_key", "whole"))
+    rows = [_kept(key, text.as_py(), runs.get((key, text_key))) for key, text_key, whole, text in zip(*columns, pieces.column("bytes")) if whole]
+    return pa.Table.from_batches([_kept_batch(rows)])
+
+
+def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Each document with its removed bytes counted and the bytes that stay: doc_id, n_bytes, n_removed, n_spans, kept.
+
+    Repeated windows go back to the shards, whose texts have been shuffled already; only texts of several pieces are joined
+    with theirs once more. Texts too short for a window, and those without a key, lose nothing.
+    """
+    texts = id_and_text(docs)
+    keyed = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    size = F.octet_length("text")
+    read = keyed.agg(F.coalesce(F.sum(size), F.lit(0)).alias("total"), F.coalesce(F.max(size), F.lit(0)).alias("longest")).first()
+    shards, ranges = max(1, -(-read["total"] // shard_bytes)), max(LEAST_RANGES, -(-read["total"] // range_bytes))
+    some_long = read["longest"] - LENGTH >= TEXT_PIECE
+    pieces = dealt(keyed, shards)
+    gone = materialise(repeats(pieces, ranges)) if some_long else repeats(pieces, ranges)  # read twice, or once
+    # Also the shard of a text in one piece, which begins at 0.
+    home = gone.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(0)), F.lit(shards)).cast("int"))
+    in_shards = pieces.groupBy("shard").cogroup(home.groupBy("shard")).applyInArrow(_kept_of_shard, KEPT_SCHEMA)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, whole.num_rows, 500):
                 batch = whole.slice(low, 500)
-                rows = []
-                for text, runs in zip(texts_of(batch), batch.column("runs").to_pylist()):
-                    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-                    gone = removed_bytes(len(raw), runs)
-                    spans = int(np.count_nonzero(gone & ~np.concatenate([[False], gone[:-1]])[: len(gone)]))
-                    rows.append((len(raw), int(gone.sum()), spans, raw[~gone].tobytes()))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    keyed = id_and_text(docs).withColumn("text_key", F.xxhash64(F.col("text").cast("binary")))
-    every = keyed.join(repeats(docs), ["doc_id", "text_key"], "left").select("doc_id", "text", "runs")
-    return every.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-
-
-def repeated_text(docs: DataFrame) -> DataFrame:
+                texts = (text.encode("utf-8", "surrogatepass") for text in texts_of(batch))
+                yield _kept_batch([_kept(*row) for row in zip(batch.column("doc_id").to_pylist(), texts, batch.column("runs").to_pylist())])
+
+    short = texts.filter((F.coalesce(size, F.lit(0)) < LENGTH) | F.col("doc_id").isNull()).select("doc_id", "text")
+    unchanged = short.withColumn("runs", F.lit(None).cast(RUNS)).mapInArrow(run, KEPT_SCHEMA)
+    found = in_shards.unionByName(unchanged)
+    if not some_long:
+        return found
+    long = keyed.filter(size - LENGTH >= TEXT_PIECE).withColumn("text_key", F.xxhash64(F.col("text").cast("binary")))
+    theirs = gone.join(long.select("doc_id", "text_key").distinct(), ["doc_id", "text_key"], "left_semi")
+    theirs = theirs.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
+    joined = long.join(theirs, ["doc_id", "text_key"], "left").select("doc_id", "text", "runs").mapInArrow(run, KEPT_SCHEMA)
+    return found.unionByName(joined)
+
+
+def repeated_text(docs: DataFrame, shard_bytes: int = SHARD_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Counts of removed bytes and the digest of what stays."""
-    found = without_repeats(docs)
+    found = without_repeats(docs, shard_bytes, range_bytes)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

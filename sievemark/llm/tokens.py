@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from sievemark.llm.inputs import held
+
 END_ID = 1
 TOKENIZER_FILE = "word_bpe_49k.json"
 CACHED_CHUNKS = 250_000
@@ -98,7 +99,6 @@ class Encoder:
         return self.encode(text or "") + END_ID.to_bytes(4, "little")
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker and file."""
-    return Encoder(path)
+    """The encoder of a file that a Python worker keeps from task to task."""
+    return held("tokens", path, lambda: Encoder(path))

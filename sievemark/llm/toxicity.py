@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.inputs import id_and_text, texts_of, with_columns
+from sievemark.llm.inputs import held, id_and_text, texts_of, with_columns
 from sievemark.llm.samples import held_out, sample, weights_of
 
 SEQUENCE = 128
@@ -77,15 +77,9 @@ class Vocabulary:
         return np.array(found, dtype=np.int64)
 
 
-_vocabularies: dict[int, Vocabulary] = {}
-
-
 def vocabulary_of(name: int, field: Field) -> Vocabulary:
-    """The vocabulary of a field that a Python worker keeps from task to task; only the last field's."""
-    if name not in _vocabularies:
-        _vocabularies.clear()
-        _vocabularies[name] = Vocabulary(field.weights)
-    return _vocabularies[name]
+    """The vocabulary of a field that a Python worker keeps from task to task."""
+    return held("toxicity", name, lambda: Vocabulary(field.weights))
 
 
 @dataclass

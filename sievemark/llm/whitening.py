@@ -17,6 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Vectors
@@ -77,7 +78,8 @@ def centred(rows: DataFrame, means: list[float], count: int) -> BlockMatrix:
     values = F.zip_with(F.col("x"), F.lit(means), lambda x, mean: x.cast("double") - mean)
     table = rows.select("index", array_to_vector(values).alias("vector"))
     matrix = IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(table, "vector"), count, len(means))
-    return matrix.toBlockMatrix(max(ROWS_PER_BLOCK, -(-count // MOST_BLOCKS)), COLUMNS_PER_BLOCK)
+    # A product looks at the places of the blocks first and then at the blocks, so they are kept meanwhile.
+    return matrix.toBlockMatrix(max(ROWS_PER_BLOCK, -(-count // MOST_BLOCKS)), COLUMNS_PER_BLOCK).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def scatter(matrix: BlockMatrix) -> np.ndarray:
@@ -96,24 +98,33 @@ def fit(listed: DataFrame, count: int, most: int = COMPONENTS) -> Fit | None:
     if not columns:
         return None
     n, sums = columns[0]["n"], [int(row["sum"]) for row in columns]
-    covariance = scatter(centred(listed, [total / n for total in sums], count)) / n
+    blocks = centred(listed, [total / n for total in sums], count)
+    covariance = scatter(blocks) / n
+    _release(blocks)
     values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
     values, vectors = values[::-1][:most], vectors[:, ::-1][:, :most]
     vectors = vectors * np.where(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])] < 0, -1.0, 1.0)
     return Fit(n, sums, max(int(row["widest"]) for row in columns), float(np.trace(covariance)), values, vectors)
 
 
+def _release(blocks: BlockMatrix) -> None:
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
+
+
 def projected(spark: SparkSession, rows: DataFrame, count: int, model: Fit) -> DataFrame:
-    """index and z, the projections over the standard deviation of each component; null for one without variance."""
+    """index and z, stored: the projections over the standard deviation of each component; null for one without variance."""
     limit = len(model.sums) * np.finfo(float).eps * max(float(model.eigenvalues.max(initial=0)), 0.0)
     good = model.eigenvalues > limit
     scale = np.where(good, 1 / np.sqrt(np.where(good, model.eigenvalues, 1.0)), 0.0)
     weights = [(at, Vectors.dense(row)) for at, row in enumerate((model.components * scale).tolist())]
     right = IndexedRowMatrix(spark.createDataFrame(weights, ["index", "vector"]), len(weights), len(scale)).toBlockMatrix(COLUMNS_PER_BLOCK, COLUMNS_PER_BLOCK)
-    product = centred(rows, model.means, count).multiply(right).toIndexedRowMatrix()
+    blocks = centred(rows, model.means, count)
+    product = blocks.multiply(right).toIndexedRowMatrix()
     made = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model)
     z = vector_to_array("vector")
-    return made.select("index", F.array(*(z[at] if ok else F.lit(None).cast("double") for at, ok in enumerate(good.tolist()))).alias("z"))
+    found = materialise(made.select("index", F.array(*(z[at] if ok else F.lit(None).cast("double") for at, ok in enumerate(good.tolist()))).alias("z")))
+    _release(blocks)
+    return found
 
 
 def deviation(x: Column, model: Fit) -> Column:
@@ -150,7 +161,7 @@ def whiten(vectors: DataFrame, most: int = COMPONENTS) -> DataFrame:
     model = fit(listed, count, most)
     if model is None:
         return spark.createDataFrame([], OUTPUT)
-    z = materialise(projected(spark, rows, count, model))
+    z = projected(spark, rows, count, model)
     first = z.first()["z"]
     known = [at for at, value in enumerate(first) if value is not None]
     error = identity_error(z.join(listed.select("index"), "index", "left_semi"), known)

@@ -54,6 +54,47 @@ def test_awkward_texts_have_languages(text_spark, network):
     assert {r["lang_pred"] for r in language.identify(awkward(text_spark), None).collect()} == {"und"}
 
 
+def test_equal_texts_have_equal_scores(text_spark, network):
+    """To the last bit, whatever texts stand beside them and however many."""
+    draw = random.Random(6)
+    texts = [prose(draw, draw.choice(["aa", "bb"]), draw.randrange(1, 500)) for _ in range(60)]
+    together = language.languages_of(texts, network)
+    assert [language.languages_of([text], network) for text in texts] == [([a], [b]) for a, b in zip(*together)]
+    docs = awkward(text_spark, texts)
+    found = [by_key(language.identify(docs.repartition(parts), network)) for parts in (1, 7)]
+    assert found[0] == found[1] and [found[0][100 + at]["score"] for at in range(60)] == together[1]
+
+
+def naive_probabilities(network, text):
+    """Every filter at every place, one number at a time."""
+    raw = text.encode()
+    windows = [raw[at : at + language.WINDOW] for at in range(0, len(raw), language.WINDOW)]
+    total = np.zeros(len(network.languages))
+    for window in windows:
+        seen = window + b" " * (language.WINDOW + max(language.WIDTHS) - 1 - len(window))
+        answers = []
+        for number in range(network.filters.shape[1]):
+            width = language.WIDTHS[number // language.FILTERS]
+            best = -np.inf
+            for place in range(language.WINDOW):
+                value = 0.0
+                for at in range(width):
+                    for k in range(language.VECTOR):
+                        value += float(network.vectors[seen[place + at], k]) * float(network.filters[at * language.VECTOR + k, number])
+                best = max(best, value)
+            answers.append(max(best + float(network.offsets[number]), 0.0))
+        raised = np.exp(np.array(answers) @ network.out + network.out_offsets)
+        total += raised / raised.sum() * len(window)
+    return total / total.sum()
+
+
+def test_probabilities_are_those_of_a_naive_convolution(network):
+    for text in ("the ing", "sch ein ü " * 30):
+        wanted = naive_probabilities(network, text)
+        (found,), (score,) = language.languages_of([text], network)
+        assert found == network.languages[int(wanted.argmax())] and abs(score - wanted.max()) < 1e-5
+
+
 def test_whole_query_without_labels(text_spark):
     docs = awkward(text_spark).drop("lang").selectExpr("*", "cast(null as string) lang")
     assert {r["lang_pred"] for r in language.languages(docs).collect()} == {"und"}

@@ -41,16 +41,25 @@ def texts_with_passages(draw, n):
 
 @pytest.mark.parametrize("shard_bytes", [10_000_000, 1500])
 def test_repeats_are_those_of_brute_force(text_spark, shard_bytes, monkeypatch):
-    monkeypatch.setattr(s.repeats, "__defaults__", (shard_bytes, 4000))
     monkeypatch.setattr(s, "TEXT_PIECE", 120 if shard_bytes == 1500 else 1 << 20)
     texts = texts_with_passages(random.Random(6), 50)
     docs = awkward(text_spark, texts, [(101, "another row of this key " * 9), (300, "another row of this key " * 8)]).filter("length(text) < 9999 OR text IS NULL")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     wanted = brute(rows)
-    found = s.repeated_text(docs).collect()
+    found = s.repeated_text(docs, shard_bytes, 4000).collect()
     assert sorted((repr(r["doc_id"]), *tuple(r)[1:]) for r in found) == sorted((repr(k), *wanted[k, t]) for k, t in rows)
 
 
+def test_a_passage_in_every_document(text_spark):
+    draw = random.Random(9)
+    passage = "".join(draw.choice("abcdef gh") for _ in range(400))
+    rows = [(key, f"{key} only here {key * 7}" + passage[key % 5 :] + f"{key}") for key in range(300)]
+    docs = text_spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    wanted = brute(rows)
+    found = s.repeated_text(docs, 2000, 4000).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in found} == {k: wanted[k, t] for k, t in rows}
+
+
 def test_long_and_awkward_documents(text_spark):
     found = {r["doc_id"]: r for r in s.repeated_text(awkward(text_spark, [LONG])).collect()}
     assert found[4]["n_removed"] == 0 and found[100]["n_removed"] == len(LONG) and found[100]["n_spans"] == 1

@@ -108,6 +108,34 @@ def test_exchanges_empty_bins():
     assert square(better) >= square(first)
 
 
+def best_exchange(lengths, bins, capacity, source):
+    """Greatest rise of the squared fills by giving one or two pieces of a bin for nothing or for one piece, all tried."""
+    fills = np.bincount(bins, lengths)
+    own = np.flatnonzero(bins == source)
+    best = 0
+    for given in [[i] for i in own] + [[i, j] for i in own for j in own if i < j]:
+        for target in np.flatnonzero((fills > 0) & (fills < capacity)):
+            if target == source:
+                continue
+            for back in [None, *np.flatnonzero(bins == target)]:
+                gain = lengths[given].sum() - (0 if back is None else lengths[back])
+                after = fills[target] + gain
+                if gain > 0 and after <= capacity:
+                    best = max(best, after**2 + (fills[source] - gain) ** 2 - fills[target] ** 2 - fills[source] ** 2)
+    return best
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 9), min_size=1, max_size=70), st.integers(20, 60))
+def test_no_exchange_is_left(lengths, capacity):
+    """Bins of many small pieces too: every pair of them is looked at."""
+    lengths = np.array(lengths)
+    bins = packing.improve(lengths, packing.best_fit(lengths, capacity), capacity)
+    fills = np.bincount(bins, lengths)
+    for source in np.flatnonzero((fills > 0) & (fills < capacity)):
+        assert best_exchange(lengths, bins, capacity, source) <= 0
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 50), min_size=1, max_size=60))
 def test_local_search_keeps_every_piece_within_capacity(lengths):
