@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sievemark.llm import contamination, jaccard, packing, pii, toxicity
 from sievemark.llm.inputs import importable, table
-from sievemark.sources.tables import scratch_path
+from sievemark.sources.tables import discard, scratch_path, stored_result, temporary_copies
 
 TOXIC_SCORE = 0.5
 
@@ -30,13 +30,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Texts that share a key are documents of their own, so groups are found by a hash of key and text.
     """
     importable(spark)
-    keyed = docs.filter("doc_id IS NOT NULL").withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    row_keys = stored_result(spark, lambda: _first_of_groups(docs))
+    keyed = _with_row_key(docs)
+    first = keyed.join(row_keys, "_row_key", "left_semi").dropDuplicates(["_row_key"])
+    return first.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def _with_row_key(docs: DataFrame) -> DataFrame:
+    return docs.filter("doc_id IS NOT NULL").withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+
+
+def _first_of_groups(docs: DataFrame) -> DataFrame:
+    """Keys of the rows that stay."""
+    keyed = _with_row_key(docs)
     found = jaccard.near_duplicates(keyed.select(F.col("_row_key").alias("doc_id"), "text"))
     classes = found.groupBy(F.col("doc_id").alias("_row_key")).agg(F.min("class_id").alias("class_id"))
     keys = keyed.groupBy("_row_key").agg(F.min(F.col("doc_id").cast("long")).alias("doc_id"))
     kept = keys.join(classes, "_row_key").groupBy("class_id").agg(F.min(F.struct("doc_id", "_row_key")).alias("first"))
-    first = keyed.join(kept.select(F.col("first._row_key").alias("_row_key")), "_row_key", "left_semi").dropDuplicates(["_row_key"])
-    return first.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    return kept.select(F.col("first._row_key").alias("_row_key"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,10 +80,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of a folder. What a stage kept is deleted when the next one is through; the result is left."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         path = scratch_path(spark)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with temporary_copies(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
