@@ -20,13 +20,13 @@ def other_bucket(counts: DataFrame, min_percent_above: float | None = None) -> D
 
     ``counts`` are value counts; shares are compared at 2 decimals. With ``min_percent_above`` only larger shares
     stay. The hidden rows are folded by a partial aggregation, so a column with many values is no burden. The numbers of
-    values, one for each column, are counted first.
+    values, one for each column, come from the same shuffle of counts, which is read twice and made once.
     """
-    sizes = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()
-    many = [row.column_name for row in sizes if row.n > MANY_VALUES]
-    rounded = counts.withColumn("percent", round_scaled(F.col("percentage")))
+    sizes = counts.groupBy("column_name").agg(F.count_if(F.col("count") > 0).alias("held"))
+    sized = counts.join(F.broadcast(sizes.withColumnRenamed("column_name", "sized_name")), F.col("column_name") == F.col("sized_name"))
+    rounded = sized.drop("sized_name").withColumn("percent", round_scaled(F.col("percentage")))
     shown = F.col("percent") > F.lit(min_percent_above) if min_percent_above is not None else F.lit(True)
-    shown = shown & (~F.col("column_name").isin(many) | (F.col("percent") > 0))
+    shown = shown & ((F.col("held") <= MANY_VALUES) | (F.col("percent") > 0))
     flagged = rounded.withColumn("shown", shown)
     hundredths = F.rint(F.col("percent") * 100).cast("bigint")
     folded = flagged.groupBy(

@@ -19,12 +19,13 @@ from .histogram import Bins, bin_index
 from .longform import stack_columns
 
 CELLS = 1024  # for each doubling of a value; a column of money has some ten thousand
-_ZERO, _NONE = -(1 << 62), -(1 << 62) - 1
+_ZERO, _NEGATIVE, _NONE = -(1 << 62), -(1 << 62) - 1, -(1 << 62) - 2
 
 
 def cell_of(value: Column, cells: int) -> Column:
-    """Number of a value's cell; zeros have one of their own, and so has what is neither positive nor zero."""
-    return F.when(value > 0, F.floor(F.ln(value) * (cells / math.log(2)))).when(value == 0, _ZERO).otherwise(_NONE)
+    """Number of a value's cell; zeros, negative values and missing ones have one each."""
+    positive = F.floor(F.ln(value) * (cells / math.log(2)))
+    return F.when(value > 0, positive).when(value == 0, _ZERO).when(value < 0, _NEGATIVE).otherwise(_NONE)
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,9 @@ class Grid:
 
     row_count: int
     zero_count: int
+    negative_count: int
+    lowest: float | None  # of all values, negative ones too
+    highest: float | None
     cell: np.ndarray
     held: np.ndarray
     least: np.ndarray
@@ -40,8 +44,30 @@ class Grid:
 
     @property
     def max_value(self) -> float | None:
+        """Greatest positive value."""
         return float(self.greatest.max()) if len(self.greatest) else None
 
+    @property
+    def positive_count(self) -> int:
+        return int(self.held.sum())
+
+    def around(self, rank: int) -> tuple[float | None, int, int, float | None, float | None]:
+        """What is known of the positive value of this rank, from 0: the value itself if certain; values in its cell and before
+        it; and the next values on both sides of the cell."""
+        ends = np.cumsum(self.held)
+        at = int(np.searchsorted(ends, rank, side="right"))
+        before, held = int(ends[at] - self.held[at]), int(self.held[at])
+        low, high = float(self.least[at]), float(self.greatest[at])
+        value = low if low == high or rank == before else high if rank == ends[at] - 1 else None
+        below = float(self.greatest[at - 1]) if at else None
+        above = float(self.least[at + 1]) if at + 1 < len(self.held) else None
+        return value, held, before, below, above
+
+    @property
+    def in_order(self) -> bool:
+        """Whether no value of a cell lies beyond one of the next cell, which rounding of logarithms could in theory bring about."""
+        return bool((self.greatest[:-1] < self.least[1:]).all())
+
     def _bins_of(self, spec: Bins) -> tuple[np.ndarray, np.ndarray]:
         """Zero-based bin of the least and the greatest value of each cell; what lies above the range has bin ``count``."""
 
@@ -83,18 +109,23 @@ def count_grids(df: DataFrame, columns: Sequence[Column], cells: int = CELLS) ->
     counted = stacked.groupBy("c", cell_of(F.col("v"), cells).alias("cell")).agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("greatest")
     )
-    found = counted.toArrow().to_pydict()
-    table = {name: np.array(found[name]) for name in ("c", "cell", "n")}
+    return grids_from(counted.toArrow().to_pydict(), len(columns))
+
+
+def grids_from(found: Mapping[str, list], count: int) -> list[Grid]:
+    """Grids from their counted cells (c, cell, n, least, greatest)."""
+    table = {name: np.array(found[name], dtype=np.int64) for name in ("c", "cell", "n")}
     ends = {name: np.array([np.nan if v is None else v for v in found[name]], dtype=float) for name in ("least", "greatest")}
     grids = []
-    for c in range(len(columns)):
+    for c in range(count):
         own = table["c"] == c
-        cell, n = table["cell"][own].astype(np.int64), table["n"][own].astype(np.int64)
+        cell, n = table["cell"][own], table["n"][own]
         least, greatest = ends["least"][own], ends["greatest"][own]
-        some = np.flatnonzero(cell > _ZERO)
+        some, valued = np.flatnonzero(cell > _ZERO), cell > _NONE
         some = some[np.argsort(cell[some])]
-        zeros = int(n[cell == _ZERO].sum())
-        grids.append(Grid(int(n.sum()), zeros, cell[some], n[some], least[some], greatest[some]))
+        lowest, highest = (float(least[valued].min()), float(greatest[valued].max())) if valued.any() else (None, None)
+        sizes = [int(n[cell == special].sum()) for special in (_ZERO, _NEGATIVE)]
+        grids.append(Grid(int(n.sum()), *sizes, lowest, highest, cell[some], n[some], least[some], greatest[some]))
     return grids
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import quoted
 from ..functions.numbers import pct
-from .longform import lookup, stack_columns
+from .longform import lookup
 
 
 @dataclass(frozen=True)
@@ -46,29 +46,8 @@ def _zero_rows(df: DataFrame, bins: Sequence[Bins]) -> DataFrame:
     ).where(F.col("bucket") <= lookup([spec.count + 1 for spec in bins], F.col("c"), "int"))
 
 
-def column_bin_counts(df: DataFrame, columns: Sequence[Column], bins: Sequence[Bins]) -> DataFrame:
-    """(c, bucket, n) of each column; bucket ``count + 1`` holds the values above the range.
-
-    Each value becomes its bin number before rows are stacked, so only (column, bin) pairs cross the shuffle: at most
-    ``count + 1`` rows per column and input partition.
-    """
-    buckets = [
-        F.when(
-            value > 0,
-            F.when((value <= F.lit(spec.upper)), bin_index(value, F.lit(spec.upper), F.lit(spec.count))).otherwise(
-                F.lit(spec.count + 1)
-            )
-            if spec.count
-            else F.lit(1),
-        )
-        for value, spec in zip(columns, bins)
-    ]
-    stacked = stack_columns(df, buckets, "bucket").withColumn("w", F.lit(1).cast("bigint"))
-    return stacked.unionByName(_zero_rows(df, bins)).groupBy("c", "bucket").agg(F.sum("w").alias("n"))
-
-
 def label_bins(counts: DataFrame, names: Sequence[str], bins: Sequence[Bins], total_rows: Column) -> DataFrame:
-    """Name and edge the rows of ``column_bin_counts``, without the bin above the range."""
+    """Name and edge rows of counted bins (c, bucket, n), without the bin ``count + 1``, which is above the range."""
     upper = lookup([spec.upper for spec in bins], F.col("c"), "double")
     count = lookup([spec.count for spec in bins], F.col("c"), "int")
     return counts.where(F.col("bucket") <= count).select(

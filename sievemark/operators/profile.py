@@ -6,16 +6,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import days_in_year, month_label, year_start
-from ..functions.columns import quoted
+from ..functions.columns import quoted, type_family
 from ..functions.numbers import clean_double, pct, round_scaled, try_narrow
-from .histogram import Bins, column_bin_counts, label_bins
+from .grid import CELLS, Grid, cell_of, count_grids, exact_counts, grids_from
+from .histogram import Bins, label_bins
 from .longform import lookup
-from .quantile import DIRECT_ROWS, exact_quantiles, first_bracket
+from .quantile import DIRECT_ROWS, exact_quantiles
 
 # Fixed values of the profile reports.
 MAX_UNIQUE_VALUES = 300
@@ -81,31 +82,66 @@ class TableScan:
     valid_counts: dict[str, int]
     candidates: list[str]  # may have at most the limit of distinct values
     limit: int
+    grids: dict[str, Grid] = field(default_factory=dict, repr=False)  # of numeric columns known to have more
+    slots: dict[str, list[tuple]] = field(default_factory=dict, repr=False)  # (slot, n, low, high) of such date columns
 
 
 def scan_table(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_UNIQUE_VALUES, counted: bool = True
+    df: DataFrame, columns: Sequence[str] | None = None, limit: int = MAX_UNIQUE_VALUES, counted: bool = True, year: int | None = None
 ) -> TableScan:
     """Row count, the columns not proven to exceed ``limit`` distinct values and, if ``counted``, non-NULL counts.
 
     Some rows already prove columns with many values, so a first look at few rows leaves less to hash in the scan of all
-    rows. A column that neither pass proves stays a candidate, which its full count decides.
+    rows. A column that neither pass proves stays a candidate, which its full count decides. With a ``year`` the same scan
+    gives the grids of proven numeric columns and the calendar slots of proven date columns.
     """
     names = _names(df, columns)
     first = _floors(df.limit(PROBE_ROWS), names)
     open_ = [name for name in names if first[name] <= limit]
-    row = df.agg(
+    facts = [
         F.count(F.lit(1)).alias("row_count"),
         *[F.count(quoted(name)).alias(f"v_{k}") for k, name in enumerate(names) if counted],
         *[_distinct_floor(quoted(name)).alias(f"d_{k}") for k, name in enumerate(names) if name in open_],
-    ).first()
+    ]
+    families = {name: type_family(df.schema[name].dataType) for name in names if name not in open_}
+    numeric = [name for name, family in families.items() if family == "numeric"] if year is not None else []
+    dates = [name for name, family in families.items() if family == "datetime"] if year is not None else []
+    row, grids, slots = None, {}, {}
+    if numeric or dates:
+        observed = Observation()
+        grids, slots = _grids_and_slots(df.observe(observed, *facts), numeric, dates, year)
+        row = observed.get
+    if not row or row.get("row_count") is None:
+        row = df.agg(*facts).first().asDict()
     return TableScan(
         names,
         row["row_count"],
         {name: row[f"v_{k}"] for k, name in enumerate(names) if counted},
         [name for k, name in enumerate(names) if name in open_ and row[f"d_{k}"] <= limit],
         limit,
+        grids,
+        slots,
+    )
+
+
+def _grids_and_slots(df: DataFrame, numeric: Sequence[str], dates: Sequence[str], year: int) -> tuple[dict[str, Grid], dict[str, list[tuple]]]:
+    """Grids of numeric columns and calendar slots of date columns from one scan."""
+    no_number, no_stamp = F.lit(None).cast("double"), F.lit(None).cast("timestamp_ntz")
+    parts: list[Column] = []
+    for c, name in enumerate([*numeric, *dates]):
+        pair = (clean_double(quoted(name)), no_stamp) if c < len(numeric) else (no_number, quoted(name).try_cast("timestamp_ntz"))
+        parts += [F.lit(c), *pair]
+    stacked = df.select(F.stack(F.lit(len(numeric) + len(dates)), *parts).alias("c", "v", "t"))
+    cell = F.when(F.col("c") < len(numeric), cell_of(F.col("v"), CELLS)).otherwise(calendar_slot(F.col("t"), year))
+    counted = stacked.groupBy("c", cell.alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("greatest"), F.min("t").alias("low"), F.max("t").alias("high")
     )
+    found = counted.toArrow().to_pydict()
+    slots: dict[str, list[tuple]] = {name: [] for name in dates}
+    for c, slot, n, low, high in zip(*(found[name] for name in ("c", "cell", "n", "low", "high"))):
+        if c >= len(numeric):
+            slots[dates[c - len(numeric)]].append((slot, n, low, high))
+    return dict(zip(numeric, grids_from(found, len(numeric)))), slots
 
 
 def _floors(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
@@ -269,6 +305,7 @@ class NumericStats:
     names: list[str]
     row_count: int
     stats: dict[str, dict] = field(repr=False)
+    grids: dict[str, Grid] = field(repr=False)
 
     def bins(self, bin_count: int) -> list[Bins]:
         return [
@@ -280,32 +317,37 @@ class NumericStats:
 
 
 def numeric_stats(
-    df: DataFrame, columns: Sequence[str], p: float = CHART_QUANTILE, direct_rows: int = DIRECT_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    p: float = CHART_QUANTILE,
+    direct_rows: int = DIRECT_ROWS,
+    grids: Mapping[str, Grid] | None = None,
 ) -> NumericStats:
-    """Extremes, sign counts and the chart maximum (quantile ``p`` of the positive values) of each column."""
+    """Extremes, sign counts and the chart maximum (quantile ``p`` of the positive values) of each column.
+
+    All but the quantile come from the columns' grids, known from an earlier scan or counted by one; of the quantile they
+    say the cell, whose values a second scan ranks.
+    """
     names = list(columns)
     values = {name: clean_double(quoted(name)) for name in names}
-    aggregates = [F.count(F.lit(1)).alias("row_count")]
-    for k, value in enumerate(values.values()):
-        aggregates += [
-            F.min(value).alias(f"min_{k}"),
-            F.max(value).alias(f"max_{k}"),
-            F.count_if(value < 0).alias(f"negative_{k}"),
-            F.count_if(value == 0).alias(f"zero_{k}"),
-            F.count_if(value > 0).alias(f"positive_{k}"),
-            first_bracket(F.when(value > 0, value), p).alias(f"bracket_{k}"),
-        ]
-    row = df.agg(*aggregates).first()
+    known = dict(grids or {})
+    left = [name for name in names if name not in known]
+    known.update(zip(left, count_grids(df, [values[name] for name in left])) if left else ())
     stats = {
-        name: {part: row[f"{part}_{k}"] for part in ("min", "max", "negative", "zero", "positive")}
-        for k, name in enumerate(names)
+        name: {
+            "min": known[name].lowest,
+            "max": known[name].highest,
+            "negative": known[name].negative_count,
+            "zero": known[name].zero_count,
+            "positive": known[name].positive_count,
+        }
+        for name in names
     }
     positives = {name: F.when(value > 0, value) for name, value in values.items()}
-    brackets = {name: row[f"bracket_{k}"] for k, name in enumerate(names)}
-    quantiles = exact_quantiles(df, positives, p, {name: stats[name]["positive"] for name in names}, direct_rows, brackets=brackets)
+    quantiles = exact_quantiles(df, positives, p, {name: stats[name]["positive"] for name in names}, direct_rows, grids=known)
     for name in names:
         stats[name]["chart_max"] = quantiles[name]
-    return NumericStats(names, row["row_count"], stats)
+    return NumericStats(names, known[names[0]].row_count, stats, known)
 
 
 @dataclass(frozen=True)
@@ -323,14 +365,24 @@ def numeric_profile(
     p: float = CHART_QUANTILE,
     bin_count: int = POSITIVE_BIN_COUNT,
     direct_rows: int = DIRECT_ROWS,
+    grids: Mapping[str, Grid] | None = None,
 ) -> NumericProfile:
-    """Profile of numeric columns; NULL, uncastable and NaN entries count only in the percentages' denominator."""
-    found = numeric_stats(df, columns, p, direct_rows)
+    """Profile of numeric columns; NULL, uncastable and NaN entries count only in the percentages' denominator.
+
+    Three scans: the grid of all columns (unless it is known), the values in the cell of the quantile, and those in the cells
+    that the edges of the histogram cut.
+    """
+    found = numeric_stats(df, columns, p, direct_rows, grids)
     specs = found.bins(bin_count)
     values = [clean_double(quoted(name)) for name in found.names]
-    # At most one row for each bin and column, counted once for the summary and the bins.
-    binned = column_bin_counts(df, values, specs)
-    counts = df.sparkSession.createDataFrame(binned.collect(), binned.schema)
+    held = [found.grids[name] for name in found.names]
+    filled = {c: [spec] for c, spec in enumerate(specs) if spec.count}
+    binned = exact_counts(df, values, held, filled) if filled else {}
+    rows = []
+    for c, (grid, spec) in enumerate(zip(held, specs)):
+        inside = binned[c][0] if c in binned else []
+        rows += [(c, bucket, n) for bucket, n in enumerate([*inside, grid.positive_count - sum(inside)], start=1)]
+    counts = df.sparkSession.createDataFrame(rows, "c int, bucket int, n bigint")
 
     def known(part: str, type_name: str) -> Column:
         return lookup([found.stats[name][part] for name in found.names], F.col("c"), type_name)
@@ -352,21 +404,24 @@ def numeric_profile(
 # --- calendar profile ----------------------------------------------------------------------------------------------
 
 
-def calendar_slots(df: DataFrame, columns: Sequence[str], year: int) -> DataFrame:
-    """(c, slot, n, low, high) per column: rows before the year (slot 0), in its months (1-12), after it (13), NULL (-1)."""
-    stamps = [part for c, name in enumerate(columns) for part in (F.lit(c), quoted(name).try_cast("timestamp_ntz"))]
-    stamp = F.col("v")
-    slot = (
+def calendar_slot(stamp: Column, year: int) -> Column:
+    """Months of the year as 1-12, 0 before it, 13 after it, -1 for NULL."""
+    return (
         F.when(stamp.isNull(), -1)
         .when(stamp < year_start(year, "timestamp_ntz"), 0)
         .when(stamp >= year_start(year + 1, "timestamp_ntz"), 13)
         .otherwise(F.month(stamp))
     )
+
+
+def calendar_slots(df: DataFrame, columns: Sequence[str], year: int) -> DataFrame:
+    """(c, slot, n, low, high) per column: rows before the year (slot 0), in its months (1-12), after it (13), NULL (-1)."""
+    stamps = [part for c, name in enumerate(columns) for part in (F.lit(c), quoted(name).try_cast("timestamp_ntz"))]
     # A slot without rows for each column, so that an input without rows has its columns too.
     none = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("c"), F.lit(-1).alias("slot"), F.lit(None).cast("timestamp_ntz").alias("v"))
     return (
         df.select(F.stack(F.lit(len(columns)), *stamps).alias("c", "v"))
-        .select("c", slot.alias("slot"), "v", F.lit(1).alias("rows"))
+        .select("c", calendar_slot(F.col("v"), year).alias("slot"), "v", F.lit(1).alias("rows"))
         .unionByName(none.withColumn("rows", F.lit(0)))
         .groupBy("c", "slot")
         .agg(F.sum("rows").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
@@ -377,11 +432,28 @@ def _slot_sum(first: int, last: int) -> Column:
     return F.sum(F.when(F.col("slot").between(first, last), F.col("n")).otherwise(0))
 
 
+def known_slots(df: DataFrame, columns: Sequence[str], year: int, known: Mapping[str, list[tuple]] | None = None) -> DataFrame:
+    """``calendar_slots`` computed once, for everything that is folded from them: at most 15 rows a column. Those of columns
+    that an earlier scan has seen are ``known``."""
+    known = known or {}
+    schema = "c int, slot int, n bigint, low timestamp_ntz, high timestamp_ntz"
+    rows = [(c, -1, 0, None, None) for c in range(len(columns))]
+    rows += [(c, *slot) for c, name in enumerate(columns) for slot in known.get(name, ())]
+    left = [name for name in columns if name not in known]
+    if left:
+        place = {at: list(columns).index(name) for at, name in enumerate(left)}
+        rows += [(place[row.c], row.slot, row.n, row.low, row.high) for row in calendar_slots(df, left, year).collect()]
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def datetime_profile(df: DataFrame, columns: Sequence[str], year: int) -> DataFrame:
     """One row per column: extremes and the rows before, inside and after the year."""
+    return datetime_profile_of(calendar_slots(df, columns, year), columns)
+
+
+def datetime_profile_of(slots: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (
-        calendar_slots(df, columns, year)
-        .groupBy("c")
+        slots.groupBy("c")
         .agg(
             F.min("low").alias("min_value"),
             _slot_sum(0, 0).alias("before_year_count"),
@@ -404,11 +476,12 @@ def datetime_profile(df: DataFrame, columns: Sequence[str], year: int) -> DataFr
 
 def month_counts(df: DataFrame, columns: Sequence[str], year: int) -> DataFrame:
     """Twelve rows per column: rows in each month of the year and their share of all rows (NULL included)."""
-    folded = (
-        calendar_slots(df, columns, year)
-        .groupBy("c")
-        .agg(F.sum("n").alias("total_rows"), *[_slot_sum(month, month).alias(f"m_{month}") for month in range(1, 13)])
-    )
+    return month_counts_of(calendar_slots(df, columns, year), columns)
+
+
+def month_counts_of(slots: DataFrame, columns: Sequence[str]) -> DataFrame:
+    sums = [_slot_sum(month, month).alias(f"m_{month}") for month in range(1, 13)]
+    folded = slots.groupBy("c").agg(F.sum("n").alias("total_rows"), *sums)
     months = F.array(*[F.struct(F.lit(month).alias("month"), F.col(f"m_{month}").alias("month_count")) for month in range(1, 13)])
     return (
         folded.select(lookup(list(columns), F.col("c"), "string").alias("column_name"), "total_rows", F.inline(months))

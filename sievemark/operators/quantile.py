@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .grid import Grid
 from .longform import lookup, stack_columns
 
 # Rows ranked directly; also the bound on the size of a window partition below.
@@ -49,12 +50,12 @@ def exact_quantiles(
     counts: Mapping[str, int],
     direct_rows: int = DIRECT_ROWS,
     accuracy: int = SKETCH_ACCURACY,
-    brackets: Mapping[str, Sequence[float] | None] | None = None,
+    grids: Mapping[str, Grid] | None = None,
 ) -> dict[str, float | None]:
     """Linearly interpolated quantile ``p`` of each value column (NULL entries are left out).
 
-    ``counts`` are the non-NULL entries per column. All columns share each scan. ``brackets`` are values around the
-    quantile that a scan of the caller's has found (``first_bracket``); they save the first round its sketch.
+    ``counts`` are the non-NULL entries per column. All columns share each scan. ``grids`` of the columns, whose values are
+    all positive, say in which cell a rank lies, so that the search begins there.
     """
     found: dict[tuple[str, int], float] = {}
     pending = []
@@ -62,17 +63,15 @@ def exact_quantiles(
         if size:
             position = (size - 1) * p
             ranks = sorted({math.floor(position), math.ceil(position)})
-            pending.append(_Search(name, None, None, size, tuple((rank, rank) for rank in ranks)))
+            grid = grids.get(name) if grids else None
+            pending += _inside_cells(name, grid, ranks, found) if grid and grid.in_order else [_Search(name, None, None, size, tuple((rank, rank) for rank in ranks))]
     while pending:
         small = [search for search in pending if search.size <= direct_rows]
         large = [search for search in pending if search.size > direct_rows]
         if small:
             found.update(_rank_directly(df, values, small))
         if large:
-            known, brackets = brackets or {}, None
-            if any(known.get(search.name) is None for search in large):
-                known = _sketched(df, values, large, accuracy)
-            pending = _narrow(df, values, large, known, found)
+            pending = _narrow(df, values, large, _sketched(df, values, large, accuracy), found)
         else:
             pending = []
 
@@ -87,6 +86,18 @@ def exact_quantiles(
     return result
 
 
+def _inside_cells(name: str, grid: Grid, ranks: Sequence[int], found: dict[tuple[str, int], float]) -> list[_Search]:
+    """Ranks that the grid knows are found; the others are wanted in their cells."""
+    parts: dict[tuple, list] = {}
+    for rank in ranks:
+        value, held, before, below, above = grid.around(rank)
+        if value is not None:
+            found[name, rank] = value
+        else:
+            parts.setdefault((below, above, held), []).append((rank - before, rank))
+    return [_Search(name, *cell, tuple(wanted)) for cell, wanted in parts.items()]
+
+
 def _interpolate(low: float, high: float, fraction: float) -> float:
     """Weighted mean of two neighbours; equal neighbours, or a rank without fraction, give exactly their value."""
     if low == high or fraction == 0:
@@ -115,12 +126,6 @@ def _rank_directly(df, values, searches) -> dict[tuple[str, int], float]:
     return found
 
 
-def first_bracket(value: Column, p: float, accuracy: int = SKETCH_ACCURACY) -> Column:
-    """Two values around the quantile ``p``, for a scan that has other things to find too."""
-    slack = 3 / accuracy
-    return F.percentile_approx(value, [max(0.0, p - slack), min(1.0, p + slack)], accuracy)
-
-
 def _sketched(df, values, searches, accuracy) -> dict[str, Sequence[float]]:
     """Two values around the wanted ranks of each search."""
     sketches = []
@@ -134,7 +139,7 @@ def _sketched(df, values, searches, accuracy) -> dict[str, Sequence[float]]:
 
 
 def _narrow(df, values, searches, known, found) -> list[_Search]:
-    brackets = {f"q_{k}": known[k] if k in known else known[search.name] for k, search in enumerate(searches)}
+    brackets = {f"q_{k}": known[k] for k in range(len(searches))}
     counters = []
     for k, search in enumerate(searches):
         low, high = brackets[f"q_{k}"]

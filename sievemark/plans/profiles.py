@@ -46,10 +46,10 @@ def profile_columns(
     """Split the columns by cardinality and profile each group by type; a known ``split`` (low, high) decides what is
     counted and saves the look at cardinality.
 
-    Scans: one for counts and cardinality, two for the number of values and the value counts of the low columns, and for
-    the high columns two calendar scans, the numeric statistics and their histogram.
+    Scans: one for counts, cardinality, the calendar and the grids of the high columns; one for the values of the low columns;
+    and two that read numeric columns only, for the values around a quantile and around the edges of a histogram.
     """
-    scan = profile.scan_table(df, columns) if split is None else profile.split_scan(df, *split)
+    scan = profile.scan_table(df, columns, year=year) if split is None else profile.split_scan(df, *split)
     unique = profile.collect_unique_counts(df, scan)
     low, high = split or (
         [name for name in scan.names if unique[name] <= scan.limit],
@@ -70,12 +70,13 @@ def profile_columns(
     if simple:
         reports["high_unique_columns"] = facts(simple).orderBy("column_index").drop("column_index", "unique_count")
     if datetime:
-        dates = profile.datetime_profile(df, datetime, year).drop("in_year_count")
+        slots = profile.known_slots(df, datetime, year, scan.slots)
+        dates = profile.datetime_profile_of(slots, datetime).drop("in_year_count")
         joined = facts(datetime).join(dates, "column_name").orderBy("column_index")
         reports["high_unique_columns_datetime"] = joined.drop("column_index", "unique_count")
-        reports["high_unique_columns_datetime_array"] = profile.month_counts(df, datetime, year)
+        reports["high_unique_columns_datetime_array"] = profile.month_counts_of(slots, datetime)
     if numeric:
-        found = profile.numeric_profile(df, numeric)
+        found = profile.numeric_profile(df, numeric, grids=scan.grids)
         joined = facts(numeric).join(found.summary, "column_name").orderBy("column_index")
         reports["high_unique_columns_numeric"] = joined.drop("column_index", "unique_count")
         reports["high_unique_columns_numeric_array"] = found.bins.orderBy("column_name", "bucket")
@@ -95,14 +96,15 @@ DATETIME_STATS = (
 def profile_table(df: DataFrame, year: int, columns: Sequence[str] | None = None) -> DataFrame:
     """One wide row per column: type, validity, cardinality group and, for high columns, the statistics of its type."""
     spark = df.sparkSession
-    scan = profile.scan_table(df, columns)
+    scan = profile.scan_table(df, columns, year=year)
     unique = profile.collect_unique_counts(df, scan)
     high = [name for name in scan.names if unique[name] > scan.limit]
     families = {name: type_family(df.schema[name].dataType) for name in high}
     numeric = [name for name in high if families[name] == "numeric"]
     datetime = [name for name in high if families[name] == "datetime"]
-    numbers = profile.numeric_profile(df, numeric).summary if numeric else spark.createDataFrame([], NUMERIC_STATS)
-    dates = profile.datetime_profile(df, datetime, year) if datetime else spark.createDataFrame([], DATETIME_STATS)
+    numbers = profile.numeric_profile(df, numeric, grids=scan.grids).summary if numeric else spark.createDataFrame([], NUMERIC_STATS)
+    slots = profile.known_slots(df, datetime, year, scan.slots)
+    dates = profile.datetime_profile_of(slots, datetime) if datetime else spark.createDataFrame([], DATETIME_STATS)
     dates = dates.select(
         "column_name",
         F.col("min_value").alias("first_time"),
@@ -124,6 +126,6 @@ def write_profile(found: TableProfile, folder: str) -> list[str]:
         "high_unique_column_count": len(found.high),
     }
     if "high_unique_columns_numeric" in found.reports:
-        values |= {"tail_ratio": 1 / 101, "positive_bin_count": profile.POSITIVE_BIN_COUNT}
+        values |= {"tail_ratio": "1/101", "positive_bin_count": profile.POSITIVE_BIN_COUNT}
     metadata = metadata_frame(spark, values)
     return write_reports({"metadata": metadata, **found.reports}, folder)

@@ -204,3 +204,37 @@ def test_a_known_split_decides_what_is_counted(spark):
     values = found.reports["low_unique_columns_array"].collect()
     assert {row.column_name for row in values} == {"b"} and len(values) == 5
     assert [row.column_name for row in found.reports["high_unique_columns_numeric"].collect()] == ["a"]
+
+
+def files_read(df):
+    """Scans that a query makes, those it reuses not counted."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return plan.count("FileScan"), plan.count("ReusedExchange")
+
+
+def test_other_bucket_counts_once(spark, tmp_path):
+    spark.range(2000).select((F.col("id") % 37).alias("v")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    scans, reused = files_read(charts.other_bucket(profile.column_value_counts(df, "v"), 2.6))
+    assert scans - reused == 1 or scans == 1
+
+
+def test_a_known_scan_gives_the_same_profiles(spark):
+    """Grids and calendar slots of the fused scan lead to what the single operators find."""
+    rng = random.Random(8)
+    rows = [(k, rng.choice([None, rng.gauss(0, 9), 0.0]), rng.lognormvariate(2, 1), f"2019-{k % 12 + 1:02d}-{k % 28 + 1:02d} {k % 24:02d}:00:{k % 60:02d}", k % 3) for k in range(25_000)]
+    df = spark.createDataFrame(rows, "k bigint, g double, l double, s string, low int").withColumn("d", F.col("s").cast("timestamp_ntz")).drop("s")
+    scan = profile.scan_table(df, year=2019)
+    assert set(scan.grids) == {"k", "g", "l"} and set(scan.slots) == {"d"} and scan.candidates == ["low"]
+    assert scan.valid_counts["g"] == sum(row[1] is not None for row in rows) and scan.row_count == 25_000
+    alone, known = profile.numeric_profile(df, ["k", "g", "l"]), profile.numeric_profile(df, ["k", "g", "l"], grids=scan.grids)
+    assert sorted(alone.summary.collect()) == sorted(known.summary.collect()) and sorted(alone.bins.collect()) == sorted(known.bins.collect())
+    slots = profile.known_slots(df, ["d"], 2019, scan.slots)
+    assert profile.datetime_profile_of(slots, ["d"]).collect() == profile.datetime_profile(df, ["d"], 2019).collect()
+    assert profile.month_counts_of(slots, ["d"]).collect() == profile.month_counts(df, ["d"], 2019).collect()
+    by_column = {row.column_name: row for row in profiles.profile_table(df, 2019).collect()}
+    lognormal = sorted(row[2] for row in rows)
+    assert abs(by_column["l"].chart_max_value - brute_quantile(lognormal, 0.990099009901)) < 1e-9
+    assert by_column["g"].negative_count == sum(row[1] is not None and row[1] < 0 for row in rows)
+    assert by_column["low"].column_group == "low" and by_column["d"].first_time is not None
