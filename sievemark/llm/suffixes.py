@@ -34,7 +34,8 @@ _PLACE_BITS = 20
 PIECE = 1 << _PLACE_BITS  # bytes whose windows are anchored at once
 SETTLED_BYTES = 400_000
 TEXT_PIECE = 1 << 19  # windows of a document that go to one shard
-SHARD_BYTES, RANGE_BYTES, LEAST_RANGES = 4_000_000, 8_000_000, 64
+SHARD_BYTES, RANGE_BYTES, LEAST_RANGES = 2_000_000, 8_000_000, 64
+_BEYOND = 128
 
 _random = np.random.default_rng(50)
 _BYTE_VALUES = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -157,7 +158,7 @@ def common_prefixes(words: np.ndarray, order: np.ndarray, most: int = 4096) -> n
     places = np.flatnonzero(inside).astype(np.int32)
     other = before[places]
     shared = np.zeros(len(places), dtype=np.int32)
-    padded = np.append(words, np.zeros(8, dtype=np.uint64))
+    padded = np.append(words, np.zeros(_BEYOND, dtype=np.uint64))
     left = np.flatnonzero(other >= 0)
     while len(left):
         own, neighbour = places[left], other[left]
@@ -175,17 +176,25 @@ def common_prefixes(words: np.ndarray, order: np.ndarray, most: int = 4096) -> n
 
 
 def _extend(words: np.ndarray, size: int, left: np.ndarray, right: np.ndarray, most: int) -> np.ndarray:
-    """Shared bytes from pairs of places, compared a word at a time."""
+    """Shared bytes from pairs of places, compared some words at a time; `words` go on with `_BEYOND` zeros after the text."""
     shared = np.zeros(len(left), dtype=np.int64)
     open_ = np.arange(len(left))
-    for step in range(0, most, 8):
-        ahead = np.maximum(left[open_], right[open_]) + step
-        open_ = open_[ahead < size]
-        differ = words[left[open_] + step] ^ words[right[open_] + step]
-        shared[open_] += np.where(differ == 0, 8, sum((differ < np.uint64(1 << bits)).astype(np.int64) for bits in range(8, 64, 8)))
-        open_ = open_[differ == 0]
+    step, wide = 0, 4
+    while step < most:
+        open_ = open_[np.maximum(left[open_], right[open_]) + step < size]
         if not len(open_):
             break
+        ahead = step + 8 * np.arange(wide)
+        differ = words[left[open_][:, None] + ahead] ^ words[right[open_][:, None] + ahead]
+        first = (differ != 0).argmax(axis=1)
+        differ = differ[np.arange(len(open_)), first]
+        ended = differ != 0
+        # The first byte that differs is the highest one that is not zero.
+        within = (differ[ended].byteswap().view(np.uint8).reshape(-1, 8) != 0).argmax(axis=1)
+        shared[open_[ended]] += 8 * first[ended] + within
+        open_ = open_[~ended]
+        shared[open_] += 8 * wide
+        step, wide = step + 8 * wide, 16
     return np.minimum(shared, size - np.maximum(left, right))
 
 
@@ -537,9 +546,9 @@ def dealt(docs: DataFrame, shards: int) -> DataFrame:
 
 def repeats(pieces: DataFrame, ranges: int) -> DataFrame:
     """Repeated windows of texts dealt to shards: doc_id, text_key, first and count (binaries of equal length)."""
-    own = pieces.drop("whole")
-    answers = own.groupBy("shard").applyInArrow(_send_anchors(ranges), MARK_SCHEMA).groupBy("range").applyInArrow(_answer, MARK_SCHEMA)
-    moved = own.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_local(ranges), MOVED_SCHEMA)
+    # All uses read all columns, so that they share one exchange.
+    answers = pieces.groupBy("shard").applyInArrow(_send_anchors(ranges), MARK_SCHEMA).groupBy("range").applyInArrow(_answer, MARK_SCHEMA)
+    moved = pieces.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_local(ranges), MOVED_SCHEMA)
     return moved.groupBy("range").applyInArrow(_across, GONE_SCHEMA)
 
 
