@@ -68,9 +68,31 @@ REPEATS = """WITH raw AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM do
         sha256(CASE WHEN left_over IS NULL THEN b ELSE unhex(left_over) END) AS kept_sha256
     FROM raw LEFT JOIN joined USING (doc_id) LEFT JOIN sums USING (doc_id)"""
 
+RUNS = r"""WITH numbered AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)), 4294967295::BIGINT) AS h FROM documents),
+    placed AS (SELECT doc_id, w, h, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM numbered),
+    stepped AS (SELECT doc_id, w, n, a, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+    texts AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM stepped),
+    sixes AS (SELECT doc_id, i, hash(array_to_string(w[i + 1 : i + 6], ' ')) AS s FROM texts, unnest(range(0, n - 5)) AS t(i)),
+    pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS d FROM sixes x JOIN sixes y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+    islands AS (SELECT doc_id, d, i, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM pairs),
+    stretches AS (SELECT doc_id, d, MIN(i) AS start, COUNT(*) + 5 AS shared FROM islands GROUP BY doc_id, d, island),
+    runs AS (SELECT doc_id, start, shared + d AS length, MIN(d) AS period FROM stretches WHERE d <= shared AND shared + d >= 12 GROUP BY doc_id, start, shared + d),
+    longest AS (SELECT doc_id, start, length, period FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+    listed AS (SELECT doc_id, COUNT(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS list FROM runs GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, x FROM runs, unnest(range(start + period, start + length)) AS t(x)),
+    words AS (SELECT doc_id, i, w[i + 1] AS word FROM texts, unnest(range(0, n)) AS t(i)),
+    kept AS (SELECT words.doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND x = i WHERE x IS NULL GROUP BY words.doc_id)
+    SELECT texts.doc_id, COALESCE(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+        sha256(COALESCE(list, '')) AS runs_sha256, sha256(COALESCE(kept.text, '')) AS collapsed_sha256
+    FROM texts LEFT JOIN listed ON listed.doc_id = texts.doc_id LEFT JOIN longest ON longest.doc_id = texts.doc_id LEFT JOIN kept ON kept.doc_id = texts.doc_id"""
+
 ORACLE_SQL = {
     "op2_suffix_dedup": REPEATS,
     "op4_pivot_near_dedup": VECTORS,
     "op5_jaccard_join": NEAR_DUPLICATES,
     "op6_decontamination": CONTAMINATION,
+    "op13_periodic_runs": RUNS,
 }
