@@ -192,13 +192,14 @@ def train(
     toxic = np.array(labels, dtype=bool)
     if not toxic.any() or toxic.all():
         return None
-    documents = [text.lower().split() for text in texts]
-    tokens = [token for document in documents for token in document]
-    lengths = np.array([len(document) for document in documents])
-    if not tokens:
+    # Words become numbers text by text, so that the driver never holds all of them as strings.
+    distinct: dict[str, int] = {}
+    numbered = [np.array([distinct.setdefault(token, len(distinct)) for token in text.lower().split()], dtype=np.int64) for text in texts]
+    lengths = np.array([len(numbers) for numbers in numbered])
+    if not distinct:
         return None
-    distinct = {token: at for at, token in enumerate(dict.fromkeys(tokens))}
-    ids = np.array([distinct[token] for token in tokens], dtype=np.int64)
+    ids = np.concatenate(numbered)
+    del numbered
     of_toxic = np.repeat(toxic, lengths)
     tags = telling_tokens(list(distinct), ids, of_toxic, int(toxic.sum()))[ids] & of_toxic
     firsts, sizes = cut(lengths)
@@ -235,13 +236,19 @@ def train(
         weights, moves, start = weights + move[:WEIGHTS], moves + move[WEIGHTS:-1].reshape(2, 2), start + move[-1]
     field = Field(weights, moves, start, np.array([0.0, 1.0, 0.0]))
     vocabulary = Vocabulary(weights)
-    facts = np.array([document_facts(c) for c in token_chances(documents, field, vocabulary)])
+    facts = np.array([document_facts(c) for part in _parts(texts) for c in token_chances(part, field, vocabulary)])
     for place, found in (whole(field) if whole else {}).items():
         facts[place] = found
     field.score = logistic(facts, toxic, document_weights)
     return field
 
 
+def _parts(texts: list[str], size: int = 100) -> Iterator[list[list[str]]]:
+    """Tokens of some texts at a time."""
+    for at in range(0, len(texts), size):
+        yield [text.lower().split() for text in texts[at : at + size]]
+
+
 def logistic(facts: np.ndarray, wanted: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Weights of a logistic regression of weighted rows with a small ridge, by Newton steps."""
     table = np.column_stack([np.ones(len(facts)), facts])
