@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,10 @@ MAX_JOBS = 8
 
 
 def side_by_side(spark: SparkSession, calls: Sequence[Callable]) -> list:
-    """Results of the calls in order; each runs in a thread that keeps the caller's job settings."""
+    """Results of the calls in order; each runs in a thread that keeps the caller's job settings and open blocks of copies."""
     with ThreadPoolExecutor(min(MAX_JOBS, len(calls))) as pool:
-        return [future.result() for future in [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]]
+        waiting = [pool.submit(copy_context().run, inheritable_thread_target(spark)(call)) for call in calls]
+        return [future.result() for future in waiting]
 
 
 def union_of(spark: SparkSession, calls: Sequence[Callable[[], DataFrame]]) -> DataFrame:

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from sievemark.functions.concurrent import side_by_side
 from sievemark.sources import reports, tables
 
 
@@ -61,6 +62,14 @@ def test_copies_end_with_their_block(spark, folder):
     assert folder() == before
 
 
+def test_copies_of_jobs_side_by_side(spark, folder):
+    before = folder()
+    with tables.temporary_copies(spark):
+        found = side_by_side(spark, [lambda n=n: tables.materialise(spark.range(n)) for n in (2, 3)])
+        assert [df.count() for df in found] == [2, 3] and len(folder() - before) == 2
+    assert folder() == before
+
+
 def test_copies_end_with_an_error(spark, folder):
     before = folder()
     with pytest.raises(Exception, match="no"), tables.temporary_copies(spark):
