@@ -41,10 +41,15 @@ def _column_facts(df: DataFrame, scan: TableScan, names: Sequence[str], unique:
 
 
 def profile_columns(
-    df: DataFrame, year: int, columns: Sequence[str] | None = None, split: tuple[list[str], list[str]] | None = None
+    df: DataFrame,
+    year: int,
+    columns: Sequence[str] | None = None,
+    split: tuple[list[str], list[str]] | None = None,
+    filtered: str | None = None,
 ) -> TableProfile:
     """Split the columns by cardinality and profile each group by type; a known ``split`` (low, high) decides what is
-    counted and saves the look at cardinality.
+    counted and saves the look at cardinality. The row of a high column that the table is ``filtered`` by (a date) also tells
+    how it covers the year.
 
     Scans: one for counts, cardinality, the calendar and the grids of the high columns; one for the values of the low columns;
     and two that read numeric columns only, for the values around a quantile and around the edges of a histogram.
@@ -63,17 +68,24 @@ def profile_columns(
     def facts(names: Sequence[str]) -> DataFrame:
         return _column_facts(df, scan, names, unique)
 
+    def with_filter(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+        """Rows of high columns, in table order, with the coverage of the year by the filter's column."""
+        rows = rows.drop("unique_count")
+        if filtered in names:
+            coverage = profile.date_coverage(df, filtered, [year]).withColumn("column_name", F.lit(filtered))
+            rows = rows.join(coverage, "column_name", "left")
+        return rows.orderBy("column_index").drop("column_index")
+
     reports: dict[str, DataFrame] = {}
     if low:
         reports["low_unique_columns"] = facts(low).orderBy("column_index").drop("column_index")
         reports["low_unique_columns_array"] = profile.value_counts_of(df, scan)
     if simple:
-        reports["high_unique_columns"] = facts(simple).orderBy("column_index").drop("column_index", "unique_count")
+        reports["high_unique_columns"] = with_filter(facts(simple), simple)
     if datetime:
         slots = profile.known_slots(df, datetime, year, scan.slots)
         dates = profile.datetime_profile_of(slots, datetime).drop("in_year_count")
-        joined = facts(datetime).join(dates, "column_name").orderBy("column_index")
-        reports["high_unique_columns_datetime"] = joined.drop("column_index", "unique_count")
+        reports["high_unique_columns_datetime"] = with_filter(facts(datetime).join(dates, "column_name"), datetime)
         reports["high_unique_columns_datetime_array"] = profile.month_counts_of(slots, datetime)
     if numeric:
         found = profile.numeric_profile(df, numeric, grids=scan.grids)

@@ -238,3 +238,16 @@ def test_a_known_scan_gives_the_same_profiles(spark):
     assert abs(by_column["l"].chart_max_value - brute_quantile(lognormal, 0.990099009901)) < 1e-9
     assert by_column["g"].negative_count == sum(row[1] is not None and row[1] < 0 for row in rows)
     assert by_column["low"].column_group == "low" and by_column["d"].first_time is not None
+
+
+def test_the_row_of_the_filter_column_tells_its_coverage(spark):
+    days = spark.range(365).select(F.date_add(F.lit("2019-01-01").cast("date"), F.col("id").cast("int")).alias("DATE"), F.col("id").alias("n"))
+    more = spark.createDataFrame([("2018-12-31", 1), (None, 2), ("2019-05-05", 3)], "d string, n bigint").select(F.col("d").cast("date").alias("DATE"), "n")
+    df = days.unionByName(more)
+    found = profiles.profile_columns(df, 2019, filtered="DATE")
+    row = found.reports["high_unique_columns_datetime"].first()
+    assert (row.filter_year, row.row_count, row.unique_count, row.min_date, row.max_date) == (2019, 366, 365, "2019-01-01", "2019-12-31")
+    assert not row.is_unique and row.full_year and row.before_year_count == 1
+    assert "filter_year" not in profiles.profile_columns(df, 2019).reports["high_unique_columns_datetime"].columns
+    text = df.select(F.col("DATE").cast("string").alias("DATE"), "n")
+    assert profiles.profile_columns(text, 2019, filtered="DATE").reports["high_unique_columns"].first().unique_count == 365
