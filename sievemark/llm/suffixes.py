@@ -30,8 +30,8 @@ from sievemark.sources.tables import materialise
 LENGTH = 50
 ANCHOR = 16
 _PLACES = LENGTH - ANCHOR + 1
-_PLACE_BITS = 20
-PIECE = 1 << _PLACE_BITS  # bytes whose windows are anchored at once
+_PLACE_BITS = 16
+PIECE = 1 << _PLACE_BITS  # bytes whose windows are anchored at once; their arrays stay in a core's cache
 SETTLED_BYTES = 400_000
 TEXT_PIECE = 1 << 19  # windows of a document that go to one shard
 SHARD_BYTES, RANGE_BYTES, LEAST_RANGES = 2_000_000, 8_000_000, 64
@@ -413,7 +413,7 @@ def _squeezed(values: np.ndarray) -> bytes:
     """Compressed bytes of a column; numbers as planes of their differences, since neighbours are alike."""
     if values.itemsize == 8:
         values = np.ascontiguousarray(np.diff(values, prepend=values.dtype.type(0)).view(np.uint8).reshape(-1, 8).T)
-    return zstandard.ZstdCompressor(level=3).compress(values.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
 
 
 def _expanded(data: bytes, kind: type) -> np.ndarray:
@@ -552,13 +552,11 @@ def repeats(pieces: DataFrame, ranges: int) -> DataFrame:
     return moved.groupBy("range").applyInArrow(_across, GONE_SCHEMA)
 
 
-def removed_bytes(size: int, runs: Iterable[dict] | None) -> np.ndarray:
-    """Which bytes of a text of this size its repeated windows cover."""
+def removed_bytes(size: int, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Which bytes of a text of this size its repeated windows cover, given as runs of windows."""
     steps = np.zeros(size + 1, dtype=np.int64)
-    for run in runs or ():
-        first, count = (np.frombuffer(run[name], dtype=np.int64) for name in ("first", "count"))
-        np.add.at(steps, first, 1)
-        np.add.at(steps, first + count + LENGTH - 1, -1)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, first + count + LENGTH - 1, -1)
     return np.cumsum(steps[:-1]) > 0
 
 
@@ -567,11 +565,11 @@ KEPT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept bin
 _KEPT_NAMES = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
 
 
-def _kept(key: int | None, text: bytes, runs: Iterable[dict] | None) -> tuple:
+def _kept(key: int | None, text: bytes, runs: tuple[np.ndarray, np.ndarray] | None) -> tuple:
     raw = np.frombuffer(text, dtype=np.uint8)
-    if not runs:
+    if runs is None:
         return key, len(raw), 0, 0, text
-    gone = removed_bytes(len(raw), runs)
+    gone = removed_bytes(len(raw), *runs)
     spans = int(np.count_nonzero(gone & ~np.concatenate([[False], gone[:-1]])[: len(gone)]))
     return key, len(raw), int(gone.sum()), spans, raw[~gone].tobytes()
 
@@ -582,16 +580,38 @@ def _kept_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(_KEPT_NAMES))
 
 
+def _runs_by_text(gone: pa.Table) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """Firsts and counts of all window runs of each (key, text key)."""
+    if not gone.num_rows:
+        return {}
+    keys, texts = gone.column("doc_id").to_numpy(), gone.column("text_key").to_numpy()
+    order = np.lexsort((texts, keys))
+    keys, texts = keys[order], texts[order]
+    both, sizes = [], None
+    for name in ("first", "count"):
+        values = gone.column(name).to_pylist()
+        sizes = np.array([len(value) for value in values], dtype=np.int64)[order] // 8
+        both.append(np.frombuffer(b"".join([values[at] for at in order.tolist()]), dtype=np.int64))
+    change = np.flatnonzero((keys[1:] != keys[:-1]) | (texts[1:] != texts[:-1])) + 1
+    begins = np.concatenate([[0], change])
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    limits = ends[np.append(begins, len(keys))]
+    parts = zip(keys[begins].tolist(), texts[begins].tolist(), limits[:-1].tolist(), limits[1:].tolist())
+    return {(key, text): (both[0][low:high], both[1][low:high]) for key, text, low, high in parts}
+
+
 def _kept_of_shard(pieces: pa.Table, gone: pa.Table) -> pa.Table:
     """What stays of the whole texts of a shard."""
-    runs: dict[tuple[int, int], list[dict]] = {}
-    for row in (row for batch in gone.to_batches(max_chunksize=1000) for row in batch.to_pylist()):
-        runs.setdefault((row["doc_id"], row["text_key"]), []).append(row)
+    runs = _runs_by_text(gone)
     columns = (pieces.column(name).to_pylist() for name in ("doc_id", "text_key", "whole"))
     rows = [_kept(key, text.as_py(), runs.get((key, text_key))) for key, text_key, whole, text in zip(*columns, pieces.column("bytes")) if whole]
     return pa.Table.from_batches([_kept_batch(rows)])
 
 
+def _joined(runs: list[dict] | None) -> tuple[np.ndarray, np.ndarray] | None:
+    return tuple(np.frombuffer(b"".join(run[name] for run in runs), dtype=np.int64) for name in ("first", "count")) if runs else None
+
+
 def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Each document with its removed bytes counted and the bytes that stay: doc_id, n_bytes, n_removed, n_spans, kept.
 
@@ -615,7 +635,8 @@ def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, range_bytes
             for low in range(0, whole.num_rows, 500):
                 batch = whole.slice(low, 500)
                 texts = (text.encode("utf-8", "surrogatepass") for text in texts_of(batch))
-                yield _kept_batch([_kept(*row) for row in zip(batch.column("doc_id").to_pylist(), texts, batch.column("runs").to_pylist())])
+                rows = zip(batch.column("doc_id").to_pylist(), texts, map(_joined, batch.column("runs").to_pylist()))
+                yield _kept_batch([_kept(*row) for row in rows])
 
     short = texts.filter((F.coalesce(size, F.lit(0)) < LENGTH) | F.col("doc_id").isNull()).select("doc_id", "text")
     unchanged = short.withColumn("runs", F.lit(None).cast(RUNS)).mapInArrow(run, KEPT_SCHEMA)
