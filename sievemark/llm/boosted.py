@@ -21,11 +21,11 @@ class Split:
 
 @dataclass(frozen=True)
 class Boosted:
-    """Log-odds as a constant and a sum of trees; candidates of at least `threshold` are taken."""
+    """Log-odds as a constant and a sum of trees; candidates of at least the threshold of their kind are taken."""
 
     constant: float
     trees: tuple[Split | float, ...]
-    threshold: float
+    thresholds: tuple[float, ...]
 
 
 def _grow(rows: np.ndarray, slope: np.ndarray, curve: np.ndarray, depth: int) -> Split | float:
@@ -56,8 +56,10 @@ def log_odds(model: Boosted, rows: np.ndarray) -> np.ndarray:
     return model.constant + sum(_values(tree, rows) for tree in model.trees)
 
 
-def fit(rows: np.ndarray, wanted: np.ndarray, trees: int = 20, depth: int = 3, rate: float = 0.4, precision: float = 0.99) -> Boosted:
-    """Boost on two thirds of the rows; the threshold is the lowest with this precision on the rest, and at least even odds."""
+def fit(
+    rows: np.ndarray, wanted: np.ndarray, kinds: np.ndarray, count: int, trees: int = 20, depth: int = 3, rate: float = 0.4, precision: float = 0.99
+) -> Boosted:
+    """Boost on two thirds of the rows; the threshold of each of `count` kinds is calibrated on the rest."""
     share = float(np.clip(wanted.mean(), 0.01, 0.99))
     constant, grown = float(np.log(share / (1 - share))), []
     held = np.arange(len(rows)) % 3 == 2
@@ -68,13 +70,19 @@ def fit(rows: np.ndarray, wanted: np.ndarray, trees: int = 20, depth: int = 3, r
         tree = _scaled(_grow(learn, target - chance, chance * (1 - chance), depth), rate)
         grown.append(tree)
         total += _values(tree, learn)
-    model = Boosted(constant, tuple(grown), 0.0)
-    scores = log_odds(model, rows[held])
+    scores = log_odds(Boosted(constant, tuple(grown), ()), rows[held])
+    limits = [calibrated(scores[kinds[held] == kind], wanted[held][kinds[held] == kind], precision) for kind in range(count)]
+    return Boosted(constant, tuple(grown), tuple(limits))
+
+
+def calibrated(scores: np.ndarray, wanted: np.ndarray, precision: float) -> float:
+    """The lowest score from which on this share of the rows is wanted, and at least even odds; infinite where there is none.
+    Rows of equal scores are taken or left together."""
     order = np.argsort(-scores, kind="stable")
-    right = np.cumsum(wanted[held][order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(right >= precision)
-    threshold = float(scores[order][good[-1]]) if len(good) else float("inf")
-    return Boosted(constant, tuple(grown), max(0.0, threshold - 1e-9))
+    right = np.cumsum(wanted[order]) / np.arange(1, len(order) + 1)
+    last = np.append(scores[order][1:] != scores[order][:-1], True)[: len(order)]
+    good = np.flatnonzero((right >= precision) & last)
+    return max(0.0, float(scores[order][good[-1]]) - 1e-9) if len(good) else float("inf")
 
 
 def _scaled(tree: Split | float, rate: float) -> Split | float:
