@@ -2,10 +2,12 @@
 
 A bounded sample of vectors, thinned so that no two are alike, gives the pivots. Each vector is described by its nearest
 pivots in order and stands in the inverted lists of these. Vectors that share enough pivots are candidates; a pair is
-looked at in the list of its smallest shared pivot only, and verified by its cosine in double precision. Long lists are
-dealt out as pairs of bounded blocks, and no list of pairs is ever written.
+looked at in the list of its smallest shared pivot only, and verified by its cosine in double precision. A list longer than
+a block becomes lists of that pivot and a second one, where a pair is looked at under its two smallest shared pivots: the same
+pairs, in lists that shrink with the square of the number of pivots. Lists still longer, and those without a second pivot, are
+dealt out as pairs of bounded blocks. No list of pairs is ever written.
 
-Equal vectors of a label are one class of copies. Vectors that are null, zero, hold null or non-finite components, or
+Equal vectors of a label are one class of copies; of equally near pivots the first in the sample counts. Vectors that are null, zero, hold null or non-finite components, or
 have no label are linked to nothing. Vectors of other dimensions are never compared; where a dimension has no pivots,
 all its vectors of a label share one list.
 """
@@ -108,7 +110,7 @@ def _verify(cosine: float, shared: int):
     def run(batch: pa.Table) -> pa.Table:
         across = batch.column("low")[0].as_py() != batch.column("high")[0].as_py()
         ids, sides, lists = (batch.column(name).to_numpy() for name in ("class_id", "side", "list"))
-        copies, pivot = batch.column("copies").to_numpy(), batch.column("pivot").to_numpy()
+        copies, pivot, second = (batch.column(name).to_numpy() for name in ("copies", "pivot", "second"))
         vectors, described = batch.column("vector").to_pylist(), batch.column("pivots").to_pylist()
         order = np.lexsort((ids, sides, lists))
         out = []
@@ -122,7 +124,10 @@ def _verify(cosine: float, shared: int):
             here = int(np.searchsorted(numbers, pivot[rows[0]]))
             first = slice(n, None) if across else slice(0, None)
             enough = member[:n] @ member[first].T >= min(shared, held.shape[1])
-            smallest = member[:n, :here] @ member[first, :here].T == 0
+            lower = np.arange(here)
+            if second[rows[0]] >= 0:
+                lower = np.append(lower, np.arange(here + 1, np.searchsorted(numbers, second[rows[0]])))
+            smallest = member[:n, lower] @ member[first][:, lower].T == 0
             linked = enough & smallest & (units[:n] @ units[first].T >= cosine)
             a, b = np.nonzero(linked if across else np.triu(linked, 1))
             b = b + (n if across else 0)
@@ -134,14 +139,27 @@ def _verify(cosine: float, shared: int):
     return run
 
 
+def listings(described_classes: DataFrame, shared: int) -> DataFrame:
+    """Classes in the inverted lists they are compared in: list, pivot, second (-1: the whole list of the pivot), blocks.
+
+    Lists longer than a block are taken apart by the second shared pivot where pairs have to share two.
+    """
+    first = described_classes.withColumn("pivot", F.explode("pivots")).withColumn("list", F.xxhash64("label", F.size("vector"), "pivot"))
+    placed = first.join(first.groupBy("list").agg(F.count("*").alias("n")).filter("n > 1"), "list")
+    long = (F.col("n") > BLOCK_VECTORS) & (F.size("pivots") > 1) & F.lit(shared > 1)
+    whole = placed.filter(~long).withColumn("second", F.lit(-1))
+    split = placed.filter(long).drop("n").withColumn("second", F.explode(F.filter("pivots", lambda other: other > F.col("pivot"))))
+    split = split.withColumn("list", F.xxhash64("list", "second"))
+    split = split.join(split.groupBy("list").agg(F.count("*").alias("n")).filter("n > 1"), "list")
+    return whole.unionByName(split).withColumn("blocks", F.ceil(F.col("n") / BLOCK_VECTORS).cast("int")).drop("n")
+
+
 def class_links(classes: DataFrame, cosine: float = COSINE, shared: int = SHARED, count: int | None = None) -> DataFrame:
     """Verified links of classes: class_id, linked (vectors of other classes), root (a class of the same tree)."""
-    listed = materialise(described(classes, pivots_of(classes, count))).withColumn("pivot", F.explode("pivots"))
-    listed = listed.withColumn("list", F.xxhash64("label", F.size("vector"), "pivot"))
-    sizes = listed.groupBy("list").agg(F.count("*").alias("n"))
-    blocks = sizes.filter("n > 1").select("list", F.ceil(F.col("n") / BLOCK_VECTORS).cast("int").alias("blocks"))
-    buckets = max(16, -(-listed.count() // BLOCK_VECTORS))
-    dealt = in_blocks(listed.join(blocks, "list"), "class_id", "list", buckets)
+    described_classes = materialise(described(classes, pivots_of(classes, count)))
+    places = described_classes.agg(F.coalesce(F.sum(F.size("pivots")), F.lit(0))).first()[0]
+    buckets = max(16, -(-places // BLOCK_VECTORS))
+    dealt = in_blocks(listings(described_classes, shared), "class_id", "list", buckets)
     return dealt.groupBy("bucket", "low", "high").applyInArrow(_verify(cosine, shared), "class_id long, linked long, root long")
 
 

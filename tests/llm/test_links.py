@@ -120,6 +120,26 @@ def test_vector_links_are_those_of_brute_force(text_spark, block, monkeypatch):
     assert found[1007]["component_id"] == 1006 and not found[1007]["kept"]
 
 
+@pytest.mark.parametrize("shared", [1, 2, 3])
+def test_long_lists_by_a_second_pivot_find_the_same_links(text_spark, shared, monkeypatch):
+    """Few pivots make lists as long as on large tables; taking them apart changes no link."""
+    values = np.concatenate([clustered(5, 12, 25, 0.25), clustered(6, 200, 2, 0.3)]).astype(np.float32)
+    rows = table(text_spark, [(at, v.tolist(), 0, "x") for at, v in enumerate(values)])
+
+    def found():
+        return by_key(vectors.near_vectors(rows, cosine=0.8, shared=shared, count=24), "vec_id")
+
+    whole = found()
+    monkeypatch.setattr(vectors, "BLOCK_VECTORS", 20)
+    classes = vectors.classes_of(vectors.usable(rows))
+    listed = vectors.listings(vectors.described(classes, vectors.pivots_of(classes, 24)), shared)
+    sizes = [(r["second"] >= 0, r["count"]) for r in listed.groupBy("list", "second").count().collect()]
+    assert found() == whole and sum(row["n_links"] for row in whole.values()) > 1000
+    assert any(taken for taken, _ in sizes) == (shared > 1)
+    if shared > 1:
+        assert all(size <= 20 for taken, size in sizes if not taken)
+
+
 def test_no_vectors(text_spark):
     assert vectors.near_vectors(table(text_spark, [])).count() == 0
     alone = vectors.near_vectors(table(text_spark, [(1, None, None, "x")])).collect()
