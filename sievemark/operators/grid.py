@@ -12,10 +12,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .histogram import Bins, bin_index
+from .histogram import Bins
 from .longform import stack_columns
 
 CELLS = 1024  # for each doubling of a value; a column of money has some ten thousand
@@ -129,26 +130,60 @@ def grids_from(found: Mapping[str, list], count: int) -> list[Grid]:
     return grids
 
 
+def bin_starts(spec: Bins) -> np.ndarray:
+    """Least value that ``bin_index`` puts into each bin, and the least above the range; infinity where there is none.
+
+    The index never falls as a value rises, rounding included, so its steps are found by halving among all doubles: the bit
+    patterns of positive ones are in their order.
+    """
+    top = np.float64(max(spec.upper, 0.0)).view(np.int64)
+    before = np.arange(spec.count + 1, dtype=float)
+    low, high = np.zeros(spec.count + 1, dtype=np.int64), np.full(spec.count + 1, top + 1)
+    low[-1] = top
+    with np.errstate(invalid="ignore", over="ignore"):
+        while (high - low > 1).any():
+            middle = low + (high - low) // 2
+            reached = middle.view(float) / spec.upper * spec.count > before
+            low, high = np.where(reached, low, middle), np.where(reached, middle, high)
+    starts = high.view(float)
+    starts[0] = 0.0
+    return np.where(np.isnan(starts), np.inf, starts)
+
+
 def exact_counts(
     df: DataFrame, columns: Sequence[Column], grids: Sequence[Grid], wanted: Mapping[int, Sequence[Bins]], cells: int = CELLS
 ) -> dict[int, list[list[int]]]:
-    """Counts of the wanted histograms of each column: whole cells are known, and one scan reads the values of the others."""
-    buckets, owners = [], []
+    """Counts of the wanted histograms of each column: whole cells are known, and one scan reads the values of the others.
+
+    A value is looked up once among the edges of all histograms of its column, so a row costs the same however many they are.
+    """
     result: dict[int, list[list[int]]] = {}
+    read, starts, splits = [], {}, {}
     for c, specs in wanted.items():
         fetched = np.zeros(len(grids[c].cell), dtype=bool)
         for spec in specs:
             fetched |= grids[c].cut(spec)
         result[c] = [grids[c].whole(spec, ~fetched).tolist() for spec in specs]
-        value = columns[c]
-        read = cell_of(value, cells).isin([int(number) for number in grids[c].cell[fetched]])
-        for at, spec in enumerate(specs):
-            upper, count = F.lit(spec.upper), F.lit(spec.count)
-            inside = (value > 0) & (value <= upper) & read
-            buckets.append(F.when(inside, bin_index(value, upper, count)))
-            owners.append((c, at))
-    counted = stack_columns(df, buckets, "bucket").groupBy("c", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    for row in counted.collect():
-        c, at = owners[row.c]
-        result[c][at][row.bucket - 1] += row.n
+        starts[c] = [bin_starts(spec) for spec in specs]
+        splits[c] = np.unique(np.concatenate([*starts[c], [-np.inf, np.inf]]))
+        value = columns[c].cast("double")
+        inside = (value > 0) & (value <= F.lit(max(spec.upper for spec in specs)))
+        inside &= cell_of(value, cells).isin([int(number) for number in grids[c].cell[fetched]])
+        read.append(F.when(inside, value).alias(f"v{c}"))
+    placed = Bucketizer(
+        splitsArray=[edges.tolist() for edges in splits.values()],
+        inputCols=[f"v{c}" for c in wanted],
+        outputCols=[f"piece{c}" for c in wanted],
+        handleInvalid="keep",
+    ).transform(df.select(*read))
+    pieces = [F.when(F.col(f"v{c}").isNotNull(), F.col(f"piece{c}").cast("int")) for c in wanted]
+    counted = stack_columns(placed, pieces, "piece").groupBy("c", "piece").agg(F.count(F.lit(1)).alias("n"))
+    found = {name: np.array(part, dtype=np.int64) for name, part in counted.toArrow().to_pydict().items()}
+    for at, c in enumerate(wanted):
+        own = found["c"] == at
+        edge, n = splits[c][found["piece"][own]], found["n"][own]
+        for spec, begins, counts in zip(wanted[c], starts[c], result[c]):
+            sums = np.zeros(spec.count + 1, dtype=np.int64)
+            np.add.at(sums, np.searchsorted(begins, edge, side="right") - 1, n)
+            counts[:] = (np.array(counts) + sums[: spec.count]).tolist()
     return result

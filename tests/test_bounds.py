@@ -1,8 +1,11 @@
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from sievemark.operators import bounds
+from sievemark.operators import bounds, grid
+from sievemark.operators.histogram import Bins
 
 
 def brute_trim(values):
@@ -58,6 +61,47 @@ def test_many_steps_take_two_scans(spark, monkeypatch):
     assert state.iterations >= 8 and len(scans) <= 3
 
 
+def counted(values, spec):
+    """Bins of a plain list, by the formula of ``bin_index``."""
+    counts = [0] * spec.count
+    for v in values:
+        if v is not None and 0 < v <= spec.upper:
+            share = v / spec.upper * spec.count
+            counts[max(1, 1 if math.isnan(share) else math.ceil(share)) - 1] += 1
+    return counts
+
+
+def test_open_histograms_do_not_multiply_rows(spark, monkeypatch):
+    """Many histograms of two columns in one scan: each value is placed once, on bin edges and next to them too."""
+    rng = random.Random(5)
+    specs = [Bins(rng.uniform(0.5, 60.0), rng.choice([10, 100])) for _ in range(40)] + [Bins(50.0, 100), Bins(0.3, 10)]
+    edges = [k * (spec.upper / spec.count) for spec in specs[-6:] for k in range(1, spec.count + 1)]
+    first = [v for edge in edges for v in (edge, math.nextafter(edge, 0), math.nextafter(edge, 99))] + [0.0, -1.0, None, 5e-324]
+    second = [rng.choice([None, 0.1 * k, 2.5]) for k in range(len(first))]
+    df = spark.createDataFrame(list(zip(first, second)), "a double, b double").repartition(2)
+    columns, rows = [F.col("a"), F.col("b")], []
+    grids = grid.count_grids(df, columns, 1)
+    whole = grid.stack_columns
+
+    def stacked(*args, **settings):
+        rows.append(whole(*args, **settings).count())
+        return whole(*args, **settings)
+
+    monkeypatch.setattr(grid, "stack_columns", stacked)
+    found = grid.exact_counts(df, columns, grids, {0: specs, 1: specs[::-1]}, 1)
+    assert found == {0: [counted(first, spec) for spec in specs], 1: [counted(second, spec) for spec in specs[::-1]]}
+    assert sum(rows) <= 2 * len(first)
+
+
+def test_histograms_of_extreme_values(spark):
+    values = [5e-324, 1e-320, 1e-300, 1.0, 3.0, 1e300, 1.7976931348623157e308, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    grids = grid.count_grids(df, [F.col("v")], 0.01)
+    for upper in (5e-324, 1e-320, 3.0, 1e300, 1.7976931348623157e308, float("inf")):
+        spec = Bins(upper, 10)
+        assert grid.exact_counts(df, [F.col("v")], grids, {0: [spec]}, 0.01) == {0: [counted(values, spec)]}, upper
+
+
 def test_trim_of_extreme_values(spark):
     values = [5e-324, 1e-300, 1e-9, 2.0, 3.0, 1e300, float("inf")]
     (state,), total = bounds.iterative_trim(spark.createDataFrame([(v,) for v in values[:-1]], "v double"), ["v"])
